@@ -1,0 +1,8 @@
+"""Streaming.
+
+The workloads this library rebuilds have no stream input, watermark, time
+window or streaming state: demand scenarios and plans arrive as whole
+tables. Nothing is provided here; every operator is a batch DataFrame
+function and can be applied inside ``foreachBatch`` if a stream of plan
+tables ever needs it.
+"""
