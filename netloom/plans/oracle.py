@@ -195,7 +195,7 @@ QUERIES = {
     "decode_shipments": """SELECT location, store, '1995' AS scenario_id, 0 AS iteration, demand AS amount
         FROM assign95 WHERE set_id = 'all' AND demand > 0""",
     "unserved_demand": """SELECT d.store, d.scenario_id, d.amount FROM demands d
-        WHERE NOT EXISTS (SELECT 1 FROM routes r JOIN open_warehouses o ON r.location = o.location
+        WHERE NOT EXISTS (SELECT 1 FROM routes r JOIN scenario_open o ON r.location = o.location
                           WHERE r.store = d.store AND o.open = 1 AND (o.scenario_id = 'All' OR o.scenario_id = d.scenario_id))""",
     **ENTRIES,
     "row_activity": f"SELECT cnstraint, sense, rhs, round(activity, 2) AS activity FROM ({_ACTIVITY}) a",
@@ -321,5 +321,12 @@ _EXTRA_CTES = [("dem95_s", "SELECT store, scenario_id, amount FROM demands WHERE
 
 
 def oracle_sql() -> dict[str, str]:
-    prefix = "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in CTES + _EXTRA_CTES) + "\n"
-    return {k: prefix + q for k, q in QUERIES.items()}
+    ctes = ",\n".join(f"{n} AS ({q})" for n, q in CTES + _EXTRA_CTES)
+    out = {}
+    for k, q in QUERIES.items():
+        body = q.lstrip()
+        if body.upper().startswith("WITH "):  # merge the query's own CTEs into the list
+            out[k] = f"WITH {ctes},\n{body[5:]}"
+        else:
+            out[k] = f"WITH {ctes}\n{body}"
+    return out

@@ -191,7 +191,7 @@ def decode_shipments(spark, d):
 @query
 def unserved_demand(spark, d):
     st = Star(spark, d)
-    return evaluate.unserved_demand(st.demands, st.routes, st.open_warehouses)
+    return evaluate.unserved_demand(st.demands, st.routes, st.scenario_open)
 
 
 # ---- entries --------------------------------------------------------------------------
