@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from netloom.functions.columns import safe_div
 from netloom.functions.prefix import running_total
+from netloom.session import materialize
 from netloom.operators.tableau import DEXPR, EQ, GE, LE
 
 
@@ -24,9 +25,13 @@ def decision_values(*decisions: DataFrame) -> DataFrame:
 
 
 def row_activity(rows: DataFrame, entries: DataFrame, values: DataFrame) -> DataFrame:
-    """Per row: sum of coefficient * value; 0 for a row without entries."""
+    """Per row: sum of coefficient * value; 0 for a row without entries.
+
+    Decision vectors are sparse (most routes carry nothing), so only nonzero
+    values are joined to the entries; a row whose variables are all zero
+    gets activity 0 like a row without entries."""
     act = (
-        entries.join(values, "variable")
+        entries.join(values.where(F.col("value") != 0), "variable")
         .groupBy("cnstraint")
         .agg(F.sum(F.col("coefficient") * F.col("value")).alias("activity"))
     )
@@ -84,31 +89,38 @@ def constraint_text(listing: DataFrame, chunk_terms: int = 10000) -> DataFrame:
 
     Text is emitted in chunks of at most ``chunk_terms`` terms
     (``chunk`` 0, 1, ...); concatenating a constraint's chunks in order gives
-    its whole text. A decision expression has no relation part. The term
-    rank comes from a skew-safe running count, so a row with very many terms
-    (a cost expression) is spread over many tasks.
+    its whole text. A decision expression has no relation part.
+
+    A constraint of at most ``chunk_terms`` terms is one chunk, sorted within
+    its group. Only longer ones (a cost expression over every route) get term
+    ranks, from a skew-safe running count that spreads them over many tasks;
+    no group ever holds more than ``chunk_terms`` terms.
     """
-    coef = F.col("coefficient").cast("string")
-    ranked = running_total(listing.withColumn("_one", F.lit(1.0)), ["cnstraint"], "variable", "_one", "_rank")
-    rank = F.col("_rank").cast("long")
-    sign = F.when((rank > 1) & ~coef.startswith("-"), F.lit("+")).otherwise(F.lit(""))
-    terms = ranked.select(
-        "cnstraint", "sense", "rhs", "variable",
-        ((rank - 1) / chunk_terms).cast("long").alias("chunk"),
-        F.concat(sign, coef, F.lit("*"), F.col("variable"), F.lit(" ")).alias("term"),
-    )
     n_terms = listing.groupBy("cnstraint").agg(F.count(F.lit(1)).alias("_n"))
-    chunks = terms.groupBy("cnstraint", "sense", "rhs", "chunk").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("variable", "term"))), lambda x: x["term"]), "")
-        .alias("body")
+    # written once: the ranking (a sampling job and a pass) and the grouping all read it
+    lst = materialize(listing.join(n_terms, "cnstraint"), "constraint_terms")
+    short = lst.where(F.col("_n") <= chunk_terms).withColumn("chunk", F.lit(0).cast("long"))
+    long_ = lst.where(F.col("_n") > chunk_terms)
+    ranked = running_total(long_.withColumn("_one", F.lit(1.0)), ["cnstraint"], "variable", "_one", "_rank")
+    long_chunks = ranked.withColumn("chunk", ((F.col("_rank").cast("long") - 1) / chunk_terms).cast("long")).drop(
+        "_one", "_rank"
     )
+    terms = short.unionByName(long_chunks)
+    chunks = terms.groupBy("cnstraint", "sense", "rhs", "_n", "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("variable", F.col("coefficient").cast("string").alias("c")))).alias("t")
+    )
+
+    def term(x, i):
+        plus = F.when(((i > 0) | (F.col("chunk") > 0)) & ~x["c"].startswith("-"), F.lit("+")).otherwise(F.lit(""))
+        return F.concat(plus, x["c"], F.lit("*"), x["variable"], F.lit(" "))
+
     rel = (F.when(F.col("sense") == GE, F.lit(">= "))
            .when(F.col("sense") == LE, F.lit("<= "))
            .when(F.col("sense") == EQ, F.lit("== ")))
     last = F.col("chunk") == ((F.col("_n") - 1) / chunk_terms).cast("long")
     suffix = F.when(last & rel.isNotNull(), F.concat(rel, F.col("rhs").cast("string"))).otherwise(F.lit(""))
-    return chunks.join(n_terms, "cnstraint").select(
-        "cnstraint", "chunk", F.concat(F.col("body"), suffix).alias("text")
+    return chunks.select(
+        "cnstraint", "chunk", F.concat(F.array_join(F.transform("t", term), ""), suffix).alias("text")
     )
 
 

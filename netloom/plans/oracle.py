@@ -187,7 +187,7 @@ QUERIES = {
         b.lon AS store_lon, b.lat AS store_lat
         FROM routes r JOIN map_coordinates a ON r.location = a.location JOIN map_coordinates b ON r.store = b.location""",
     "decode_objectives": f"""SELECT 'warehousing' AS problem, cnstraint AS d_expr, '1995' AS scenario_id, 0 AS iteration,
-        round(activity, 2) AS value FROM ({_ACTIVITY}) a WHERE sense = 'dexpr'""",
+        round(activity, 2) + 0.0E0 AS value FROM ({_ACTIVITY}) a WHERE sense = 'dexpr'""",
     "decode_open": """SELECT substr(o.variable, 6) AS location, '1995' AS scenario_id, 0 AS iteration,
         CAST(o.value AS INTEGER) AS open, c.value AS capacity
         FROM plan_values o JOIN plan_values c ON c.variable = 'capacity_' || substr(o.variable, 6)
@@ -198,11 +198,11 @@ QUERIES = {
         WHERE NOT EXISTS (SELECT 1 FROM routes r JOIN scenario_open o ON r.location = o.location
                           WHERE r.store = d.store AND o.open = 1 AND (o.scenario_id = 'All' OR o.scenario_id = d.scenario_id))""",
     **ENTRIES,
-    "row_activity": f"SELECT cnstraint, sense, rhs, round(activity, 2) AS activity FROM ({_ACTIVITY}) a",
-    "violations": f"""SELECT cnstraint, sense, rhs, round(activity, 2) AS activity, round(violation, 2) AS violation FROM (
+    "row_activity": f"SELECT cnstraint, sense, rhs, round(activity, 2) + 0.0E0 AS activity FROM ({_ACTIVITY}) a",
+    "violations": f"""SELECT cnstraint, sense, rhs, round(activity, 2) + 0.0E0 AS activity, round(violation, 2) + 0.0E0 AS violation FROM (
         SELECT *, CASE sense WHEN 'GE' THEN rhs - activity WHEN 'LE' THEN activity - rhs WHEN 'EQ' THEN abs(activity - rhs) END
             AS violation FROM ({_ACTIVITY}) a WHERE sense <> 'dexpr') x WHERE violation > 1e-6""",
-    "objective_value": f"""SELECT 'totalCost' AS name, 'minimize' AS sense, round(activity, 2) AS value
+    "objective_value": f"""SELECT 'totalCost' AS name, 'minimize' AS sense, round(activity, 2) + 0.0E0 AS value
         FROM ({_ACTIVITY}) a WHERE cnstraint = 'totalCost' AND sense = 'dexpr'""",
     "bound_violations": """SELECT variable, 0.0E0 AS lower, 1.0E0 AS upper, value FROM plan_values
         WHERE value < 0 OR value > CASE WHEN variable LIKE 'capacity\\_%' ESCAPE '\\' THEN 1.0E20 ELSE 1.0E0 END""",

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,10 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # a single machine sees small partitions: split a hot one well below
+        # the cluster default of 256 MB (a cluster keeps its own settings)
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "32m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -52,3 +57,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     local checkpoint, which dies with its executor)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: later plans scan the written table (with column pruning and size
+    statistics) instead of recomputing its lineage."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/netloom-tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

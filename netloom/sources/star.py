@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netloom.schemas import OPEN_WAREHOUSES, SHIPMENTS
+from netloom.session import materialize
 
 
 def _year_id(c: str):
@@ -27,9 +28,10 @@ def _year_id(c: str):
 class Star:
     """Derived tables over ``sf_dir`` (one parquet file per base table)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize_lanes: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialize_lanes = materialize_lanes
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -56,6 +58,18 @@ class Star:
             )
         )
 
+    @cached_property
+    def lane_facts(self) -> DataFrame:
+        """Lanes per (location, store, scenario): shipped amount and cheapest freight.
+
+        Routes, demands and shipments are all aggregates of this table. It is
+        written once to the checkpoint folder (when ``materialize_lanes``), so
+        a query that uses several of them runs the line-item join once."""
+        facts = self.lanes.groupBy("location", "store", "scenario_id").agg(
+            F.sum("amount").alias("amount"), F.min("freight").alias("freight")
+        )
+        return materialize(facts, "lane_facts") if self.materialize_lanes else facts
+
     @cached_property
     def warehouses(self) -> DataFrame:
         k = F.col("s_suppkey")
@@ -71,11 +85,11 @@ class Star:
 
     @cached_property
     def routes(self) -> DataFrame:
-        return self.lanes.groupBy("location", "store").agg(F.min("freight").alias("shipping_cost"))
+        return self.lane_facts.groupBy("location", "store").agg(F.min("freight").alias("shipping_cost"))
 
     @cached_property
     def demands(self) -> DataFrame:
-        return self.lanes.groupBy("store", "scenario_id").agg(F.sum("amount").alias("amount"))
+        return self.lane_facts.groupBy("store", "scenario_id").agg(F.sum("amount").alias("amount"))
 
     @cached_property
     def scenarios(self) -> DataFrame:
@@ -104,12 +118,9 @@ class Star:
 
     @cached_property
     def shipments(self) -> DataFrame:
-        return (
-            self.lanes.groupBy("location", "store", "scenario_id")
-            .agg(F.sum("amount").alias("amount"))
-            .select("location", "store", "scenario_id", F.lit(0).alias("iteration"), "amount")
-            .select(*SHIPMENTS.fieldNames())
-        )
+        return self.lane_facts.select(
+            "location", "store", "scenario_id", F.lit(0).alias("iteration"), "amount"
+        ).select(*SHIPMENTS.fieldNames())
 
     @cached_property
     def loads(self) -> DataFrame:
