@@ -249,6 +249,8 @@ def constraint_family(df: DataFrame, family: str) -> DataFrame:
     """Rows or entries of one constraint family (the name before the first
     underscore); ``dexpr`` selects the decision-expression rows."""
     if family == DEXPR:
+        if "sense" in df.columns:
+            return df.where(F.col("sense") == DEXPR)
         return df.where(F.col("cnstraint").isin(CAPITAL_COST, OPERATING_COST, TOTAL_COST))
     return df.where(F.substring_index(F.col("cnstraint"), "_", 1) == F.lit(family))
 

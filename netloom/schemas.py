@@ -92,3 +92,18 @@ CUTTING_MODEL = {
     "duals": DUALS,
     "usages": USAGES,
 }
+
+# ---- multi-table JSON documents: the document's own table and field names ----
+# (load with ``load_json(spark, path, NETWORK_JSON_MODEL, renames=JSON_RENAMES)``;
+# names become snake_case, ``storeId`` becomes ``store``)
+NETWORK_JSON_MODEL = {
+    "warehouses": schema(("location", S), ("fixedCost", D), ("capacityCost", D)),
+    "routes": schema(("location", S), ("store", S), ("shippingCost", D)),
+    "stores": schema(("storeId", S)),
+    "mapCoordinates": schema(("location", S), ("lon", D), ("lat", D)),
+}
+DEMAND_JSON_MODEL = {
+    "demands": schema(("store", S), ("scenarioId", S), ("amount", D)),
+    "scenarios": schema(("id", S), ("totalDemand", D), ("periods", D)),
+}
+JSON_RENAMES = {"stores": {"storeId": "store"}}

@@ -83,3 +83,32 @@ def test_running_total_hot_group_matches_pandas(spark):
     got = out.sort_values(["g", "x"]).reset_index(drop=True)
     want = pdf.reset_index(drop=True)
     assert (got["run"].to_numpy() == want["run"].to_numpy()).all()
+
+
+def test_load_network_document_and_cost(spark):
+    """A network and a demand document in the multi-table layout, loaded with
+    declared types, feed the siting operators directly."""
+    from netloom.operators import siting
+    from tests.small_fixture import MAP_COORDINATES, STORES, WAREHOUSES
+
+    net = {
+        "routes": [{"location": l, "store": s, "shippingCost": c} for l, s, c in ROUTES],
+        "stores": [{"storeId": s} for s in STORES],
+        "warehouses": [{"location": l, "fixedCost": f, "capacityCost": c} for l, f, c in WAREHOUSES],
+        "mapCoordinates": [{"location": l, "lon": x, "lat": y} for l, x, y in MAP_COORDINATES],
+    }
+    dem = {
+        "demands": [{"store": s, "scenarioId": sc, "amount": a} for s, sc, a in DEMANDS],
+        "scenarios": [{"id": "0", "totalDemand": 571.0, "periods": 1}],
+    }
+    d = tempfile.mkdtemp(prefix="netloom-json-")
+    for name, doc in (("net.json", net), ("dem.json", dem)):
+        with open(os.path.join(d, name), "w") as f:
+            json.dump(doc, f, indent=2)
+    c = load_json(spark, os.path.join(d, "net.json"), schemas.NETWORK_JSON_MODEL, "net", schemas.JSON_RENAMES)
+    c = c.merge(load_json(spark, os.path.join(d, "dem.json"), schemas.DEMAND_JSON_MODEL, "dem"))
+    assert sorted(c.names()) == ["demands", "map_coordinates", "routes", "scenarios", "stores", "warehouses"]
+    assert c["stores"].columns == ["store"] and c["warehouses"].columns == ["location", "fixed_cost", "capacity_cost"]
+    sites = c["warehouses"].select(F.lit("all").alias("set_id"), "location")
+    total = siting.candidate_set_cost(c["routes"], c["warehouses"], c["demands"], sites, "0").first()["total_cost"]
+    assert total == pytest.approx(1261177.70, abs=1e-6)
