@@ -50,6 +50,28 @@ def assign_cheapest(routes: DataFrame, warehouses: DataFrame, demands: DataFrame
     )
 
 
+def _variable_costs(assignment: DataFrame, keys: list[str]) -> DataFrame:
+    return assignment.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("served_stores"),
+        F.sum("capacity_cost").alias("capacity_cost"),
+        F.sum("shipping_cost").alias("shipping_cost"),
+        F.sum("cost").alias("variable_cost"),
+    )
+
+
+def _report(df: DataFrame) -> DataFrame:
+    out = df.select(
+        "set_id", "scenario_id", "n_sites",
+        F.coalesce("served_stores", F.lit(0)).alias("served_stores"),
+        F.coalesce("demanded_stores", F.lit(0)).alias("demanded_stores"),
+        "fixed_cost",
+        F.coalesce("capacity_cost", F.lit(0.0)).alias("capacity_cost"),
+        F.coalesce("shipping_cost", F.lit(0.0)).alias("shipping_cost"),
+        (F.col("fixed_cost") + F.coalesce("variable_cost", F.lit(0.0))).alias("total_cost"),
+    )
+    return out.withColumn("feasible", F.col("served_stores") == F.col("demanded_stores"))
+
+
 def candidate_set_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFrame, candidates: DataFrame,
                        scenario_id: str | None = None) -> DataFrame:
     """Cost of each candidate set (per scenario).
@@ -61,30 +83,19 @@ def candidate_set_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFr
     """
     d = _demand(demands, scenario_id)
     a = assign_cheapest(routes, warehouses, d, candidates)
-    var = a.groupBy("set_id", "scenario_id").agg(
-        F.count(F.lit(1)).alias("served_stores"),
-        F.sum("capacity_cost").alias("capacity_cost"),
-        F.sum("shipping_cost").alias("shipping_cost"),
-        F.sum("cost").alias("variable_cost"),
-    )
     fixed = candidates.select("set_id", "location").join(warehouses.select("location", "fixed_cost"), "location").groupBy(
         "set_id"
     ).agg(F.count(F.lit(1)).alias("n_sites"), F.sum("fixed_cost").alias("fixed_cost"))
-    demanded = d.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("demanded_stores"))
     if scenario_id is not None:
-        grid = fixed.withColumn("scenario_id", F.lit(scenario_id)).join(var, ["set_id", "scenario_id"], "left")
+        # one scenario: the store count is a scalar subquery, sets join on their id
+        n_demanded = d.select(F.count(F.lit(1))).scalar()
+        grid = fixed.join(_variable_costs(a, ["set_id"]), "set_id", "left").select(
+            "*", F.lit(scenario_id).alias("scenario_id"), n_demanded.alias("demanded_stores")
+        )
     else:
-        grid = fixed.join(var, "set_id")
-    out = grid.join(demanded, "scenario_id", "left").select(
-        "set_id", "scenario_id", "n_sites",
-        F.coalesce("served_stores", F.lit(0)).alias("served_stores"),
-        F.coalesce("demanded_stores", F.lit(0)).alias("demanded_stores"),
-        "fixed_cost",
-        F.coalesce("capacity_cost", F.lit(0.0)).alias("capacity_cost"),
-        F.coalesce("shipping_cost", F.lit(0.0)).alias("shipping_cost"),
-        (F.col("fixed_cost") + F.coalesce("variable_cost", F.lit(0.0))).alias("total_cost"),
-    )
-    return out.withColumn("feasible", F.col("served_stores") == F.col("demanded_stores"))
+        demanded = d.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("demanded_stores"))
+        grid = fixed.join(_variable_costs(a, ["set_id", "scenario_id"]), "set_id").join(demanded, "scenario_id", "left")
+    return _report(grid)
 
 
 def best_set_per_scenario(routes: DataFrame, warehouses: DataFrame, demands: DataFrame,
@@ -110,9 +121,20 @@ def peak_plan_sites(routes: DataFrame, warehouses: DataFrame, demands: DataFrame
 
 
 def worst_case_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Every scenario served from the sites the peak-demand scenario opens."""
+    """Every scenario served from the sites the peak-demand scenario opens.
+
+    One site set, so its fixed cost and size are scalar subqueries and the
+    per-scenario costs join the demanded-store counts on the scenario id."""
     sites = peak_plan_sites(routes, warehouses, demands, scenarios)
-    return candidate_set_cost(routes, warehouses, demands, sites)
+    a = assign_cheapest(routes, warehouses, demands, sites)
+    fixed = sites.join(warehouses.select("location", "fixed_cost"), "location")
+    demanded = demands.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("demanded_stores"))
+    grid = demanded.join(_variable_costs(a, ["scenario_id"]), "scenario_id", "left").select(
+        F.lit("peak").alias("set_id"), "*",
+        fixed.select(F.count(F.lit(1))).scalar().alias("n_sites"),
+        fixed.select(F.sum("fixed_cost")).scalar().alias("fixed_cost"),
+    )
+    return _report(grid)
 
 
 def plan_from_assignment(assignment: DataFrame) -> tuple[DataFrame, DataFrame]:

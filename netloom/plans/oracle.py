@@ -300,9 +300,18 @@ QUERIES = {
         scen="'1995'", sets="candidate_sets", join="LEFT JOIN", vcond="",
         assign="assign95", dem="dem95_s"),
     "assign_cheapest": "SELECT * FROM assign95",
-    "worst_case_cost": _SET_COST.format(
-        scen="v.scenario_id", sets=_PEAK_SITES, join="JOIN", vcond="",
-        assign=_ASSIGN_ALL.format(dem="demands", sets=_PEAK_SITES), dem="demands"),
+    "worst_case_cost": f"""SELECT 'peak' AS set_id, dd.scenario_id, f.n_sites, coalesce(v.served_stores, 0) AS served_stores,
+            dd.demanded_stores, round(f.fixed_cost, 2) AS fixed_cost,
+            round(coalesce(v.capacity_cost, 0.0E0), 2) AS capacity_cost, round(coalesce(v.shipping_cost, 0.0E0), 2) AS shipping_cost,
+            round(f.fixed_cost + coalesce(v.variable_cost, 0.0E0), 2) AS total_cost,
+            coalesce(v.served_stores, 0) = dd.demanded_stores AS feasible
+        FROM (SELECT scenario_id, count(*) AS demanded_stores FROM demands GROUP BY scenario_id) dd
+        LEFT JOIN (SELECT scenario_id, count(*) AS served_stores, sum(capacity_cost) AS capacity_cost,
+                          sum(shipping_cost) AS shipping_cost, sum(cost) AS variable_cost
+                   FROM {_ASSIGN_ALL.format(dem="demands", sets=_PEAK_SITES)} a GROUP BY scenario_id) v
+          ON dd.scenario_id = v.scenario_id
+        CROSS JOIN (SELECT count(*) AS n_sites, sum(w.fixed_cost) AS fixed_cost
+                    FROM {_PEAK_SITES} c JOIN warehouses w ON c.location = w.location) f""",
     "best_set_per_scenario": f"""SELECT scenario_id, arg_min(set_id, (total_cost, set_id)) AS set_id, min(total_cost) AS total_cost,
         count(*) AS feasible_sets FROM ({_ALL_COST}) c WHERE feasible GROUP BY scenario_id""",
     "layer_warehouses": f"""SELECT w.location AS feature_id, 'Point' AS geometry_type, m.lon, m.lat,
