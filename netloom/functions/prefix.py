@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from netloom.session import cut_lineage
+from netloom.session import materialize
 
 
 def running_total(
@@ -61,8 +61,9 @@ def running_total(
             out["_pid"] = pid
             yield out
 
-    # materialise: the partition id must be the same for every later use
-    local_df = cut_lineage(ranged.mapInPandas(local, out_schema))
+    # written once to the shared checkpoint folder: the partition id must be
+    # the same for every later use, and later passes read columns, not lineage
+    local_df = materialize(ranged.mapInPandas(local, out_schema), "running_total")
 
     # groups at the two ends of each partition: at most 2 rows per partition
     gs = F.struct(*[F.col(c) for c in g])
