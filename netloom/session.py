@@ -40,10 +40,15 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (tests, a laptop) create a scratch folder for it."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, a laptop) without the setting gets a
+    scratch folder; on a cluster a machine-local folder would not survive
+    the loss of an executor, so the setting is required there."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
         path = tempfile.mkdtemp(prefix="netloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext

@@ -32,9 +32,12 @@ class Star:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.materialize_lanes = materialize_lanes
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # ---- network -----------------------------------------------------------
 
