@@ -27,7 +27,7 @@ def run(spark, fn, sf_dir) -> float:
 
 def main() -> None:
     from netloom.plans.registry import QUERIES
-    from netloom.session import local_session
+    from netloom.session import drop_scratch, local_session
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -49,6 +49,7 @@ def main() -> None:
         "cores": cpus,
         "spark": spark.version,
     }
+    drop_scratch(spark)
     print(json.dumps(out))
 
 

@@ -32,6 +32,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -64,12 +65,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for written intermediates, under the shared
+    checkpoint folder."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/netloom-tables/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: later plans scan the written table (with column pruning and size
     statistics) instead of recomputing its lineage."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/netloom-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's written intermediates. Call it once the
+    results of the queries that wrote them have been consumed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)

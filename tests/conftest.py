@@ -27,6 +27,9 @@ def spark():
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="netloom-test-ckpt-"))
     ensure_checkpoint_dir(s)
     yield s
+    from netloom.session import drop_scratch
+
+    drop_scratch(s)
 
 
 @pytest.fixture(scope="session")

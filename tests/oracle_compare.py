@@ -85,6 +85,9 @@ def main():
             print(compare(spark, con, k, qs[k], sql.get(k), sf_dir), flush=True)
         except Exception as e:  # report and go on
             print(f"ERR {k}: {type(e).__name__}: {str(e)[:600]}", flush=True)
+    from netloom.session import drop_scratch
+
+    drop_scratch(spark)
 
 
 if __name__ == "__main__":

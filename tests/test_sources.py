@@ -112,3 +112,16 @@ def test_load_network_document_and_cost(spark):
     sites = c["warehouses"].select(F.lit("all").alias("set_id"), "location")
     total = siting.candidate_set_cost(c["routes"], c["warehouses"], c["demands"], sites, "0").first()["total_cost"]
     assert total == pytest.approx(1261177.70, abs=1e-6)
+
+
+def test_scratch_tables_are_dropped(spark):
+    from netloom.session import drop_scratch, materialize, scratch_root
+
+    df = materialize(spark.range(10), "probe")
+    assert df.count() == 10
+    root = scratch_root(spark)
+    assert root.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+    drop_scratch(spark)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
