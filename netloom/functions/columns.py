@@ -52,3 +52,18 @@ def caption(labels: Sequence[tuple[str, str]] = (), data: Sequence[tuple[str, st
     if not parts:
         return F.lit("")
     return F.concat_ws("<br />", *parts)
+
+
+def join_null_safe(left, right, keys: Sequence[str], how: str = "inner"):
+    """Join on ``keys`` where NULL matches NULL (a NULL group is a group);
+    the key columns appear once, from the left side. Both sides are aliased,
+    so a side derived from the other (a self-join) resolves."""
+    import uuid
+    from functools import reduce as _reduce
+
+    a, b = f"l{uuid.uuid4().hex[:8]}", f"r{uuid.uuid4().hex[:8]}"
+    cond = _reduce(lambda x, y: x & y, [F.col(f"{a}.`{k}`").eqNullSafe(F.col(f"{b}.`{k}`")) for k in keys])
+    rest = [F.col(f"{b}.`{c}`") for c in right.columns if c not in keys]
+    return left.alias(a).join(right.alias(b), cond, how).select(
+        *[F.col(f"{a}.`{c}`") for c in left.columns], *rest
+    )

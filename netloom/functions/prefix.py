@@ -17,9 +17,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from netloom.functions.columns import join_null_safe
 from netloom.session import materialize
 
 
+def _same(a, b) -> bool:
+    """Key equality where missing values match (keys are scalars or tuples)."""
+    if isinstance(a, tuple):
+        return len(a) == len(b) and all(_same(x, y) for x, y in zip(a, b))
+    return bool(a == b) or (pd.isna(a) and pd.isna(b))
+
+
 def running_total(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -50,10 +58,10 @@ def running_total(
             if pdf.empty:
                 continue
             key = pd.MultiIndex.from_frame(pdf[g]) if len(g) > 1 else pd.Index(pdf[g[0]])
-            codes = pd.Series(pd.factorize(key)[0], index=pdf.index)
+            codes = pd.Series(pd.factorize(key, use_na_sentinel=False)[0], index=pdf.index)
             run = pdf[value_col].astype("float64").fillna(0.0).groupby(codes).cumsum()
             first = key[0]
-            if carry_key is not None and first == carry_key:
+            if carry_key is not None and _same(first, carry_key):
                 run = run.where(codes != 0, run + carry)
             carry_key, carry = key[-1], float(run.iloc[-1])
             out = pdf.copy()
@@ -71,14 +79,14 @@ def running_total(
     ends = ends.select("_pid", F.explode(F.array("lo", "hi")).alias("_g")).distinct()
     ends = ends.select("_pid", *[F.col(f"_g.{c}").alias(c) for c in g])
     edge_tot = (
-        local_df.join(F.broadcast(ends), ["_pid", *g])
+        join_null_safe(local_df, F.broadcast(ends), ["_pid", *g])
         .groupBy("_pid", *g)
         .agg(F.max_by(out_col, order_col).alias("_tot"))
     )
     w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = edge_tot.select("_pid", *g, F.coalesce(F.sum("_tot").over(w), F.lit(0.0)).alias("_off"))
     return (
-        local_df.join(F.broadcast(offsets), ["_pid", *g], "left")
+        join_null_safe(local_df, F.broadcast(offsets), ["_pid", *g], "left")
         .withColumn(out_col, F.col(out_col) + F.coalesce(F.col("_off"), F.lit(0.0)))
         .drop("_pid", "_off")
     )

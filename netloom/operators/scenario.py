@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netloom.functions.columns import pop_corr, safe_div
+from netloom.functions.columns import join_null_safe, pop_corr, safe_div
 from netloom.functions.prefix import running_total
 
 
@@ -127,10 +127,12 @@ def cumulative_distribution(df: DataFrame, group_by: Sequence[str], data_col: st
                             out_col: str = "cumulative") -> DataFrame:
     """Per group, sorted by ``data_col``: accumulated ``prob_col`` over the
     group total (peers share a value). Skew-safe: a hot group is spread over
-    many tasks by a range-partitioned running sum."""
+    many tasks by a range-partitioned running sum. A NULL group is a group;
+    rows with a NULL data value are not ordered and get a NULL result."""
     g = list(group_by)
-    pre = df.groupBy(*g, data_col).agg(F.sum(prob_col).cast("double").alias("_p"))
+    valued = df.where(F.col(data_col).isNotNull())
+    pre = valued.groupBy(*g, data_col).agg(F.sum(prob_col).cast("double").alias("_p"))
     run = running_total(pre, g, data_col, "_p", "_cum")
     tot = pre.groupBy(*g).agg(F.sum("_p").alias("_tot"))
-    cdf = run.join(tot, g).select(*g, data_col, safe_div("_cum", "_tot").alias(out_col))
-    return df.join(cdf, [*g, data_col])
+    cdf = join_null_safe(run, tot, g).select(*g, data_col, safe_div("_cum", "_tot").alias(out_col))
+    return join_null_safe(df, cdf, [*g, data_col], "left")

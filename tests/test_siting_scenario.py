@@ -148,3 +148,17 @@ def test_objective_by_scenario_and_unserved(spark, small):
     un = evaluate.unserved_demand(demands, routes, only_w1).collect()
     assert sorted((r["store"], r["scenario_id"]) for r in un) == [("a", "s1"), ("a", "s3"), ("b", "s1"), ("b", "s3"),
                                                                    ("c", "s1")]
+
+
+def test_cumulative_distribution_null_groups(spark):
+    rows = [(None, float(i % 5), 1.0) for i in range(40)] + [("x", 1.0, 2.0), ("x", None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double, p double")
+    from netloom.functions.prefix import running_total
+
+    out = {(r["g"], r["v"]): r["cumulative"] for r in
+           scenario.cumulative_distribution(df, ["g"], "v", "p").distinct().collect()}
+    assert out[(None, 0.0)] == pytest.approx(0.2) and out[(None, 4.0)] == pytest.approx(1.0)
+    assert out[("x", 1.0)] == 1.0 and out[("x", None)] is None
+    pre = spark.createDataFrame([(None, i, 1.0) for i in range(50)], "g string, x int, v double")
+    got = sorted((r["x"], r["run"]) for r in running_total(pre, ["g"], "x", "v", "run", partitions=5).collect())
+    assert got == [(i, float(i + 1)) for i in range(50)]
