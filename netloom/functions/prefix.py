@@ -45,15 +45,21 @@ def running_total(
     g = list(group_cols)
     keys = [*g, order_col]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    names = ranged.columns
+    # summary rows leave the other columns NULL, so every field is nullable
     out_schema = StructType(
-        list(ranged.schema.fields) + [StructField(out_col, DoubleType()), StructField("_pid", IntegerType())]
+        [StructField(f.name, f.dataType, True) for f in ranged.schema.fields]
+        + [StructField(out_col, DoubleType()), StructField("_pid", IntegerType()), StructField("_kind", IntegerType())]
     )
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows with partial running sums (kind 0), then one summary row for
+        the partition's first group (kind 1) and one for its last (kind 2),
+        each carrying the group's total within the partition."""
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        carry_key, carry = None, 0.0
+        carry_key, carry, first_key, first_tot, seen = None, 0.0, None, 0.0, False
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -63,30 +69,37 @@ def running_total(
             first = key[0]
             if carry_key is not None and _same(first, carry_key):
                 run = run.where(codes != 0, run + carry)
+            if not seen:
+                first_key, seen = first, True
+            if _same(first, first_key):
+                first_tot = float(run[codes == 0].iloc[-1])
             carry_key, carry = key[-1], float(run.iloc[-1])
             out = pdf.copy()
             out[out_col] = run.to_numpy()
             out["_pid"] = pid
+            out["_kind"] = 0
             yield out
+        if seen:
+            ends = [(first_key, first_tot, 1)]
+            if not _same(first_key, carry_key):
+                ends.append((carry_key, carry, 2))
+            rows = []
+            for k, tot, kind in ends:
+                vals = dict(zip(g, k if len(g) > 1 else (k,)))
+                rows.append({**{c: vals.get(c) for c in names}, out_col: tot, "_pid": pid, "_kind": kind})
+            yield pd.DataFrame(rows, columns=[*names, out_col, "_pid", "_kind"])
 
     # written once to the shared checkpoint folder: the partition id must be
     # the same for every later use, and later passes read columns, not lineage
     local_df = materialize(ranged.mapInPandas(local, out_schema), "running_total")
-
-    # groups at the two ends of each partition: at most 2 rows per partition
-    gs = F.struct(*[F.col(c) for c in g])
-    ends = local_df.groupBy("_pid").agg(F.min(gs).alias("lo"), F.max(gs).alias("hi"))
-    ends = ends.select("_pid", F.explode(F.array("lo", "hi")).alias("_g")).distinct()
-    ends = ends.select("_pid", *[F.col(f"_g.{c}").alias(c) for c in g])
-    edge_tot = (
-        join_null_safe(local_df, F.broadcast(ends), ["_pid", *g])
-        .groupBy("_pid", *g)
-        .agg(F.max_by(out_col, order_col).alias("_tot"))
-    )
+    data = local_df.where(F.col("_kind") == 0)
+    # at most two summary rows per partition: the offset of a group cut by a
+    # partition boundary is the sum of its totals in earlier partitions
+    edges = local_df.where(F.col("_kind") > 0).select("_pid", *g, F.col(out_col).alias("_tot"))
     w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = edge_tot.select("_pid", *g, F.coalesce(F.sum("_tot").over(w), F.lit(0.0)).alias("_off"))
+    offsets = edges.select("_pid", *g, F.coalesce(F.sum("_tot").over(w), F.lit(0.0)).alias("_off"))
     return (
-        join_null_safe(local_df, F.broadcast(offsets), ["_pid", *g], "left")
+        join_null_safe(data, F.broadcast(offsets), ["_pid", *g], "left")
         .withColumn(out_col, F.col(out_col) + F.coalesce(F.col("_off"), F.lit(0.0)))
-        .drop("_pid", "_off")
+        .drop("_pid", "_off", "_kind")
     )
