@@ -96,17 +96,23 @@ def constraint_text(listing: DataFrame, chunk_terms: int = 10000) -> DataFrame:
     ranks, from a skew-safe running count that spreads them over many tasks;
     no group ever holds more than ``chunk_terms`` terms.
     """
-    n_terms = listing.groupBy("cnstraint").agg(F.count(F.lit(1)).alias("_n"))
-    # written once: the ranking (a sampling job and a pass) and the grouping all read it
-    lst = materialize(listing.join(n_terms, "cnstraint"), "constraint_terms")
-    short = lst.where(F.col("_n") <= chunk_terms).withColumn("chunk", F.lit(0).cast("long"))
-    long_ = lst.where(F.col("_n") > chunk_terms)
+    # written once: the term counts, both branches and the ranking all read it
+    lst = materialize(listing, "constraint_terms")
+    n_terms = lst.groupBy("cnstraint").agg(F.count(F.lit(1)).alias("_n"))
+    # constraints longer than one chunk: at most (terms / chunk_terms) of them
+    long_keys = n_terms.where(F.col("_n") > chunk_terms)
+    short = lst.join(long_keys.select("cnstraint"), "cnstraint", "left_anti").select(
+        "*", F.lit(0).cast("long").alias("_last"), F.lit(0).cast("long").alias("chunk")
+    )
+    long_ = lst.join(long_keys, "cnstraint").select(
+        *lst.columns, ((F.col("_n") - 1) / chunk_terms).cast("long").alias("_last")
+    )
     ranked = running_total(long_.withColumn("_one", F.lit(1.0)), ["cnstraint"], "variable", "_one", "_rank")
     long_chunks = ranked.withColumn("chunk", ((F.col("_rank").cast("long") - 1) / chunk_terms).cast("long")).drop(
         "_one", "_rank"
     )
     terms = short.unionByName(long_chunks)
-    chunks = terms.groupBy("cnstraint", "sense", "rhs", "_n", "chunk").agg(
+    chunks = terms.groupBy("cnstraint", "sense", "rhs", "_last", "chunk").agg(
         F.array_sort(F.collect_list(F.struct("variable", F.col("coefficient").cast("string").alias("c")))).alias("t")
     )
 
@@ -117,7 +123,7 @@ def constraint_text(listing: DataFrame, chunk_terms: int = 10000) -> DataFrame:
     rel = (F.when(F.col("sense") == GE, F.lit(">= "))
            .when(F.col("sense") == LE, F.lit("<= "))
            .when(F.col("sense") == EQ, F.lit("== ")))
-    last = F.col("chunk") == ((F.col("_n") - 1) / chunk_terms).cast("long")
+    last = F.col("chunk") == F.col("_last")
     suffix = F.when(last & rel.isNotNull(), F.concat(rel, F.col("rhs").cast("string"))).otherwise(F.lit(""))
     return chunks.select(
         "cnstraint", "chunk", F.concat(F.array_join(F.transform("t", term), ""), suffix).alias("text")
