@@ -23,30 +23,37 @@ def _demand(demands: DataFrame, scenario_id: str | None) -> DataFrame:
     return demands if scenario_id is None else scenario_slice(demands, scenario_id)
 
 
-def assign_cheapest(routes: DataFrame, warehouses: DataFrame, demands: DataFrame, candidates: DataFrame,
-                    scenario_id: str | None = None) -> DataFrame:
-    """Per (set, scenario, store): the chosen site and its costs.
+def cheapest_route(routes: DataFrame, warehouses: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Per (set, store): the open route of least unit cost (shipping cost +
+    the site's capacity cost), ties to the smallest location name.
 
-    Ties on unit cost go to the smallest location name."""
-    d = _demand(demands, scenario_id)
-    dor = routes.join(d, "store").select("location", "store", "scenario_id", F.col("amount").alias("demand"), "shipping_cost")
+    The choice does not depend on the scenario (demand only scales the
+    cost), so it is made once per (set, store), not once per scenario."""
     cand = candidates.select("set_id", "location").join(warehouses.select("location", "capacity_cost"), "location")
-    per_route = dor.join(cand, "location").select(
-        "set_id", "scenario_id", "store",
+    per_route = routes.join(cand, "location").select(
+        "set_id", "store",
         F.struct(
             (F.col("shipping_cost") + F.col("capacity_cost")).alias("unit_cost"),
-            "location", "shipping_cost", "capacity_cost", "demand",
+            "location", "shipping_cost", "capacity_cost",
         ).alias("o"),
     )
-    best = per_route.groupBy("set_id", "scenario_id", "store").agg(F.min("o").alias("b"))
-    return best.select(
-        "set_id", "scenario_id", "store",
-        F.col("b.location").alias("location"),
-        F.col("b.demand").alias("demand"),
-        F.col("b.unit_cost").alias("unit_cost"),
-        (F.col("b.shipping_cost") * F.col("b.demand")).alias("shipping_cost"),
-        (F.col("b.capacity_cost") * F.col("b.demand")).alias("capacity_cost"),
-        (F.col("b.unit_cost") * F.col("b.demand")).alias("cost"),
+    return per_route.groupBy("set_id", "store").agg(F.min("o").alias("b")).select(
+        "set_id", "store", "b.location", "b.unit_cost", "b.shipping_cost", "b.capacity_cost"
+    )
+
+
+def assign_cheapest(routes: DataFrame, warehouses: DataFrame, demands: DataFrame, candidates: DataFrame,
+                    scenario_id: str | None = None) -> DataFrame:
+    """Per (set, scenario, store with demand): the chosen site and its costs.
+
+    Ties on unit cost go to the smallest location name."""
+    d = _demand(demands, scenario_id).select("store", "scenario_id", F.col("amount").alias("demand"))
+    best = cheapest_route(routes, warehouses, candidates)
+    return best.join(d, "store").select(
+        "set_id", "scenario_id", "store", "location", "demand", "unit_cost",
+        (F.col("shipping_cost") * F.col("demand")).alias("shipping_cost"),
+        (F.col("capacity_cost") * F.col("demand")).alias("capacity_cost"),
+        (F.col("unit_cost") * F.col("demand")).alias("cost"),
     )
 
 
