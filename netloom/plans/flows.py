@@ -51,9 +51,8 @@ def cheapest_decisions(data: Collection, problem: Collection, scenario_id: str,
     best = siting.best_set_per_scenario(r, w, d, cands).select("set_id")
     chosen = cands.join(best, "set_id", "left_semi")
     a = siting.assign_cheapest(r, w, d, chosen)
-    open_plan, ship_plan = siting.plan_from_assignment(a)
-    b, f = decode.decisions_from_plan(problem["columns_open"], problem["columns_capacity"], problem["columns_ship"],
-                                      open_plan, ship_plan)
+    b, f = decode.decisions_from_values(problem["columns_open"], problem["columns_capacity"], problem["columns_ship"],
+                                        decode.plan_values(a))
     return Collection("decisions").add_table("boolean_decisions", b).add_table("float_decisions", f).add_table(
         "integer_decisions", problem["integer_columns"])
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from netloom.operators import cutting, decode, evaluate, geo, scenario, siting, tableau
 from netloom.sources.collection import Collection, key_violations
+from netloom.session import materialize
 from netloom.sources.star import Star
 
 # fixed values used by the registered queries
@@ -156,9 +157,10 @@ def _solution(st: Star):
     tab = tableau.encode(spark, st.warehouses, st.stores, st.routes, st.demands, SCENARIO)
     everyone = st.warehouses.select(F.lit(ALL_SET).alias("set_id"), "location")
     assignment = siting.assign_cheapest(st.routes, st.warehouses, st.demands, everyone, SCENARIO)
-    open_plan, ship_plan = siting.plan_from_assignment(assignment)
-    bdec, fdec = decode.decisions_from_plan(tab.columns_open, tab.columns_capacity, tab.columns_ship,
-                                            open_plan, ship_plan)
+    # the plan's nonzero values feed both decision tables: written once, so the
+    # cheapest-route arg-min runs once
+    values = materialize(decode.plan_values(assignment), "plan_values")
+    bdec, fdec = decode.decisions_from_values(tab.columns_open, tab.columns_capacity, tab.columns_ship, values)
     return tab, bdec, fdec
 
 

@@ -131,3 +131,13 @@ def test_constraint_matrix(spark, small):
     assert len(m.columns) == 3 + 22
     with pytest.raises(ValueError):
         evaluate.constraint_matrix(t.entries, t.rows, variables, max_columns=5)
+
+
+def test_plan_values_equal_plan_tables(spark, small):
+    t = _enc(spark, small)
+    a, _ = _plan(spark, small, ["Brockton, MA", "Bristol, CT"])
+    open_plan, ship_plan = siting.plan_from_assignment(a)
+    b1, f1 = decode.decisions_from_plan(t.columns_open, t.columns_capacity, t.columns_ship, open_plan, ship_plan)
+    b2, f2 = decode.decisions_from_values(t.columns_open, t.columns_capacity, t.columns_ship, decode.plan_values(a))
+    assert sorted(b1.collect()) == sorted(b2.collect())
+    assert sorted(f1.collect()) == sorted(f2.collect())
