@@ -34,21 +34,27 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     spark = local_session(cpus, cpus * 2)
     names = HEADLINE + (EXTRA if os.environ.get("BENCH_EXTRA", "1") == "1" else [])
-    times = {}
+    times, errors = {}, {}
     for name in names:
         fn = QUERIES[name]
-        run(spark, fn, sf_dir)  # warm-up
-        times[name] = round(statistics.median(run(spark, fn, sf_dir) for _ in range(reps)), 3)
+        try:
+            run(spark, fn, sf_dir)  # warm-up
+            times[name] = round(statistics.median(run(spark, fn, sf_dir) for _ in range(reps)), 3)
+        except Exception as e:  # record and go on: one failure must not hide the other timings
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {
         "metric": "headline_total_median_sec",
-        "value": round(sum(times[n] for n in HEADLINE), 3),
+        "value": round(sum(times[n] for n in HEADLINE), 3) if all(times[n] is not None for n in HEADLINE) else None,
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cores": cpus,
         "spark": spark.version,
     }
+    if errors:
+        out["errors"] = errors
     drop_scratch(spark)
     print(json.dumps(out))
 
