@@ -163,6 +163,20 @@ QUERIES = {
         UNION ALL SELECT 'demands', count(*) FROM demands UNION ALL SELECT 'scenarios', count(*) FROM scenarios""",
     "key_violations": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "check_keys": """SELECT table_name, CAST(key AS VARCHAR) AS key, n_rows FROM (SELECT 'lineitem' AS table_name,
+            to_json({'l_orderkey': l_orderkey, 'l_linenumber': l_linenumber}) AS key, count(*) AS n_rows
+        FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+        UNION ALL SELECT 'orders', to_json({'o_orderkey': o_orderkey}), count(*) FROM orders GROUP BY o_orderkey HAVING count(*) > 1
+        UNION ALL SELECT 'customer', to_json({'c_custkey': c_custkey}), count(*) FROM customer GROUP BY c_custkey HAVING count(*) > 1
+        UNION ALL SELECT 'supplier', to_json({'s_suppkey': s_suppkey}), count(*) FROM supplier GROUP BY s_suppkey HAVING count(*) > 1
+        UNION ALL SELECT 'part', to_json({'p_partkey': p_partkey}), count(*) FROM part GROUP BY p_partkey HAVING count(*) > 1
+        UNION ALL SELECT 'warehouses', to_json({'location': location}), count(*) FROM warehouses GROUP BY location HAVING count(*) > 1
+        UNION ALL SELECT 'routes', to_json({'location': location, 'store': store}), count(*) FROM routes
+                  GROUP BY location, store HAVING count(*) > 1
+        UNION ALL SELECT 'stores', to_json({'store': store}), count(*) FROM stores GROUP BY store HAVING count(*) > 1
+        UNION ALL SELECT 'demands', to_json({'store': store, 'scenario_id': scenario_id}), count(*) FROM demands
+                  GROUP BY store, scenario_id HAVING count(*) > 1
+        UNION ALL SELECT 'scenarios', to_json({'id': id}), count(*) FROM scenarios GROUP BY id HAVING count(*) > 1) k""",
     "columns_open": "SELECT 'open_' || location AS variable, 0 AS lower, 1 AS upper, 0 AS value, location FROM warehouses",
     "columns_capacity": """SELECT 'capacity_' || location AS variable, 0.0E0 AS lower, 1.0E20 AS upper, 0.0E0 AS value, location
         FROM warehouses""",

@@ -55,6 +55,24 @@ def lineitem_key_violations(spark, d):
     return key_violations(Star(spark, d).table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+# natural keys of the base tables (fixed values of the star schema)
+BASE_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
+             "supplier": ["s_suppkey"], "part": ["p_partkey"]}
+
+
+@query
+def check_keys(spark, d):
+    st = Star(spark, d)
+    c = Collection("star")
+    for t in BASE_KEYS:
+        c = c.add_table(t, st.table(t))
+    for t in ("warehouses", "routes", "stores", "demands", "scenarios"):
+        c = c.add_table(t, getattr(st, t))
+    from netloom.schemas import KEYS
+
+    return c.check_keys({**KEYS, **BASE_KEYS})
+
+
 # ---- projections -------------------------------------------------------------------
 
 @query

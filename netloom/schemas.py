@@ -107,3 +107,28 @@ DEMAND_JSON_MODEL = {
     "scenarios": schema(("id", S), ("totalDemand", D), ("periods", D)),
 }
 JSON_RENAMES = {"stores": {"storeId": "store"}}
+
+# ---- key columns of each table (a keyed set: at most one row per key) ----
+KEYS = {
+    "warehouses": ["location"],
+    "routes": ["location", "store"],
+    "stores": ["store"],
+    "map_coordinates": ["location"],
+    "demands": ["store", "scenario_id"],
+    "scenarios": ["id"],
+    "objectives": ["problem", "d_expr", "scenario_id", "iteration"],
+    "open_warehouses": ["location", "scenario_id", "iteration"],
+    "shipments": ["location", "store", "scenario_id", "iteration"],
+    "unserved_demand": ["store", "scenario_id"],
+    "boolean_columns": ["variable"],
+    "integer_columns": ["variable"],
+    "float_columns": ["variable"],
+    "rows": ["cnstraint"],
+    "entries": ["cnstraint", "variable"],
+    "parameters": [],
+    "orders": ["item"],
+    "patterns": ["id"],
+    "slices": ["item", "pattern"],
+    "duals": ["item", "iteration"],
+    "usages": ["pattern"],
+}

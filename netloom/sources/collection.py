@@ -103,6 +103,23 @@ class Collection:
     def key_violations(self, name: str, keys: list[str]) -> DataFrame:
         return key_violations(self.tables[name], keys)
 
+    def check_keys(self, keys: Mapping[str, list[str]] | None = None) -> DataFrame:
+        """Every duplicated key of every keyed table, in one job:
+        (table_name, key as text, n_rows). Keys default to ``schemas.KEYS``."""
+        from netloom.schemas import KEYS
+
+        keys = KEYS if keys is None else keys
+        parts = []
+        for t, df in self.tables.items():
+            k = keys.get(t)
+            if not k:
+                continue
+            text = F.to_json(F.struct(*[F.col(c) for c in k]))
+            parts.append(key_violations(df, k).select(F.lit(t).alias("table_name"), text.alias("key"), "n_rows"))
+        if not parts:
+            raise ValueError("no keyed tables in the collection")
+        return reduce(DataFrame.unionByName, parts)
+
     # ---- sinks ------------------------------------------------------------
 
     def write(self, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

@@ -125,3 +125,11 @@ def test_scratch_tables_are_dropped(spark):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_check_keys(spark, small):
+    assert small.check_keys().count() == 0
+    dup = small.append("routes", small["routes"].where(F.col("store") == "Quincy, MA"))
+    got = [(r["table_name"], r["key"], r["n_rows"]) for r in dup.check_keys().collect()]
+    assert sorted(got) == [("routes", '{"location":"Bristol, CT","store":"Quincy, MA"}', 2),
+                           ("routes", '{"location":"Brockton, MA","store":"Quincy, MA"}', 2)]
