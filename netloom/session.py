@@ -72,14 +72,19 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root}/netloom-tables/{spark.sparkContext.applicationId}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: later plans scan the written table (with column pruning and size
-    statistics) instead of recomputing its lineage."""
+    statistics) instead of recomputing its lineage.
+
+    With ``partition_by`` (a low-cardinality column such as a scenario id)
+    a filter on it reads only the matching folders. The table is read back
+    with its own schema, so partition values keep their type."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def drop_scratch(spark: SparkSession) -> None:

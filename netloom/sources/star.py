@@ -66,12 +66,16 @@ class Star:
         """Lanes per (location, store, scenario): shipped amount and cheapest freight.
 
         Routes, demands and shipments are all aggregates of this table. It is
-        written once to the checkpoint folder (when ``materialize_lanes``), so
-        a query that uses several of them runs the line-item join once."""
+        written once to the checkpoint folder (when ``materialize_lanes``),
+        partitioned by scenario, so a query that uses several of them runs
+        the line-item join once and a one-scenario slice reads one folder."""
         facts = self.lanes.groupBy("location", "store", "scenario_id").agg(
             F.sum("amount").alias("amount"), F.min("freight").alias("freight")
         )
-        return materialize(facts, "lane_facts") if self.materialize_lanes else facts
+        if not self.materialize_lanes:
+            return facts
+        # partitioned by scenario: a one-scenario query reads one folder
+        return materialize(facts, "lane_facts", partition_by=["scenario_id"])
 
     @cached_property
     def warehouses(self) -> DataFrame:
