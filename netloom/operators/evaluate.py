@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netloom.functions.columns import safe_div
 from netloom.functions.prefix import running_total
 from netloom.session import materialize
 from netloom.operators.tableau import DEXPR, EQ, GE, LE
