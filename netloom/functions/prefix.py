@@ -40,11 +40,13 @@ def running_total(
 
     ``order_col`` must be unique within a group (aggregate peers first).
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_cols)
     keys = [*g, order_col]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without a fixed count AQE may merge adjacent range partitions (sized to
+    # the data); merged partitions stay contiguous in key order, which is all
+    # the partial sums below rely on
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys)
     names = ranged.columns
     # summary rows leave the other columns NULL, so every field is nullable
     out_schema = StructType(

@@ -77,12 +77,18 @@ def test_write_and_read_collection(spark):
 def test_running_total_hot_group_matches_pandas(spark):
     rows = [("hot", i, float(i % 7)) for i in range(3000)] + [(f"g{j}", i, 1.0) for j in range(20) for i in range(5)]
     df = spark.createDataFrame(rows, "g string, x int, v double")
-    out = running_total(df, ["g"], "x", "v", "run", partitions=8).toPandas()
     pdf = pd.DataFrame(rows, columns=["g", "x", "v"]).sort_values(["g", "x"])
     pdf["run"] = pdf.groupby("g")["v"].cumsum()
-    got = out.sort_values(["g", "x"]).reset_index(drop=True)
     want = pdf.reset_index(drop=True)
-    assert (got["run"].to_numpy() == want["run"].to_numpy()).all()
+    # a fixed partition count, and ranges sized by AQE with a small advisory size
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        for parts in (8, None):
+            out = running_total(df, ["g"], "x", "v", "run", partitions=parts).toPandas()
+            got = out.sort_values(["g", "x"]).reset_index(drop=True)
+            assert (got["run"].to_numpy() == want["run"].to_numpy()).all()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
 def test_load_network_document_and_cost(spark):
