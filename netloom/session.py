@@ -48,11 +48,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the loss of an executor, so the setting is required there."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
         path = tempfile.mkdtemp(prefix="netloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context; the server checkpoints
+        return path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
@@ -69,7 +72,7 @@ def scratch_root(spark: SparkSession) -> str:
     """This application's folder for written intermediates, under the shared
     checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/netloom-tables/{spark.sparkContext.applicationId}"
+    return f"{root}/netloom-tables/{spark.conf.get('spark.app.id', 'app')}"
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -90,8 +93,11 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's written intermediates. Call it once the
     results of the queries that wrote them have been consumed."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: remove the folder with the storage's own tools
+        return
+    path = sc._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
     if fs.exists(path):
         fs.delete(path, True)
