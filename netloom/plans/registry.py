@@ -169,28 +169,38 @@ def routes_geo(spark, d):
     return geo.routes_geo(st.routes, st.map_coordinates)
 
 
-def _solution(st: Star):
-    """Tableau for SCENARIO, and decisions from the cheapest assignment over all sites."""
-    spark = st.spark
-    tab = tableau.encode(spark, st.warehouses, st.stores, st.routes, st.demands, SCENARIO)
+def _assignment(st: Star) -> DataFrame:
+    """Cheapest route per store over all sites, for SCENARIO."""
     everyone = st.warehouses.select(F.lit(ALL_SET).alias("set_id"), "location")
-    assignment = siting.assign_cheapest(st.routes, st.warehouses, st.demands, everyone, SCENARIO)
+    return siting.assign_cheapest(st.routes, st.warehouses, st.demands, everyone, SCENARIO)
+
+
+def _tableau(st: Star):
+    return tableau.encode(st.spark, st.warehouses, st.stores, st.routes, st.demands, SCENARIO)
+
+
+def _solution(st: Star):
+    """Tableau for SCENARIO, and solver-style decision tables (every column)
+    of the cheapest assignment over all sites."""
+    tab = _tableau(st)
     # the plan's nonzero values feed both decision tables: written once, so the
     # cheapest-route arg-min runs once
-    values = materialize(decode.plan_values(assignment), "plan_values")
+    values = materialize(decode.plan_values(_assignment(st)), "plan_values")
     bdec, fdec = decode.decisions_from_values(tab.columns_open, tab.columns_capacity, tab.columns_ship, values)
     return tab, bdec, fdec
 
 
 def _activity(st: Star):
-    tab, bdec, fdec = _solution(st)
-    act = evaluate.row_activity(tab.rows, tab.entries, evaluate.decision_values(bdec, tab.integer_columns, fdec))
-    return tab, bdec, fdec, act
+    """Row activity of the same plan: the product needs only the nonzero
+    decision values, which the assignment gives directly."""
+    tab = _tableau(st)
+    act = evaluate.row_activity(tab.rows, tab.entries, decode.plan_values(_assignment(st)))
+    return tab, act
 
 
 @query
 def decode_objectives(spark, d):
-    _, _, _, act = _activity(Star(spark, d))
+    _, act = _activity(Star(spark, d))
     return _round(decode.decode_objectives(evaluate.optimal_objectives(act), SCENARIO), 2, ["value"])
 
 
@@ -262,19 +272,19 @@ def entries_dexpr_ship(spark, d):
 
 @query
 def row_activity(spark, d):
-    _, _, _, act = _activity(Star(spark, d))
+    _, act = _activity(Star(spark, d))
     return _round(act, 2, ["activity"])
 
 
 @query
 def violations(spark, d):
-    _, _, _, act = _activity(Star(spark, d))
+    _, act = _activity(Star(spark, d))
     return _round(evaluate.violations(act), 2, ["activity", "violation"])
 
 
 @query
 def objective_value(spark, d):
-    tab, _, _, act = _activity(Star(spark, d))
+    tab, act = _activity(Star(spark, d))
     return _round(evaluate.objective_value(act, tab.objectives), 2, ["value"])
 
 
