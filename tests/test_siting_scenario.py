@@ -162,3 +162,20 @@ def test_cumulative_distribution_null_groups(spark):
     pre = spark.createDataFrame([(None, i, 1.0) for i in range(50)], "g string, x int, v double")
     got = sorted((r["x"], r["run"]) for r in running_total(pre, ["g"], "x", "v", "run", partitions=5).collect())
     assert got == [(i, float(i + 1)) for i in range(50)]
+
+
+def test_write_geojson(spark, small):
+    import json
+    import os
+    import tempfile
+
+    path = os.path.join(tempfile.mkdtemp(prefix="netloom-geo-"), "routes")
+    layer = geo.layer_routes(geo.routes_geo(small["routes"], small["map_coordinates"]), data=[("shipping_cost", "Cost")])
+    geo.write_geojson(layer, path)
+    feats = [json.loads(line) for line in spark.read.text(path).toPandas()["value"]]
+    assert len(feats) == 18 and all(f["type"] == "Feature" for f in feats)
+    one = next(f for f in feats if f["properties"]["feature_id"] == "Brockton, MA -> Quincy, MA")
+    assert one["geometry"] == {"type": "LineString", "coordinates": [[-71.01, 42.08], [-71.0, 42.25]]}
+    assert one["properties"]["caption"].endswith("<br />Cost: 18.61")
+    pts = geo.geojson_features(geo.layer_stores(geo.stores_geo(small["stores"], small["map_coordinates"]))).collect()
+    assert json.loads(pts[0]["value"])["geometry"]["type"] == "Point"
