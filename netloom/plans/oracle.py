@@ -177,6 +177,8 @@ QUERIES = {
         UNION ALL SELECT 'demands', to_json({'store': store, 'scenario_id': scenario_id}), count(*) FROM demands
                   GROUP BY store, scenario_id HAVING count(*) > 1
         UNION ALL SELECT 'scenarios', to_json({'id': id}), count(*) FROM scenarios GROUP BY id HAVING count(*) > 1) k""",
+    "write_collection": """SELECT r.location, r.store, r.shipping_cost, w.capacity_cost
+        FROM routes r JOIN warehouses w ON r.location = w.location""",
     "columns_open": "SELECT 'open_' || location AS variable, 0 AS lower, 1 AS upper, 0 AS value, location FROM warehouses",
     "columns_capacity": """SELECT 'capacity_' || location AS variable, 0.0E0 AS lower, 1.0E20 AS upper, 0.0E0 AS value, location
         FROM warehouses""",

@@ -55,6 +55,24 @@ def lineitem_key_violations(spark, d):
     return key_violations(Star(spark, d).table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def write_collection(spark, d):
+    """S6 then S1 at scale: the derived network written as one JSON-lines
+    folder per table (a distributed write) and read back with declared types."""
+    import uuid
+
+    from netloom import schemas
+    from netloom.session import scratch_root
+
+    st = Star(spark, d)
+    model = {"warehouses": schemas.WAREHOUSES, "routes": schemas.ROUTES}
+    c = Collection("network", {}, model).add_table("warehouses", st.warehouses).add_table("routes", st.routes)
+    path = f"{scratch_root(spark)}/collection-{uuid.uuid4().hex}"
+    c.write(path, fmt="json")
+    back = Collection.read(spark, "network", path, model, fmt="json")
+    return back["routes"].join(back["warehouses"].select("location", "capacity_cost"), "location")
+
+
 # natural keys of the base tables (fixed values of the star schema)
 BASE_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
              "supplier": ["s_suppkey"], "part": ["p_partkey"]}
