@@ -1,0 +1,17 @@
+"""Plan audit: no registered query plans a cross join or evaluates Python per row."""
+
+import pytest
+
+import __spark_entry__ as E
+
+SF = "/root/testdata/sf0.001"
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_cross_join_or_row_udf(spark, name):
+    df = E.queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()  # final adaptive plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    found = [op for op in FORBIDDEN if op in plan]
+    assert not found, f"{name}: {found}"
