@@ -11,6 +11,8 @@ programs use them, each returning a ``Collection`` of lazy tables.
 - ``per_scenario_reports``: per-scenario results -> cost and open summaries.
 - ``cutting_reports``: cutting data and a master plan -> pattern widths,
   production, statistics and coverage.
+- ``siting_reports``: candidate site sets -> cost per (set, scenario), best set
+  per scenario, worst case from the peak scenario's sites.
 - ``map_layers``: network (with coordinates) and a route selection ->
   warehouse, store and route layers and the map extent.
 
@@ -124,3 +126,15 @@ def map_layers(stores: DataFrame, warehouses: DataFrame, routes: DataFrame, coor
             .add_table("stores", geo.layer_stores(sg, store_labels, store_data))
             .add_table("routes", geo.layer_routes(geo.routes_geo(geo.routes_to_show(routes, routes_to_show),
                                                                  coordinates), route_labels, route_data)))
+
+
+def siting_reports(data: Collection, candidates: DataFrame) -> Collection:
+    """Candidate site sets over every scenario: the cost of each (set,
+    scenario), the best set of each scenario, and every scenario served from
+    the sites the peak-demand scenario uses."""
+    w, r, d, s = data["warehouses"], data["routes"], data["demands"], data["scenarios"]
+    return (Collection("siting")
+            .add_table("candidate_costs", siting.candidate_set_cost(r, w, d, candidates))
+            .add_table("best_per_scenario", siting.best_set_per_scenario(r, w, d, candidates))
+            .add_table("worst_case", siting.worst_case_cost(r, w, d, s))
+            .add_table("peak_scenario", scenario.peak_scenario(s)))

@@ -66,3 +66,11 @@ def test_map_layers(spark, small):
     assert layers["routes"].count() == pairs.count()
     assert layers["warehouses"].count() == 2 and layers["stores"].count() == 9
     assert layers["extent"].first()["max_lat"] == 42.42
+
+
+def test_siting_reports(spark, small):
+    rep = flows.siting_reports(small, _sets(spark))
+    costs = {r["set_id"]: r["total_cost"] for r in rep["candidate_costs"].collect()}
+    assert costs["brockton"] == pytest.approx(716289.90, abs=1e-6)
+    assert [(r["scenario_id"], r["set_id"]) for r in rep["best_per_scenario"].collect()] == [("0", "brockton")]
+    assert rep["worst_case"].first()["feasible"] and rep["peak_scenario"].first()["id"] == "0"
