@@ -1,10 +1,12 @@
-"""Every registered query runs at sf0.001 and keeps a stable schema."""
+"""Every registered query runs at sf0.001, keeps a stable schema, and its
+final plan has no cross join and no per-row Python (plan audit)."""
 
 import pytest
 
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
 def test_entry_has_rows(spark):
@@ -24,3 +26,6 @@ def test_query_runs(spark, name):
     assert len(cols) == len(set(cols))
     df.write.format("noop").mode("overwrite").save()
     assert df.columns == cols
+    plan = df._jdf.queryExecution().executedPlan().toString()  # final adaptive plan
+    found = [op for op in FORBIDDEN if op in plan]
+    assert not found, f"{name}: {found}"
