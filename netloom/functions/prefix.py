@@ -1,107 +1,52 @@
-"""Skew-safe running sums within groups.
+"""Skew-safe running sums within groups, from built-in functions only.
 
 A window ``partitionBy(group)`` puts a whole group into one task, so one hot
 group would be sorted and scanned by a single core. Here the rows are range
-partitioned on (group, order) instead: a hot group is spread over many tasks,
-each task computes partial running sums in order, and the few groups cut by
-a partition boundary (at most one per boundary) get an offset from a table
-whose size is bounded by the number of partitions.
+partitioned on (group, order): a hot group is spread over many partitions. A
+window over (partition, group) gives partial running sums, and a small table
+of group totals per partition, itself summed in partition order, gives each
+partition its offset.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from netloom.functions.columns import join_null_safe
 from netloom.session import materialize
 
 
-def _same(a, b) -> bool:
-    """Key equality where missing values match (keys are scalars or tuples)."""
-    if isinstance(a, tuple):
-        return len(a) == len(b) and all(_same(x, y) for x, y in zip(a, b))
-    return bool(a == b) or (pd.isna(a) and pd.isna(b))
-
-
 def running_total(
     df: DataFrame,
     group_cols: Sequence[str],
-    order_col: str,
+    order_col: str | Sequence[str],
     value_col: str,
     out_col: str = "running_total",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Inclusive running sum of ``value_col`` per group in ``order_col`` order.
-
-    ``order_col`` must be unique within a group (aggregate peers first).
+    """Inclusive running sum of ``value_col`` per group in ``order_col`` order
+    (missing values count as 0). Rows equal in every key come in either order,
+    each with its own sum. An empty ``group_cols`` sums over the whole table.
     """
     g = list(group_cols)
-    keys = [*g, order_col]
-    # without a fixed count AQE may merge adjacent range partitions (sized to
-    # the data); merged partitions stay contiguous in key order, which is all
-    # the partial sums below rely on
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    keys = [*g, *order]
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    ranged = ranged.sortWithinPartitions(*keys)
-    names = ranged.columns
-    # summary rows leave the other columns NULL, so every field is nullable
-    out_schema = StructType(
-        [StructField(f.name, f.dataType, True) for f in ranged.schema.fields]
-        + [StructField(out_col, DoubleType()), StructField("_pid", IntegerType()), StructField("_kind", IntegerType())]
-    )
-
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows with partial running sums (kind 0), then one summary row for
-        the partition's first group (kind 1) and one for its last (kind 2),
-        each carrying the group's total within the partition."""
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carry_key, carry, first_key, first_tot, seen = None, 0.0, None, 0.0, False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            key = pd.MultiIndex.from_frame(pdf[g]) if len(g) > 1 else pd.Index(pdf[g[0]])
-            codes = pd.Series(pd.factorize(key, use_na_sentinel=False)[0], index=pdf.index)
-            run = pdf[value_col].astype("float64").fillna(0.0).groupby(codes).cumsum()
-            first = key[0]
-            if carry_key is not None and _same(first, carry_key):
-                run = run.where(codes != 0, run + carry)
-            if not seen:
-                first_key, seen = first, True
-            if _same(first, first_key):
-                first_tot = float(run[codes == 0].iloc[-1])
-            carry_key, carry = key[-1], float(run.iloc[-1])
-            out = pdf.copy()
-            out[out_col] = run.to_numpy()
-            out["_pid"] = pid
-            out["_kind"] = 0
-            yield out
-        if seen:
-            ends = [(first_key, first_tot, 1)]
-            if not _same(first_key, carry_key):
-                ends.append((carry_key, carry, 2))
-            rows = []
-            for k, tot, kind in ends:
-                vals = dict(zip(g, k if len(g) > 1 else (k,)))
-                rows.append({**{c: vals.get(c) for c in names}, out_col: tot, "_pid": pid, "_kind": kind})
-            yield pd.DataFrame(rows, columns=[*names, out_col, "_pid", "_kind"])
-
-    # written once to the shared checkpoint folder: the partition id must be
-    # the same for every later use, and later passes read columns, not lineage
-    local_df = materialize(ranged.mapInPandas(local, out_schema), "running_total")
-    data = local_df.where(F.col("_kind") == 0)
-    # at most two summary rows per partition: the offset of a group cut by a
-    # partition boundary is the sum of its totals in earlier partitions
-    edges = local_df.where(F.col("_kind") > 0).select("_pid", *g, F.col(out_col).alias("_tot"))
-    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = edges.select("_pid", *g, F.coalesce(F.sum("_tot").over(w), F.lit(0.0)).alias("_off"))
+    # written once: range bounds come from a sample, so a row's partition has
+    # to be the same for both uses below
+    ranged = materialize(ranged.withColumn("_pid", F.spark_partition_id()), "running_total")
+    value = F.coalesce(F.col(value_col), F.lit(0))
+    within = Window.partitionBy("_pid", *g).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged.withColumn(out_col, F.sum(value).over(within))
+    # one row per partition and group; a group has at most one row per partition
+    totals = ranged.groupBy("_pid", *g).agg(F.sum(value).alias("_tot"))
+    before = Window.partitionBy(*(g or [F.lit(0)])).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *g, F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
     return (
-        join_null_safe(data, F.broadcast(offsets), ["_pid", *g], "left")
-        .withColumn(out_col, F.col(out_col) + F.coalesce(F.col("_off"), F.lit(0.0)))
-        .drop("_pid", "_off", "_kind")
+        join_null_safe(rows, offsets, ["_pid", *g], "left")
+        .withColumn(out_col, F.col(out_col) + F.col("_off"))
+        .drop("_pid", "_off")
     )

@@ -8,6 +8,7 @@ deployment; ``local_session`` only fills in what is unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the loss of an executor, so the setting is required there."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
         path = tempfile.mkdtemp(prefix="netloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
