@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm import mixing, secrets
+from netloom.llm import bpe, mixing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,16 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@_query
+def op8_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return rows.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 @_query
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_read(spark, sf_dir, "documents"))
