@@ -4,13 +4,15 @@ its default parameters, to its whole table."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm import bpe, mixing, secrets
+from netloom.llm import bpe, mixing, orcids, secrets
+from netloom.session import scratch_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +27,15 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@_query
+def op6_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_root(spark)}/orc-ids-{uuid.uuid4().hex}"
+    tokenizer = orcids.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    orcids.write(_read(spark, sf_dir, "documents"), path, tokenizer, end_id=0)
+    rows = orcids.with_starts(orcids.checksums(orcids.read(spark, path)))
+    return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @_query
 def op8_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
