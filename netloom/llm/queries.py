@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm import bpe, mixing, orcids, secrets
+from netloom.llm import bpe, mixing, omh, orcids, secrets, urltree
 from netloom.session import scratch_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@_query
+def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urltree.judge(_read(spark, sf_dir, "pages"))
+
+
 @_query
 def op6_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_root(spark)}/orc-ids-{uuid.uuid4().hex}"
@@ -36,6 +41,13 @@ def op6_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@_query
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = omh.compare(_read(spark, sf_dir, "documents"))
+    prints = [omh.as_string(F.col(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    return rows.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next")
+
+
 @_query
 def op8_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
