@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm import bpe, mixing, omh, orcids, secrets, urltree
+from netloom.llm import bpe, jaccard, mixing, omh, orcids, secrets, urltree
 from netloom.session import scratch_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urltree.judge(_read(spark, sf_dir, "pages"))
 
 
+@_query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_read(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_root(spark)}/orc-ids-{uuid.uuid4().hex}"
