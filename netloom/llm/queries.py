@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm import bpe, jaccard, mixing, omh, orcids, secrets, urltree
+from netloom.llm import bpe, jaccard, mixing, omh, orcids, secrets, toxicity, urltree
 from netloom.session import scratch_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,16 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@_query
+def op3_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    teaches = toxicity.may_learn(F.col("doc_id"))
+    model = toxicity.learn(docs, _read(spark, sf_dir, "labels"), teaches)
+    rows = toxicity.score(docs, model).withColumnRenamed("toxicity", "score")
+    held_out = F.coalesce(~teaches, F.lit(False)).alias("held_out")
+    return rows.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @_query
 def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urltree.judge(_read(spark, sf_dir, "pages"))

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 # a space after white space, and before white space or the end
 _RUN = r"[\s\x0b\x1c-\x1f\x85\p{Z}] ([\s\x0b\x1c-\x1f\x85\p{Z}]|\z)"
 #: Bytes of text that one step takes at once; one longer text is a step of its own.
-STEP_BYTES = 24 << 20
+STEP_BYTES = 8 << 20
 
 
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:

@@ -7,14 +7,16 @@ differences of running sums, then mixed.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BLANK = np.zeros(256, bool)
-_BLANK[[32, *range(9, 14)]] = True
+BLANK = np.zeros(256, bool)
+BLANK[[32, *range(9, 14)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -53,13 +55,29 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(ends, hashes): the words of text i are hashes[ends[i]:ends[i + 1]]."""
+@dataclass
+class Words:
+    """The words of a batch of texts: those of text i are numbers ends[i] to
+    ends[i + 1]; word w is the bytes first[w] to last[w] of raw."""
+
+    raw: np.ndarray
+    text_ends: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    hashes: np.ndarray
+    prefixes: list[np.ndarray]
+
+
+def scan(texts: pa.Array, blank: np.ndarray = BLANK, prefixes: tuple[int, ...] = ()) -> Words:
+    """Words between the bytes that ``blank`` marks, their hashes, and for each
+    length in ``prefixes`` the hashes of their first bytes (0 for shorter words)."""
     raw, text_ends = text_bytes(texts)
     n = len(raw)
     if not n:
-        return np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.uint64)
-    inside = ~_BLANK[raw]
+        none, empty = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return Words(raw, text_ends, np.zeros(len(texts) + 1, np.int64), none, none, empty, [empty for _ in prefixes])
+    inside = ~blank[raw]
     cut = np.zeros(n + 1, bool)  # a text's first byte starts a word of its own
     cut[text_ends] = True
     starts = inside.copy()
@@ -70,8 +88,18 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     powers, inverse = _power_tables(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
-    hashes = _mix((sums[last + 1] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
-    return np.searchsorted(first, text_ends), hashes
+
+    def hashed(stop: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        return _mix((sums[stop] - sums[first]) * inverse[first] + np.asarray(length).astype(np.uint64))
+
+    heads = [np.where(last - first >= k, hashed(np.minimum(first + k, n), 1 << 32 | k), np.uint64(0)) for k in prefixes]
+    return Words(raw, text_ends, np.searchsorted(first, text_ends), first, last, hashed(last + 1, last - first), heads)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, hashes): the words of text i are hashes[ends[i]:ends[i + 1]]."""
+    words = scan(texts)
+    return words.ends, words.hashes
 
 
 def shingle_sets(texts: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
