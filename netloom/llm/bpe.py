@@ -29,6 +29,8 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from netloom.llm.units import gather, split_units, steps
 
+#: Bytes of text in a step.
+STEP = 4 << 20
 _NONE = np.iinfo(np.int32).max
 
 
@@ -183,7 +185,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, find = vocabulary(shared.value), regex.compile(pattern)
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             ends, ids = encode_texts(batch.column("text"), vocab, find)
             raw = memoryview(ids.astype("<u4").tobytes())
             binary = [bytes(raw[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
@@ -202,7 +204,7 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = vocabulary(shared.value).tokens
-        for batch in steps(batches, "ids"):
+        for batch in steps(batches, "ids", STEP):
             out = [
                 None if x is None else b"".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist()))
                 for x in batch.column("ids").to_pylist()
