@@ -281,8 +281,9 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without all but one document of each component: the one whose
-    doc_id is the component's. Documents without shingles or doc_id stay."""
-    kept = join(docs).where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return rows
+    """``docs`` with one document of each component, that whose doc_id is the
+    component's id. Documents without shingles stay, and so do those of
+    components without a doc_id; rows equal in doc_id and text become one."""
+    kept = join(docs).where("component_id is null or doc_id = component_id").select(_doc()).distinct()
+    rows = docs.select("*", _doc(), F.xxhash64("text").alias("_text"))
+    return rows.join(kept, "_doc", "left_semi").dropDuplicates(["_doc", "_text"]).select(*docs.columns)

@@ -107,17 +107,17 @@ def _slots(numbered: Column) -> Column:
         def slot(start: Column) -> Column:
             picks = F.array(*[F.get(kept, F.pmod(start + j, F.size(kept)).cast("int")) for j in range(PICK)])
             by_place = F.array_sort(F.transform(picks, lambda x: F.struct(_position(x).alias("p"), _hash(x).alias("h"))))
-            return _let(by_place, lambda s: F.xxhash64(*[F.get(s, F.lit(j))["h"] for j in range(PICK)]).bitwiseAND(F.lit(_LOW_32)))
+            return _let(by_place, lambda s: F.xxhash64(*[F.get(s, F.lit(j))["h"] for j in range(PICK)]).bitwiseAND(F.lit(_POSITION)).cast("int"))
 
         starts = _let(F.flatten(steps), lambda s: F.concat(s, F.array_repeat(F.lit(0), F.lit(SLOTS) - F.size(s))))
-        zeros = F.array_repeat(F.lit(0).cast("long"), SLOTS)
+        zeros = F.array_repeat(F.lit(0), SLOTS)
         return F.when(F.size(kept) > 0, F.transform(starts, slot)).otherwise(zeros)
 
     return _let(_let(numbered, nearest), fill)
 
 
 def fingerprint(text: Column) -> Column:
-    """``SLOTS`` hashes of 32 bits, as longs."""
+    """``SLOTS`` hashes of 31 bits."""
     return _slots(_numbered(_kmers(F.coalesce(text, F.lit("")))))
 
 
@@ -146,11 +146,14 @@ def in_order(docs: DataFrame, part: int = 4) -> DataFrame:
     Only ids, lengths and hashes are sorted. The texts cross the network once,
     to meet their place, and each head once more.
     """
-    keys = ["_id", "n_chars", "_hash"]
+    keys = ["_known", "_id", "n_chars", "_hash"]
     text = F.coalesce(F.col("text"), F.lit(""))
+    # the id in two columns without nulls, so that plain equality joins it; both
+    # uses below read these columns alone and so share one exchange of the texts
     rows = docs.select("doc_id", text.alias("text")).select(
-        "doc_id", "text",
-        F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("_id"),
+        "text",
+        F.col("doc_id").isNotNull().alias("_known"),
+        F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("_id"),
         F.char_length("text").cast("long").alias("n_chars"),
         F.xxhash64("text").alias("_hash"),
     )
@@ -168,7 +171,8 @@ def in_order(docs: DataFrame, part: int = 4) -> DataFrame:
         .groupBy(*keys)
         .agg(F.first("head").alias("head"))
     )
-    return placed.join(heads, keys).select("doc_id", "text", "n_chars", "place", F.lit(n).alias("n_places"), "head")
+    doc_id = F.when(F.col("_known"), F.col("_id")).alias("doc_id")
+    return placed.join(heads, keys).select(doc_id, "text", "n_chars", "place", F.lit(n).alias("n_places"), "head")
 
 
 def edited(text: Column, n_chars: Column, head: Column, part: int = 4) -> Column:

@@ -29,6 +29,9 @@ from netloom.llm.units import gather, split_units, steps
 #: Units whose ids a Python worker keeps, about 100 MB; beyond it others are
 #: encoded anew in each step.
 KEPT_UNITS = 300_000
+#: Bytes of text in a step; the larger, the fewer units are encoded twice.
+STEP = 16 << 20
+_MARKS = frozenset(".,;:!?")
 SCHEMA = "doc_id long, n_tokens int, ids array<int>"
 
 
@@ -81,16 +84,36 @@ class UnitEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ends, ids) of texts."""
         text_ends, codes, units = split_units(texts)
-        fresh = self._fresh([u for u in units if u not in self.known])
-        lists = [self.known.get(u) or fresh.get(u, b"") for u in units]
-        room = KEPT_UNITS - len(self.known)
-        if room > 0:
-            self.known.update((u, x) for (u, x), _ in zip(fresh.items(), range(room)) if len(u) <= 64)
-        ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in lists])])
-        ids, list_ends = gather(ends, np.frombuffer(b"".join(lists), "<u4"), codes)
+        found = list(map(self.known.get, units))
+        missing = [i for i, x in enumerate(found) if x is None]
+        heads = [_head(units[i]) for i in missing]  # a word before a mark is encoded as the word, and the mark
+        wanted = {*heads, *_MARKS}.difference(self.known)
+        ids_of = self._fresh(list(wanted))
+        for h in heads:
+            if h not in ids_of:
+                ids_of[h] = self.known[h]
+        counts = np.bincount(codes, minlength=len(units))
+        for i, h in zip(missing, heads):
+            u = units[i]
+            ids = ids_of[h] if len(h) == len(u) else ids_of[h] + (self.known.get(u[-1]) or ids_of[u[-1]])
+            found[i] = ids
+            # worth keeping: short, and in the step more than once
+            if counts[i] > 1 and len(u) <= 64 and len(self.known) < KEPT_UNITS:
+                self.known[u] = ids
+        ends = np.zeros(len(found) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=ends[1:])
+        ids, list_ends = gather(ends, np.frombuffer(b"".join(found), "<u4"), codes)
         return list_ends[text_ends], ids
 
 
+def _head(unit: str) -> str:
+    """The unit without a last punctuation mark, if the rest are letters (and
+    a first space): the tokenizer's pattern parts the two."""
+    if unit[-1:] in _MARKS and len(unit) > 2 and unit[1:-1].isalpha() and (unit[0] == " " or unit[0].isalpha()):
+        return unit[:-1]
+    return unit
+
+
 @lru_cache(maxsize=1)
 def unit_encoder(tokenizer_json: str) -> UnitEncoder:
     return UnitEncoder(tokenizer_json)
@@ -102,7 +125,7 @@ def encode(docs: DataFrame, tokenizer_json: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = unit_encoder(shared.value)
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             ends, ids = encoder.encode(batch.column("text"))
             n = batch.num_rows
             values = np.insert(ids.astype(np.int32), ends[1:], end_id)
