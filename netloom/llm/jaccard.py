@@ -157,20 +157,17 @@ def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     """``pairs`` (x, y, n, m) with the number of shingles that both have. The
     texts of the classes in question meet their pairs; others stay behind."""
     needed = pairs.select(F.col("x").alias("s")).union(pairs.select("y")).distinct()
-    needed = materialize(needed.join(classes, "s"), "jaccard_needed")
-    texts = docs.select(_doc(), "text").join(needed, "_doc").select("s", "text")
+    needed = materialize(needed.join(classes, "s").select("_doc").distinct(), "jaccard_needed")
+    texts = docs.select(_doc(), "text").join(needed, "_doc", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             ends, hashes = shingle_sets(batch.column("text"), SIZE)
-            signs = _signatures(ends, hashes)
             raw = memoryview(hashes.tobytes())
-            # another row with the same doc_id is no text of the class
-            right = np.flatnonzero(signs == np.asarray(batch.column("s")))
-            sets = [bytes(raw[8 * ends[i] : 8 * ends[i + 1]]) for i in right]
-            yield pa.RecordBatch.from_arrays([pa.array(signs[right]), pa.array(sets, pa.binary())], names=["s", "set"])
+            sets = [bytes(raw[8 * a : 8 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(_signatures(ends, hashes)), pa.array(sets, pa.binary())], names=["s", "set"])
 
-    sets = materialize(texts.mapInArrow(run, "s long, set binary"), "jaccard_sets").dropDuplicates(["s"])
+    sets = materialize(texts.mapInArrow(run, "s long, set binary"), "jaccard_sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +181,8 @@ def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
 
     both = pairs.join(sets.select(F.col("s").alias("y"), F.col("set").alias("b")), "y")
     both = both.join(sets.select(F.col("s").alias("x"), F.col("set").alias("a")), "x")
-    return both.select("x", "y", "n", "m", "a", "b").mapInArrow(compare, "x long, y long, n int, m int, overlap int")
+    # a set is there twice if two rows share its text and doc_id
+    return both.select("x", "y", "n", "m", "a", "b").mapInArrow(compare, "x long, y long, n int, m int, overlap int").distinct()
 
 
 def _links(compared: DataFrame) -> DataFrame:
@@ -194,12 +192,12 @@ def _links(compared: DataFrame) -> DataFrame:
 def hub_pairs(entries: DataFrame) -> DataFrame:
     """(x, y, n, m): each set y of a list with the list's hubs x. The hubs are
     the sets with the least hashes, so lists that share sets share hubs."""
-    picks = [F.min(F.struct(F.xxhash64("s", F.lit(k)), "s", "n")).alias(f"h{k}") for k in range(HUBS)]
+    picks = [F.min(F.struct(F.xxhash64("s", F.lit(k)), "s", "n", "pos")).alias(f"h{k}") for k in range(HUBS)]
     hubs = entries.groupBy("token").agg(*picks).select("token", F.array_distinct(F.array(*[f"h{k}" for k in range(HUBS)])).alias("hubs"))
-    rows = entries.join(hubs, "token").select("s", "n", F.explode("hubs").alias("hub"))
+    rows = entries.join(hubs, "token").select("s", "n", "pos", F.explode("hubs").alias("hub"))
     x, y, n, m = F.col("hub.s"), F.col("s"), F.col("hub.n"), F.col("n")
-    near_size = F.least(n, m) >= _need(n, m)
-    return rows.where((x != y) & near_size).select(x.alias("x"), y.alias("y"), n.alias("n"), m.alias("m")).distinct()
+    reach = F.least(n - F.col("hub.pos"), m - F.col("pos")) >= _need(n, m)
+    return rows.where((x != y) & reach).select(x.alias("x"), y.alias("y"), n.alias("n"), m.alias("m")).distinct()
 
 
 def cross_pairs(entries: DataFrame, comps: DataFrame) -> DataFrame:
@@ -260,7 +258,9 @@ def join(docs: DataFrame) -> DataFrame:
     # a document for each class, to read its text again
     classes = rows.where("n > 0").groupBy("s").agg(F.min(_doc()).alias("_doc"))
     entries = prefix_entries(docs, common).repartition("token")
-    lists = entries.groupBy("token").agg(F.min("s").alias("_low"), F.max("s").alias("_high")).where("_low < _high").select("token")
+    # naming every column keeps this exchange the same as the join's, which then uses it again
+    lists = entries.groupBy("token").agg(F.min("s").alias("_low"), F.max("s").alias("_high"), F.min(F.least("n", "pos")).alias("_least"))
+    lists = lists.where("_low < _high and _least >= 0").select("token")
     entries = materialize(entries.join(lists.hint("shuffle_hash"), "token", "left_semi").distinct(), "jaccard_entries")
     compared = materialize(overlaps(materialize(hub_pairs(entries), "jaccard_hubs"), docs, classes), "jaccard_compared")
     comps = components(_links(compared))

@@ -42,6 +42,8 @@ LEXICON = 50_000
 #: A word is significant if its log-likelihood ratio exceeds this times the log of
 #: the number of words tested.
 STRICT = 1.4
+#: Log odds of a document being toxic before anything is learned.
+CLEAN = -2.0
 #: Lengths of word beginnings, in bytes, that may be insults as whole words may.
 STEMS = (4, 5, 6)
 
@@ -237,16 +239,15 @@ def _squash(sums: np.ndarray) -> np.ndarray:
 
 def fit(sums: np.ndarray, labels: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
     """Logistic regression by Newton's method: the intercept, then a weight for
-    each mark. Marks that labelled rows don't show keep the weight 0."""
-    if not len(labels):
-        return np.array([-2.0, *[0.0] * len(MARKS)])
+    each mark. Without rows to say otherwise a document is clean: the
+    intercept is drawn to ``CLEAN`` and the weights to 0, as by one row."""
     x = np.concatenate([np.ones((len(sums), 1)), _squash(sums)], axis=1)
-    w = np.zeros(x.shape[1])
-    penalty = np.diag([1e-3, *[ridge] * (x.shape[1] - 1)])
+    prior = np.array([CLEAN, *[0.0] * len(MARKS)])
+    w, penalty = prior.copy(), ridge * np.eye(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         hessian = (x * (p * (1 - p))[:, None]).T @ x + penalty
-        w = w + np.linalg.solve(hessian, x.T @ (labels - p) - penalty @ w)
+        w = w + np.linalg.solve(hessian, x.T @ (labels - p) - penalty @ (w - prior))
     return w
 
 

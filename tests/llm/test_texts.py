@@ -1,0 +1,376 @@
+"""Text operators against brute force and the public libraries."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import regex
+
+from netloom.llm import bpe, jaccard, omh, orcids, ppm, secrets, toxicity, words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+ODD = [None, "", " ", "  ", "a  b", "a \n b", "\n\n  x  \n", "  " * 50, "é" * 30, "aaaa" * 2000, "it's    x \t y ", "\x1c a \x1c ",
+       "日本語テキスト 日本語", "　 a", "   b", "x ", " x", "<|endoftext|>", "a\tb c\td", "a, b. c!", "don't stop"]
+
+
+def _random_texts(n, seed=1):
+    r = random.Random(seed)
+    return ODD + ["".join(r.choice("ab e\n\t  'sé1!日.") for _ in range(r.randrange(60))) for _ in range(n)]
+
+
+def _tokens(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def _docs(spark, texts, **columns):
+    rows = [(i, t, *[c[i] for c in columns.values()]) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string" + "".join(f", {c} string" for c in columns))
+
+
+def test_word_hashes_tell_words_apart():
+    texts = _random_texts(200)
+    ends, hashes = words.word_hashes(pa.array(texts))
+    seen = {}
+    for i, t in enumerate(texts):
+        found = _tokens(t)
+        part = hashes[ends[i] : ends[i + 1]].tolist()
+        assert len(part) == len(found)
+        for w, h in zip(found, part):
+            assert seen.setdefault(h, w) == w
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_bpe_replay_equals_tiktoken_and_decodes(spark):
+    import tiktoken
+
+    raw = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    reference = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.vocabulary(raw).ranks, special_tokens={}
+    )
+    texts = _random_texts(150)
+    rows = bpe.decode(bpe.encode(_docs(spark, texts), raw, public_tokenizers.PATTERN), raw).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text = texts[r["doc_id"]] or ""
+        assert np.frombuffer(r["ids"], "<u4").tolist() == reference.encode_ordinary(text)
+        assert r["n_tokens"] == len(r["ids"]) // 4 and bytes(r["decoded"]) == text.encode()
+
+
+def test_replay_follows_rank_order_in_repeats():
+    raw = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    vocab = bpe.vocabulary(raw)
+    ends, ids = bpe.replay([b"", b"aaaaaaa", b"zqzqzqzqx"], vocab)
+    joined = [b"".join(vocab.tokens[t] for t in ids[a:b]) for a, b in zip(ends, ends[1:])]
+    assert joined == [b"", b"aaaaaaa", b"zqzqzqzqx"]
+
+
+def test_orc_ids_round_trip(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    texts = _random_texts(120)
+    out = str(tmp_path / "ids")
+    orcids.write(_docs(spark, texts), out, orcids.read_tokenizer(path))
+    want = [e.ids + [0] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    stored = {r["doc_id"]: r for r in orcids.read(spark, out).collect()}
+    assert {i: list(r["ids"]) for i, r in stored.items()} == dict(enumerate(want))
+    rows = {r["doc_id"]: r for r in orcids.with_starts(orcids.checksums(orcids.read(spark, out))).collect()}
+    at = 0
+    for i, ids in enumerate(want):
+        assert (rows[i]["start"], rows[i]["n_tokens"]) == (at, len(ids))
+        assert rows[i]["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+    one = orcids.read(spark, out).where("doc_id = 7")
+    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,7)]" in one._jdf.queryExecution().toString()
+    assert one.count() == 1
+
+
+def _brute_components(texts):
+    sets = []
+    for t in texts:
+        w = _tokens(t)
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))) if w else frozenset())
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 75 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return [len(s) for s in sets], [find(i) for i in range(len(texts))]
+
+
+def _copies(seed):
+    """Families of near copies of all degrees, with a passage that many share."""
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(300)]
+    passage = [r.choice(vocabulary) for _ in range(30)]
+    texts = [None, "", " \t\n", "one two", "One TWO", "one two three"]
+    for _ in range(12):
+        base = [r.choice(vocabulary) for _ in range(r.randrange(8, 90))] + passage * (r.random() < 0.5)
+        for _ in range(r.randrange(1, 9)):
+            copy = list(base)
+            for _ in range(r.randrange(0, 6)):
+                copy[r.randrange(len(copy))] = r.choice(vocabulary)
+            texts.append(" ".join(copy))
+    texts += [texts[-1]] * 20
+    r.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_jaccard_components_equal_brute_force(spark, seed, monkeypatch):
+    monkeypatch.setattr(jaccard, "LOCAL", 2)
+    texts = _copies(seed)
+    sizes, components = _brute_components(texts)
+    rows = jaccard.join(_docs(spark, texts)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == {
+        i: (sizes[i], components[i]) for i in range(len(texts))
+    }
+
+
+def test_jaccard_repeated_rows_null_ids_and_keep_one(spark):
+    text = "a b c d e f g h i j"
+    rows = [(3, text, "x"), (3, text, "x"), (None, text, "y"), (5, text.upper(), "z"), (6, "", "z"), (7, None, "z"), (8, "other words stand here now", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class string")
+    out = jaccard.join(docs).collect()
+    assert len(out) == len(rows)
+    assert {r["component_id"] for r in out if r["n_shingles"] == 6} == {3}
+    kept = jaccard.keep_one(docs).collect()
+    assert sorted(r["doc_id"] for r in kept) == [3, 6, 7, 8] and kept[0].asDict().keys() == {"doc_id", "text", "class"}
+
+
+def test_derived_bounds_hold(spark):
+    r = random.Random(5)
+    universe = range(40)
+    sets = {i: set(r.sample(universe, r.randrange(15, 30))) for i in range(12)}
+    compared = spark.createDataFrame(
+        [(0, i, len(sets[0]), len(sets[i]), len(sets[0] & sets[i])) for i in range(1, 12)], "x long, y long, n int, m int, overlap int")
+    pairs = spark.createDataFrame(
+        [(i, j, len(sets[i]), len(sets[j])) for i in range(1, 12) for j in range(1, i)], "x long, y long, n int, m int")
+    for p in jaccard.derive(pairs, compared).collect():
+        assert p["low"] <= len(sets[p["x"]] & sets[p["y"]]) <= p["high"]
+
+
+def _brute_ppm(train, text, order):
+    counts = [collections.defaultdict(collections.Counter) for _ in range(order + 1)]
+
+    def symbols(t):
+        return [256] * order + list((t or "").encode()) + [256]
+
+    for t in train:
+        s = symbols(t)
+        for p in range(order, len(s)):
+            for k in range(order + 1):
+                counts[k][tuple(s[p - k : p])][s[p]] += 1
+    s, out = symbols(text), 0.0
+    for p in range(order, len(s)):
+        gone = set()
+        for k in range(order, -1, -1):
+            seen = counts[k].get(tuple(s[p - k : p]))
+            left = {a: n for a, n in (seen or {}).items() if a not in gone}
+            if not left:
+                continue
+            total = 2 * sum(left.values())
+            if s[p] in left:
+                out += math.log10((2 * left[s[p]] - 1) / total)
+                break
+            out += math.log10(len(left) / total)
+            gone |= set(seen)
+        else:
+            out += math.log10(1 / (257 - len(gone)))
+    return out
+
+
+@pytest.mark.parametrize("most", [ppm.COMMON, 40])
+def test_ppm_equals_brute_force(spark, most):
+    from pyspark.sql import functions as F
+
+    texts = _random_texts(25, seed=4)
+    texts = [t for t in texts if not t or len(t) < 500] + ["the other thing", "the other thing"]
+    learn = [i % 4 != 1 for i in range(len(texts))]
+    rows = ppm.score(_docs(spark, texts), F.col("doc_id") % 4 != 1, most).collect()
+    assert len(rows) == len(texts)
+    train = [t for t, l in zip(texts, learn) if l]
+    counts = collections.Counter(w for t in train for w in [*_tokens(t), None])
+    n, v = sum(counts.values()), len(counts)
+    for r in rows:
+        tokens = [*_tokens(texts[r["doc_id"]]), None]
+        assert r["n_tokens"] == len(tokens) and r["train_tokens"] == n and r["train"] == learn[r["doc_id"]]
+        assert r["n_known"] == sum(counts[w] > 0 for w in tokens)
+        assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens))
+        assert r["score"] == pytest.approx(_brute_ppm(train, texts[r["doc_id"]], ppm.ORDER))
+
+
+def test_ppm_without_training_is_uniform(spark):
+    from pyspark.sql import functions as F
+
+    r = ppm.score(_docs(spark, ["ab"]), F.lit(False)).first()
+    assert r["score"] == pytest.approx(3 * math.log10(1 / 257)) and r["train_tokens"] == 0 and r["n_known"] == 0
+
+
+def _brute_spans(text):
+    out = []
+    rules = [
+        ("assign", r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
+        ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24),
+    ]
+    for rank, (kind, pattern, group, least) in enumerate(rules):
+        out += [(m.start(), rank, m.end(), kind) for m in re.finditer(pattern, text or "") if len(m[group]) >= least]
+    return sorted(out)
+
+
+SECRETS = [None, "", "password=abc", "secret=token:abcdefgh x", "é日 TOKEN = \"abcdef123\" AKIA" + "A" * 16, "api_key:'" + "0" * 30 + "'",
+           "AKIAAKIA" + "B1" * 9, "deadbeef" * 3 + " " + "f" * 23 + "g", "passwd == x\npasswd ==xxxxxx", "x" * 50_000 + "token=" + "z" * 40]
+
+
+def test_secret_spans_equal_brute_force(spark):
+    docs = _docs(spark, [*SECRETS, *SECRETS])
+    found = secrets.findings(secrets.scan(docs, secrets.BASE), secrets.BASE)
+    rows = secrets.paths_with_findings(docs, found, "doc_id").collect()
+    assert len(rows) == 2 * len(SECRETS)
+    for r in rows:
+        assert [(s["start"], s["rank"], s["end"], s["kind"]) for s in r["spans"]] == _brute_spans(SECRETS[r["doc_id"] % len(SECRETS)])
+
+
+def test_secret_ledger_scans_only_what_is_new(spark):
+    first = secrets.scan(_docs(spark, SECRETS[:4]), secrets.BASE)
+    assert first.count() == 3 * 3  # null and empty text are one blob
+    ledger = first.cache()
+    again = secrets.scan(_docs(spark, SECRETS), secrets.BASE, ledger)
+    assert again.count() == 3 * (len(SECRETS) - 4)
+    newer = (secrets.BASE[0], secrets.BASE[1], secrets.Rule("hex", r"[0-9a-f]+", 0, 20, version=2))
+    assert secrets.scan(_docs(spark, SECRETS[:4]), newer, ledger).select("kind", "version").distinct().collect() == [("hex", 2)]
+
+
+def test_redact(spark):
+    docs = spark.createDataFrame([(1, "a token=abcdef1 b", 9, "k"), (2, None, 0, "k"), (3, "é AKIA" + "A" * 20, 1, "k")], "doc_id long, text string, n_chars long, blob string")
+    rows = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
+    assert rows[1]["text"] == "a [secret] b" and rows[1]["n_chars"] == 12 and rows[1]["blob"] == "k"
+    assert rows[2]["text"] is None and rows[3]["text"] == "é [secret]"
+
+
+def test_order_minhash(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    long_text = " ".join(f"w{r.randrange(10**6)}" for _ in range(3000))
+    moved = " ".join(reversed(long_text.split(" ")))
+    texts = [None, "", "one", "one", "b a b a b a", long_text, long_text + " end", moved, "x y " * 400]
+    rows = {x["doc_id"]: x for x in omh.compare(_docs(spark, texts)).collect()}
+    assert len(rows) == len(texts)
+    assert rows[2]["fingerprint"] == rows[3]["fingerprint"] and rows[0]["fingerprint"] == rows[1]["fingerprint"]
+    assert all(len(x["fingerprint"]) == omh.SLOTS for x in rows.values())
+    # a small edit keeps most slots, another order of the same words none
+    assert rows[5]["near_next"] > 0.9 and rows[6]["near_next"] < 0.2
+    plain = [t or "" for t in texts]
+    for i, t in enumerate(plain):
+        q = len(t) // 4
+        changed = t[: len(t) - q] + plain[(i + 1) % len(plain)][:q]
+        assert rows[i]["n_chars"] == len(t)
+        assert rows[i]["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+    one = spark.createDataFrame([("b a b a b a",)], "text string").select(omh.fingerprint(F.col("text")).alias("f")).first()["f"]
+    assert list(one) == list(rows[4]["fingerprint"])
+
+
+def test_order_minhash_orders_null_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(2, "two two two two"), (2, "two two two two"), (None, "first text of all"), (9, "last")], "doc_id long, text string")
+    rows = omh.compare(docs).select("doc_id", "n_chars").collect()
+    assert sorted((str(r["doc_id"]), r["n_chars"]) for r in rows) == [("2", 15), ("2", 15), ("9", 4), ("None", 17)]
+
+
+def test_grammar_marks_clauses():
+    lists = toxicity.fixed_lexicon()
+    word = words.scan(pa.array(["scum"]), toxicity.BLANK).hashes
+    insults = (word, np.array([2.0]))
+    sums = toxicity.match(pa.array(["You are scum.", "scum", "not scum", "he said: scum", "she said you scum", "", None, "you kill. you"]), insults, lists)
+    marks = [dict(zip(toxicity.MARKS, row)) for row in sums]
+    assert marks[0]["targeted"] == 2.0 and marks[0]["plain"] == 0
+    assert marks[1]["plain"] == 2.0
+    assert marks[2]["negated"] == 2.0 and marks[2]["plain"] == 0
+    assert marks[3]["plain"] == 2.0  # the colon ends the reporting clause
+    assert marks[4]["reported"] == 2.0
+    assert sums[5].sum() == 0 and sums[6].sum() == 0
+    assert marks[7]["threat_targeted"] == 1.0
+
+
+def test_composition_is_both_in_turn():
+    first = toxicity.Transducer({(0, "a"): (1, "b"), (1, "a"): (0, "a")}, {0: 0, 1: 1})
+    second = toxicity.Transducer({(0, "b"): (1, "c"), (1, "b"): (1, "d")}, {0: 0, 1: 0})
+    both, _ = toxicity.compose(first, second, ("a", "x"))
+    r = random.Random(2)
+    for _ in range(20):
+        text = [r.choice("ax") for _ in range(12)]
+        s = t = u = 0
+        for x in text:
+            s, y = first.step(s, x)
+            t, y = second.step(t, y)
+            u, z = both.step(u, x)
+            assert y == z
+
+
+def test_toxicity_learns_and_holds_out(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(7)
+    rows, labels = [], []
+    for i in range(600):
+        toxic = r.random() < 0.2
+        text = [f"w{r.randrange(400)}" for _ in range(30)]
+        if toxic:
+            text[r.randrange(30)] = r.choice(["scum", "moron"])
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([*labels, (None, 1), (10**9, 1), (5, None)], "doc_id long, toxic int")
+    model = toxicity.learn(docs, known, toxicity.may_learn(F.col("doc_id")))
+    scored = {x["doc_id"]: x["toxicity"] for x in toxicity.score(docs, model).collect()}
+    held = [(i, t) for i, t in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum((scored[i] >= 0.5) == bool(t) for i, t in held) >= 0.95 * len(held)
+    empty = toxicity.score(spark.createDataFrame([(1, ""), (2, None)], "doc_id long, text string"), model).collect()
+    assert all(0 <= x["toxicity"] < 0.5 for x in empty)
+
+
+def test_toxicity_without_labels(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "you scum")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.learn(docs, none, F.lit(True))
+    assert toxicity.score(docs, model).first()["toxicity"] < 0.5
+
+
+def test_unit_encoder_equals_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    encoder = orcids.UnitEncoder(orcids.read_tokenizer(path))
+    for seed in (8, 9):  # the second meets the first one's kept units
+        texts = _random_texts(300, seed)
+        ends, ids = encoder.encode(pa.array(texts))
+        want = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [e.ids for e in want]
+
+
+def test_replay_on_pattern_matches_alone():
+    raw = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ends, ids = bpe.encode_texts(pa.array(["", None]), bpe.vocabulary(raw), regex.compile(public_tokenizers.PATTERN))
+    assert ends.tolist() == [0, 0, 0] and len(ids) == 0
