@@ -1,13 +1,10 @@
 """Cutting-stock analytics: pattern widths and scrap, production, order
-coverage, reduced cost, and the pricing step (best new pattern)."""
+coverage, reduced cost, and the pattern that prices best."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
-
-from netloom.session import cut_lineage
 
 # fixed value: roll width of the sample cutting-stock instance
 ROLL_WIDTH = 110
@@ -22,24 +19,15 @@ def pattern_widths(slices: DataFrame, orders: DataFrame, roll_width: int = ROLL_
     return w.select("pattern", "width", (F.lit(roll_width) - F.col("width")).alias("scrap"))
 
 
-def _items(orders: DataFrame, max_items: int) -> list:
-    rows = orders.select("item").distinct().orderBy("item").limit(max_items + 1).collect()
-    if len(rows) > max_items:
-        raise ValueError(f"more than {max_items} items; use the long form")
-    return [r["item"] for r in rows]
-
-
-def production(usages: DataFrame, widths: DataFrame, slices: DataFrame, items: list[str] | None = None,
-               orders: DataFrame | None = None, max_items: int = 1000) -> DataFrame:
-    """Used patterns (rolls > 0) with width, scrap and one column per item
-    (slices of that item in the pattern, 0 when none).
-
-    The item columns are ``items`` or, when not given, the items of
-    ``orders`` (bounded by ``max_items``)."""
+def production(usages: DataFrame, widths: DataFrame, slices: DataFrame, items: list[str] | None = None) -> DataFrame:
+    """Used patterns (rolls > 0) with width and scrap: one row per item that
+    the pattern cuts, with its number; or, when the caller names ``items``,
+    one row per pattern with a column for each of them (0 when none)."""
+    used = usages.join(widths, "pattern").where(F.col("rolls") > 0)
     if items is None:
-        items = _items(orders if orders is not None else slices, max_items)
+        return used.join(slices.select("pattern", "item", "number"), "pattern")
     wide = slices.groupBy("pattern").pivot("item", items).agg(F.sum("number")).fillna(0, subset=items)
-    return usages.join(widths, "pattern").where(F.col("rolls") > 0).join(wide, "pattern")
+    return used.join(wide, "pattern")
 
 
 def production_stats(usages: DataFrame, widths: DataFrame, slices: DataFrame) -> DataFrame:
@@ -86,79 +74,8 @@ def pattern_cost(patterns: DataFrame, usages: DataFrame) -> DataFrame:
     )
 
 
-def _item_rows(orders: DataFrame, duals: DataFrame | None, max_items: int) -> list:
-    o = orders.select("item", "width")
-    if duals is not None:
-        o = o.join(duals.select("item", "price"), "item", "left").fillna(0.0, subset=["price"])
-    rows = o.orderBy("item").limit(max_items + 1).collect()
-    if len(rows) > max_items:
-        raise ValueError(f"more than {max_items} items")
-    if any(r["width"] is None or r["width"] <= 0 for r in rows):
-        raise ValueError("item widths must be positive")
-    return rows
-
-
-def count_patterns(widths: list[int], roll_width: int) -> int:
-    """Number of count vectors with total width <= roll_width (empty one included)."""
-    ways = [1] + [0] * roll_width  # ways[c]: vectors of exact width c
-    for w in widths:
-        for c in range(w, roll_width + 1):
-            ways[c] += ways[c - w]
-    return sum(ways)
-
-
-def enumerate_patterns(spark: SparkSession, orders: DataFrame, roll_width: int = ROLL_WIDTH,
-                       max_patterns: int = 10_000_000, max_items: int = 1000) -> DataFrame:
-    """Every cutting pattern (count per item, in item order) that fits the roll.
-
-    The number of patterns grows exponentially with the items; it is
-    counted exactly first and the call refuses above ``max_patterns``."""
-    items = _item_rows(orders, None, max_items)
-    n = count_patterns([r["width"] for r in items], roll_width)
-    if n > max_patterns:
-        raise ValueError(f"{n} patterns fit the roll, limit {max_patterns}; use best_pattern")
-    schema = StructType([StructField("width", IntegerType()), StructField("counts", ArrayType(IntegerType()))])
-    df = spark.createDataFrame([(0, [])], schema)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    for i, r in enumerate(items):
-        k = F.explode(F.sequence(F.lit(0), F.floor((F.lit(roll_width) - F.col("width")) / r["width"]).cast("int")))
-        df = df.select("width", "counts", k.alias("k")).select(
-            (F.col("width") + F.col("k") * r["width"]).alias("width"),
-            F.concat("counts", F.array(F.col("k"))).alias("counts"),
-        )
-        if i == 1:  # the plan starts from one row: spread it once it has grown
-            df = df.repartition(parts)
-    return df.select("counts", "width", (F.lit(roll_width) - F.col("width")).alias("scrap"))
-
-
-def best_pattern(spark: SparkSession, orders: DataFrame, duals: DataFrame, pattern_id: int,
-                 roll_width: int = ROLL_WIDTH, max_items: int = 1000) -> DataFrame:
-    """Pricing step: the pattern of least reduced cost 1 - sum(price * count).
-
-    Exact dynamic programme over used width, one item per step: states are
-    at most ``roll_width + 1`` rows, so each step is a tiny explode and
-    grouped max. Returns the new pattern's slices (every item, with its
-    count) and its reduced cost."""
-    items = _item_rows(orders, duals, max_items)
-    schema = StructType([StructField("used", IntegerType()), StructField("value", DoubleType()),
-                         StructField("counts", ArrayType(IntegerType()))])
-    state = spark.createDataFrame([(0, 0.0, [])], schema)
-    for i, r in enumerate(items):
-        k = F.explode(F.sequence(F.lit(0), F.floor((F.lit(roll_width) - F.col("used")) / r["width"]).cast("int")))
-        step = state.select("used", "value", "counts", k.alias("k")).select(
-            (F.col("used") + F.col("k") * r["width"]).alias("used"),
-            (F.col("value") + F.col("k") * F.lit(float(r["price"]))).alias("value"),
-            F.concat("counts", F.array(F.col("k"))).alias("counts"),
-        )
-        state = step.groupBy("used").agg(F.max(F.struct("value", "counts")).alias("b")).select(
-            "used", "b.value", "b.counts"
-        )
-        if i % 8 == 7:
-            state = cut_lineage(state)
-    best = state.agg(F.max(F.struct("value", "counts")).alias("b"))
-    names = F.array(*[F.lit(r["item"]) for r in items])
-    return best.select(
-        F.posexplode(F.col("b.counts")).alias("i", "number"), (F.lit(1.0) - F.col("b.value")).alias("reduced_cost")
-    ).select(
-        F.element_at(names, F.col("i") + 1).alias("item"), F.lit(pattern_id).alias("pattern"), "number", "reduced_cost"
-    )
+def best_pattern(slices: DataFrame, duals: DataFrame) -> DataFrame:
+    """The given pattern of least reduced cost, ties to the smallest id: one row
+    (pattern, reduced_cost), none without patterns."""
+    best = pattern_reduced_cost(slices, duals).agg(F.min(F.struct("reduced_cost", "pattern")).alias("b"))
+    return best.where(F.col("b").isNotNull()).select("b.pattern", "b.reduced_cost")

@@ -12,9 +12,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netloom.functions.columns import name_of
 from netloom.functions.prefix import running_total
 from netloom.session import materialize
-from netloom.operators.tableau import DEXPR, EQ, GE, LE
+from netloom.operators.tableau import (
+    CAPITAL_COST, CT_CAPACITY, CT_DEMAND, CT_SUPPLY, DEXPR, EQ, GE, LE, OPERATING_COST, TOTAL_COST, scenario_slice,
+)
 
 
 def decision_values(*decisions: DataFrame) -> DataFrame:
@@ -39,6 +42,55 @@ def row_activity(rows: DataFrame, entries: DataFrame, values: DataFrame) -> Data
     )
 
 
+def plan_activity(warehouses: DataFrame, stores: DataFrame, routes: DataFrame, demands: DataFrame, scenario_id: str,
+                  open_plan: DataFrame, ship_plan: DataFrame) -> DataFrame:
+    """``row_activity`` of the warehousing tableau for a plan by natural keys:
+    ``open_plan`` (location, open, capacity) and ``ship_plan`` (location,
+    store, ship), missing rows 0. The coefficients stand beside the keys they
+    come from, so the product joins on (location, store) and location, and the
+    only names built are those of the result."""
+    d = scenario_slice(demands, scenario_id).select("store", F.col("amount").alias("demand"))
+    # what the plan ships, with its coefficients: as many rows as the plan has
+    shipped = materialize(
+        ship_plan.where(F.col("ship") != 0).select("location", "store", "ship").join(routes, ["location", "store"])
+        .join(d, "store", "left").select("location", "store", "ship", "shipping_cost", "demand"),
+        "plan_shipped",
+    )
+    sites = warehouses.join(open_plan.select("location", "open", "capacity"), "location", "left").select(
+        "location", "fixed_cost", "capacity_cost",
+        F.coalesce(F.col("open").cast("double"), F.lit(0.0)).alias("open"),
+        F.coalesce(F.col("capacity").cast("double"), F.lit(0.0)).alias("capacity"),
+    )
+
+    def row(name, rhs, activity):
+        return [name.alias("cnstraint"), F.lit(GE).alias("sense"), F.lit(rhs).alias("rhs"), activity.alias("activity")]
+
+    def or_zero(c):
+        return F.coalesce(F.col(c), F.lit(0.0))
+
+    loads = shipped.groupBy("location").agg(F.sum(F.col("demand") * F.col("ship")).alias("load"))
+    capacity = sites.join(loads, "location", "left").select(
+        *row(name_of(CT_CAPACITY, "location"), 0.0, F.col("capacity") - or_zero("load")))
+    served = shipped.groupBy("store").agg(F.sum("ship").alias("served"))
+    demand = stores.join(served, "store", "left").select(*row(name_of(CT_DEMAND, "store"), 1.0, or_zero("served")))
+    supply = (
+        routes.select("location", "store")
+        .join(sites.where("open <> 0").select("location", "open"), "location", "left")
+        .join(shipped.select("location", "store", "ship"), ["location", "store"], "left")
+        .select(*row(name_of(CT_SUPPLY, "location", "store"), 0.0, or_zero("open") - or_zero("ship")))
+    )
+    costs = (
+        sites.select((F.col("fixed_cost") * F.col("open") + F.col("capacity_cost") * F.col("capacity")).alias("c"), F.lit(0.0).alias("o"))
+        .unionByName(shipped.select(F.lit(0.0).alias("c"), (F.col("demand") * F.col("shipping_cost") * F.col("ship")).alias("o")))
+        .agg(F.coalesce(F.sum("c"), F.lit(0.0)).alias("c"), F.coalesce(F.sum("o"), F.lit(0.0)).alias("o"))
+    )
+    named = F.array(*[F.struct(F.lit(n).alias("cnstraint"), v.alias("activity")) for n, v in (
+        (CAPITAL_COST, F.col("c")), (OPERATING_COST, F.col("o")), (TOTAL_COST, F.col("c") + F.col("o")))])
+    costs = costs.select(F.explode(named).alias("e")).select(
+        "e.cnstraint", F.lit(DEXPR).alias("sense"), F.lit(0.0).alias("rhs"), "e.activity")
+    return reduce(DataFrame.unionByName, [capacity, demand, supply, costs])
+
+
 def violations(activity: DataFrame, tolerance: float = 1e-6) -> DataFrame:
     """Constraint rows whose activity breaks their sense by more than ``tolerance``."""
     a, r, s = F.col("activity"), F.col("rhs"), F.col("sense")
@@ -74,7 +126,9 @@ def bound_violations(*decisions: DataFrame) -> DataFrame:
 # ---- listing and text (O1, O2, A14) ---------------------------------------------
 
 def constraint_listing(rows: DataFrame, entries: DataFrame, *columns: DataFrame) -> DataFrame:
-    """Rows joined to their entries, restricted to declared columns (bounds dropped)."""
+    """Rows joined to their entries, restricted to declared columns (bounds
+    dropped). For any tableau; a row without entries has no line. A tableau
+    of this library needs no joins: see ``tableau.listed_entries``."""
     variables = reduce(DataFrame.unionByName, [c.select("variable") for c in columns])
     return (
         rows.join(entries, "cnstraint")
@@ -83,59 +137,36 @@ def constraint_listing(rows: DataFrame, entries: DataFrame, *columns: DataFrame)
     )
 
 
-def constraint_text(listing: DataFrame, chunk_terms: int = 10000) -> DataFrame:
-    """Each constraint as text, ``c*v +c*v >= rhs``, terms in variable order.
-
-    Text is emitted in chunks of at most ``chunk_terms`` terms
-    (``chunk`` 0, 1, ...); concatenating a constraint's chunks in order gives
-    its whole text. A decision expression has no relation part.
+def ordered_listing(listing: DataFrame) -> DataFrame:
+    """The listing by constraint and variable, a range sort over all tasks."""
+    return listing.orderBy("cnstraint", "variable")
 
-    A constraint of at most ``chunk_terms`` terms is one chunk, sorted within
-    its group. Only longer ones (a cost expression over every route) get term
-    ranks, from a skew-safe running count that spreads them over many tasks;
-    no group ever holds more than ``chunk_terms`` terms.
-    """
-    # written once: the term counts, both branches and the ranking all read it
-    lst = materialize(listing, "constraint_terms")
-    n_terms = lst.groupBy("cnstraint").agg(F.count(F.lit(1)).alias("_n"))
-    # constraints longer than one chunk: at most (terms / chunk_terms) of them
-    long_keys = n_terms.where(F.col("_n") > chunk_terms)
-    short = lst.join(long_keys.select("cnstraint"), "cnstraint", "left_anti").select(
-        "*", F.lit(0).cast("long").alias("_last"), F.lit(0).cast("long").alias("chunk")
-    )
-    long_ = lst.join(long_keys, "cnstraint").select(
-        *lst.columns, ((F.col("_n") - 1) / chunk_terms).cast("long").alias("_last")
-    )
-    ranked = running_total(long_.withColumn("_one", F.lit(1.0)), ["cnstraint"], "variable", "_one", "_rank")
-    long_chunks = ranked.withColumn("chunk", ((F.col("_rank").cast("long") - 1) / chunk_terms).cast("long")).drop(
-        "_one", "_rank"
-    )
-    terms = short.unionByName(long_chunks)
-    chunks = terms.groupBy("cnstraint", "sense", "rhs", "_last", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("variable", F.col("coefficient").cast("string").alias("c")))).alias("t")
-    )
 
-    def term(x, i):
-        plus = F.when(((i > 0) | (F.col("chunk") > 0)) & ~x["c"].startswith("-"), F.lit("+")).otherwise(F.lit(""))
-        return F.concat(plus, x["c"], F.lit("*"), x["variable"], F.lit(" "))
+def constraint_text(listing: DataFrame) -> DataFrame:
+    """Each constraint as text, one row per term: (cnstraint, position, text).
 
+    Terms ``c*v `` come in variable order, with ``+`` before a term that is
+    neither first nor negative; the relation ``>= rhs`` is the constraint's
+    last row, and a decision expression has none. Joined in the order of
+    ``position``, the rows are the constraint's text. A constraint's terms
+    are ranked across partitions, so none of them is held in one place.
+    """
+    ranked = running_total(listing.withColumn("_one", F.lit(1).cast("long")), ["cnstraint"], "variable", "_one", "position")
+    c = F.col("coefficient").cast("string")
+    plus = F.when((F.col("position") > 1) & ~c.startswith("-"), F.lit("+")).otherwise(F.lit(""))
+    terms = ranked.select("cnstraint", "position", F.concat(plus, c, F.lit("*"), F.col("variable"), F.lit(" ")).alias("text"))
     rel = (F.when(F.col("sense") == GE, F.lit(">= "))
            .when(F.col("sense") == LE, F.lit("<= "))
            .when(F.col("sense") == EQ, F.lit("== ")))
-    last = F.col("chunk") == F.col("_last")
-    suffix = F.when(last & rel.isNotNull(), F.concat(rel, F.col("rhs").cast("string"))).otherwise(F.lit(""))
-    return chunks.select(
-        "cnstraint", "chunk", F.concat(F.array_join(F.transform("t", term), ""), suffix).alias("text")
+    lasts = listing.groupBy("cnstraint", "sense", "rhs").agg((F.count(F.lit(1)) + 1).alias("position")).select(
+        "cnstraint", "position", F.concat(rel, F.col("rhs").cast("string")).alias("text")
     )
+    return terms.unionByName(lasts.where(F.col("text").isNotNull()))
 
 
-def constraint_matrix(entries: DataFrame, rows: DataFrame, variables: list[str], max_columns: int = 1000) -> DataFrame:
-    """Dense slice of the matrix: one column per listed variable (0 when absent).
-
-    For small slices only: the variable list is explicit and bounded.
-    """
-    if len(variables) > max_columns:
-        raise ValueError(f"{len(variables)} columns requested, limit {max_columns}; use the long form")
+def constraint_matrix(entries: DataFrame, rows: DataFrame, variables: list[str]) -> DataFrame:
+    """Dense slice of the matrix: one column per variable that the caller lists
+    (0 when absent)."""
     wide = (
         entries.where(F.col("variable").isin(variables))
         .groupBy("cnstraint")
@@ -213,10 +244,9 @@ def unserved_demand(demands: DataFrame, routes: DataFrame, open_warehouses: Data
     A plan with scenario ``All`` opens sites for every scenario; otherwise
     a site counts only in its own scenario."""
     opened = open_warehouses.where(F.col("open") == 1).select("location", F.col("scenario_id").alias("plan_scenario"))
-    reach = routes.select("location", "store").join(opened, "location").select("store", "plan_scenario")
-    d = demands.alias("d")
-    r = reach.alias("r")
-    cond = (F.col("d.store") == F.col("r.store")) & (
-        (F.col("r.plan_scenario") == F.lit("All")) | (F.col("r.plan_scenario") == F.col("d.scenario_id"))
-    )
-    return d.join(r, cond, "left_anti").select("store", "scenario_id", "amount")
+    # at most one row per store and plan scenario, so no store is hot below
+    reach = routes.select("location", "store").join(opened, "location").select("store", "plan_scenario").distinct()
+    always = reach.where(F.col("plan_scenario") == "All").select("store")
+    sometimes = reach.where(F.col("plan_scenario") != "All").select("store", F.col("plan_scenario").alias("scenario_id"))
+    rest = demands.join(always, "store", "left_anti").join(sometimes, ["store", "scenario_id"], "left_anti")
+    return rest.select("store", "scenario_id", "amount")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from netloom.operators.scenario import peak_scenario
 from netloom.operators.tableau import scenario_slice
+from netloom.session import materialize
 
 
 def _demand(demands: DataFrame, scenario_id: str | None) -> DataFrame:
@@ -81,37 +82,33 @@ def _report(df: DataFrame) -> DataFrame:
 
 def candidate_set_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFrame, candidates: DataFrame,
                        scenario_id: str | None = None) -> DataFrame:
-    """Cost of each candidate set (per scenario).
+    """Cost of each candidate set in each scenario (or in one).
 
+    Every set has a row for every scenario with demand.
     ``served_stores < demanded_stores`` means the set leaves stores
     unserved; such a set is not ``feasible`` and its cost is not comparable.
-    With one ``scenario_id`` every set gets a row; over all scenarios a
-    (set, scenario) pair with no served store has none.
     """
     d = _demand(demands, scenario_id)
     a = assign_cheapest(routes, warehouses, d, candidates)
     fixed = candidates.select("set_id", "location").join(warehouses.select("location", "fixed_cost"), "location").groupBy(
         "set_id"
     ).agg(F.count(F.lit(1)).alias("n_sites"), F.sum("fixed_cost").alias("fixed_cost"))
-    if scenario_id is not None:
-        # one scenario: the store count is a scalar subquery, sets join on their id
-        n_demanded = d.select(F.count(F.lit(1))).scalar()
-        grid = fixed.join(_variable_costs(a, ["set_id"]), "set_id", "left").select(
-            "*", F.lit(scenario_id).alias("scenario_id"), n_demanded.alias("demanded_stores")
-        )
-    else:
-        demanded = d.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("demanded_stores"))
-        grid = fixed.join(_variable_costs(a, ["set_id", "scenario_id"]), "set_id").join(demanded, "scenario_id", "left")
-    return _report(grid)
+    # one short array of the scenarios, repeated for each set: the grid is the result's own size
+    demanded = d.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("demanded_stores"))
+    every = demanded.agg(F.collect_list(F.struct("scenario_id", "demanded_stores"))).scalar()
+    grid = fixed.withColumn("s", F.explode(every)).select("*", "s.scenario_id", "s.demanded_stores").drop("s")
+    return _report(grid.join(_variable_costs(a, ["set_id", "scenario_id"]), ["set_id", "scenario_id"], "left"))
 
 
 def best_set_per_scenario(routes: DataFrame, warehouses: DataFrame, demands: DataFrame,
                           candidates: DataFrame) -> DataFrame:
     """Per scenario, the cheapest candidate set that serves every store
-    (ties to the smallest set id). Exact over the candidates supplied."""
-    c = candidate_set_cost(routes, warehouses, demands, candidates).where(F.col("feasible"))
+    (ties to the smallest set id). Exact over the candidates supplied; a
+    scenario that no set serves has a null set and no feasible sets."""
+    c = candidate_set_cost(routes, warehouses, demands, candidates)
     best = c.groupBy("scenario_id").agg(
-        F.min(F.struct("total_cost", "set_id")).alias("b"), F.count(F.lit(1)).alias("feasible_sets")
+        F.min(F.when(F.col("feasible"), F.struct("total_cost", "set_id"))).alias("b"),
+        F.count_if(F.col("feasible")).alias("feasible_sets"),
     )
     return best.select("scenario_id", F.col("b.set_id").alias("set_id"), F.col("b.total_cost").alias("total_cost"),
                        "feasible_sets")
@@ -130,17 +127,17 @@ def peak_plan_sites(routes: DataFrame, warehouses: DataFrame, demands: DataFrame
 def worst_case_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Every scenario served from the sites the peak-demand scenario opens.
 
-    One site set, so its fixed cost and size are scalar subqueries and the
-    per-scenario costs join the demanded-store counts on the scenario id."""
-    sites = peak_plan_sites(routes, warehouses, demands, scenarios)
+    The sites are written once, so the peak assignment runs once; their
+    number and fixed cost come from one aggregate of that table."""
+    sites = materialize(peak_plan_sites(routes, warehouses, demands, scenarios), "peak_sites")
     a = assign_cheapest(routes, warehouses, demands, sites)
-    fixed = sites.join(warehouses.select("location", "fixed_cost"), "location")
+    fixed = sites.join(warehouses.select("location", "fixed_cost"), "location").agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.sum("fixed_cost").alias("cost")).alias("f")
+    ).scalar()
     demanded = demands.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("demanded_stores"))
     grid = demanded.join(_variable_costs(a, ["scenario_id"]), "scenario_id", "left").select(
-        F.lit("peak").alias("set_id"), "*",
-        fixed.select(F.count(F.lit(1))).scalar().alias("n_sites"),
-        fixed.select(F.sum("fixed_cost")).scalar().alias("fixed_cost"),
-    )
+        F.lit("peak").alias("set_id"), "*", fixed.alias("f")
+    ).select("*", F.col("f.n").alias("n_sites"), F.col("f.cost").alias("fixed_cost"))
     return _report(grid)
 
 

@@ -245,6 +245,18 @@ def tableau_entries(
     return route_entries.unionByName(site_entries)
 
 
+def listed_entries(entries: DataFrame) -> DataFrame:
+    """Entries of this tableau with the sense and right-hand side of their row,
+    which follow from the constraint's family. Every variable of the encoding
+    is a declared column, so nothing is joined."""
+    family = F.substring_index(F.col("cnstraint"), "_", 1)
+    dexpr = F.col("cnstraint").isin(CAPITAL_COST, OPERATING_COST, TOTAL_COST)
+    return entries.select(
+        "cnstraint", "variable", F.when(dexpr, F.lit(DEXPR)).otherwise(F.lit(GE)).alias("sense"),
+        F.when(family == CT_DEMAND, F.lit(1.0)).otherwise(F.lit(0.0)).alias("rhs"), "coefficient",
+    )
+
+
 def constraint_family(df: DataFrame, family: str) -> DataFrame:
     """Rows or entries of one constraint family (the name before the first
     underscore); ``dexpr`` selects the decision-expression rows."""

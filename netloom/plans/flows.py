@@ -16,7 +16,8 @@ programs use them, each returning a ``Collection`` of lazy tables.
 - ``map_layers``: network (with coordinates) and a route selection ->
   warehouse, store and route layers and the map extent.
 
-Nothing is computed until a table of the returned collection is used.
+Tables are lazy, apart from intermediates that an operator writes once while
+it is built (see ``session.materialize``).
 """
 
 from __future__ import annotations
@@ -109,7 +110,7 @@ def cutting_reports(master: Collection, usages: DataFrame, roll_width: int = cut
     widths = cutting.pattern_widths(slices, orders, roll_width)
     return (Collection("cutting_reports")
             .add_table("pattern_widths", widths)
-            .add_table("production", cutting.production(usages, widths, slices, orders=orders))
+            .add_table("production", cutting.production(usages, widths, slices))
             .add_table("production_stats", cutting.production_stats(usages, widths, slices))
             .add_table("order_coverage", cutting.order_coverage(orders, slices, usages))
             .add_table("pattern_cost", cutting.pattern_cost(master["patterns"], usages)))

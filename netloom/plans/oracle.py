@@ -121,23 +121,6 @@ def _esc(x: str) -> str:
 _CAPTION_W = ("concat_ws('<br />', 'Site: ' || " + _esc("location") + ", 'Fixed cost: ' || " +
               _esc("CAST(fixed_cost AS VARCHAR)") + ", 'Capacity cost: ' || " + _esc("CAST(capacity_cost AS VARCHAR)") + ")")
 
-_BRANDS = [f"Brand#{i}" for i in range(1, 26)]
-_PIVOT = ", ".join(f"CAST(coalesce(sum(CASE WHEN item = '{b}' THEN number END), 0) AS BIGINT) AS \"{b}\"" for b in _BRANDS)
-
-_SET_COST = """
-    SELECT f.set_id, {scen} AS scenario_id, f.n_sites, coalesce(v.served_stores, 0) AS served_stores,
-           coalesce(dd.demanded_stores, 0) AS demanded_stores, round(f.fixed_cost, 2) AS fixed_cost,
-           round(coalesce(v.capacity_cost, 0.0E0), 2) AS capacity_cost, round(coalesce(v.shipping_cost, 0.0E0), 2) AS shipping_cost,
-           round(f.fixed_cost + coalesce(v.variable_cost, 0.0E0), 2) AS total_cost,
-           coalesce(v.served_stores, 0) = coalesce(dd.demanded_stores, 0) AS feasible
-    FROM (SELECT c.set_id, count(*) AS n_sites, sum(w.fixed_cost) AS fixed_cost
-          FROM {sets} c JOIN warehouses w ON c.location = w.location GROUP BY c.set_id) f
-    {join} (SELECT set_id, scenario_id, count(*) AS served_stores, sum(capacity_cost) AS capacity_cost,
-                    sum(shipping_cost) AS shipping_cost, sum(cost) AS variable_cost
-           FROM {assign} GROUP BY set_id, scenario_id) v ON f.set_id = v.set_id {vcond}
-    LEFT JOIN (SELECT scenario_id, count(*) AS demanded_stores FROM {dem} GROUP BY scenario_id) dd
-      ON dd.scenario_id = {scen}"""
-
 _ASSIGN_ALL = """(SELECT set_id, scenario_id, store, demand * shipping_cost AS shipping_cost, demand * capacity_cost AS capacity_cost,
         demand * unit_cost AS cost FROM (
         SELECT c.set_id, d.scenario_id, r.store, d.amount AS demand, r.shipping_cost, w.capacity_cost,
@@ -153,9 +136,27 @@ _PEAK_SITES = f"""(SELECT DISTINCT 'peak' AS set_id, location FROM (
         FROM routes r JOIN demands d ON r.store = d.store AND d.scenario_id = {_PEAK}
         JOIN warehouses w ON w.location = r.location) x WHERE rn = 1)"""
 
-_ALL_COST = _SET_COST.format(
-    scen="v.scenario_id", sets="candidate_sets", join="JOIN", vcond="",
-    assign=_ASSIGN_ALL.format(dem="demands", sets="candidate_sets"), dem="demands")
+_ALL_COST = f"""
+    SELECT f.set_id, dd.scenario_id, f.n_sites, coalesce(v.served_stores, 0) AS served_stores, dd.demanded_stores,
+           round(f.fixed_cost, 2) AS fixed_cost, round(coalesce(v.capacity_cost, 0.0E0), 2) AS capacity_cost,
+           round(coalesce(v.shipping_cost, 0.0E0), 2) AS shipping_cost,
+           round(f.fixed_cost + coalesce(v.variable_cost, 0.0E0), 2) AS total_cost,
+           coalesce(v.served_stores, 0) = dd.demanded_stores AS feasible
+    FROM (SELECT c.set_id, count(*) AS n_sites, sum(w.fixed_cost) AS fixed_cost
+          FROM candidate_sets c JOIN warehouses w ON c.location = w.location GROUP BY c.set_id) f
+    CROSS JOIN (SELECT scenario_id, count(*) AS demanded_stores FROM demands GROUP BY scenario_id) dd
+    LEFT JOIN (SELECT set_id, scenario_id, count(*) AS served_stores, sum(capacity_cost) AS capacity_cost,
+                      sum(shipping_cost) AS shipping_cost, sum(cost) AS variable_cost
+               FROM {_ASSIGN_ALL.format(dem="demands", sets="candidate_sets")} a GROUP BY set_id, scenario_id) v
+      ON f.set_id = v.set_id AND dd.scenario_id = v.scenario_id"""
+
+# the two-stage plan's open sites and what they ship, over all scenarios
+_PLAN_PAIRS = """(SELECT s.location, s.store FROM shipments s JOIN open_warehouses o ON s.location = o.location WHERE o.open = 1)"""
+
+_MATRIX = [f"{p}_Supplier#00000000{i}" for i in (1, 2) for p in ("open", "capacity")]
+_MATRIX_NAMES = ", ".join(f"'{v}'" for v in _MATRIX)
+_MATRIX_COLUMNS = ", ".join(
+    f"coalesce(sum(CASE WHEN e.variable = '{v}' THEN e.coefficient END), 0.0E0) AS \"{v}\"" for v in _MATRIX)
 
 QUERIES = {
     "sizes": """SELECT 'warehouses' AS table_name, count(*) AS n_rows FROM warehouses
@@ -194,8 +195,8 @@ QUERIES = {
     "demand_on_route": "SELECT r.location, r.store, d.demand FROM routes r JOIN dem95 d ON r.store = d.store",
     "demand_on_route_all": """SELECT r.location, r.store, d.scenario_id, d.amount AS demand
         FROM routes r JOIN demands d ON r.store = d.store""",
-    "routes_to_show": """SELECT location, store, shipping_cost FROM routes r
-        WHERE EXISTS (SELECT 1 FROM shipments s WHERE s.location = r.location AND s.store = r.store)""",
+    "routes_to_show": f"""SELECT location, store, shipping_cost FROM routes r
+        WHERE EXISTS (SELECT 1 FROM {_PLAN_PAIRS} s WHERE s.location = r.location AND s.store = r.store)""",
     "warehouses_geo": """SELECT w.location, w.fixed_cost, w.capacity_cost, m.lon, m.lat
         FROM warehouses w JOIN map_coordinates m ON w.location = m.location""",
     "stores_geo": "SELECT s.store, m.lon, m.lat FROM stores s JOIN map_coordinates m ON s.store = m.location",
@@ -220,8 +221,11 @@ QUERIES = {
             AS violation FROM ({_ACTIVITY}) a WHERE sense <> 'dexpr') x WHERE violation > 1e-6""",
     "objective_value": f"""SELECT 'totalCost' AS name, 'minimize' AS sense, round(activity, 2) + 0.0E0 AS value
         FROM ({_ACTIVITY}) a WHERE cnstraint = 'totalCost' AND sense = 'dexpr'""",
-    "bound_violations": """SELECT variable, 0.0E0 AS lower, 1.0E0 AS upper, value FROM plan_values
-        WHERE value < 0 OR value > CASE WHEN variable LIKE 'capacity\\_%' ESCAPE '\\' THEN 1.0E20 ELSE 1.0E0 END""",
+    "bound_violations": """SELECT variable, lower, upper, round(value, 6) AS value FROM (
+        SELECT 'capacity_' || w.location AS variable, 0.0E0 AS lower, 1.0E20 AS upper, l.load - 1800 AS value
+        FROM warehouses w JOIN loads l ON w.location = l.location AND l.scenario_id = '1995'
+        UNION ALL SELECT 'ship_' || r.location || '_' || r.store, 0.0E0, 1.0E0, d.demand / 100
+        FROM routes r JOIN dem95 d ON r.store = d.store) x WHERE value < lower OR value > upper""",
     "float_columns": """SELECT 'capacity_' || location AS variable, 0.0E0 AS lower, 1.0E20 AS upper, 0.0E0 AS value FROM warehouses
         UNION ALL SELECT 'ship_' || location || '_' || store, 0.0E0, 1.0E0, 0.0E0 FROM routes""",
     "tableau_rows": _ROWS,
@@ -268,11 +272,10 @@ QUERIES = {
         FROM scenario_open GROUP BY location""",
     "pattern_widths": """SELECT pattern, CAST(sum(width * number) AS BIGINT) AS width, 110 - CAST(sum(width * number) AS BIGINT) AS scrap
         FROM cut_slices s JOIN cut_orders o ON s.item = o.item GROUP BY pattern""",
-    "production": f"""WITH w AS (SELECT pattern, CAST(sum(width * number) AS BIGINT) AS width FROM cut_slices s
-                                  JOIN cut_orders o ON s.item = o.item GROUP BY pattern),
-             p AS (SELECT pattern, {_PIVOT} FROM cut_slices GROUP BY pattern)
-        SELECT u.pattern, u.rolls, w.width, 110 - w.width AS scrap, p.* EXCLUDE (pattern)
-        FROM cut_usages u JOIN w ON u.pattern = w.pattern JOIN p ON p.pattern = u.pattern WHERE u.rolls > 0""",
+    "production": """WITH w AS (SELECT pattern, CAST(sum(width * number) AS BIGINT) AS width FROM cut_slices s
+                                 JOIN cut_orders o ON s.item = o.item GROUP BY pattern)
+        SELECT u.pattern, u.rolls, w.width, 110 - w.width AS scrap, s.item, s.number
+        FROM cut_usages u JOIN w ON u.pattern = w.pattern JOIN cut_slices s ON s.pattern = u.pattern WHERE u.rolls > 0""",
     "production_stats": """WITH w AS (SELECT pattern, 110 - CAST(sum(width * number) AS BIGINT) AS scrap FROM cut_slices s
                                        JOIN cut_orders o ON s.item = o.item GROUP BY pattern),
              used AS (SELECT u.pattern, u.rolls, w.scrap FROM cut_usages u JOIN w ON u.pattern = w.pattern WHERE u.rolls > 0)
@@ -300,22 +303,24 @@ QUERIES = {
               / sum(s.periods) OVER (PARTITION BY d.store), 6) AS cumulative
         FROM demands d JOIN scenarios s ON d.scenario_id = s.id""",
     "constraint_listing": _LISTING,
-    "constraint_text": f"""SELECT cnstraint, chunk,
-            string_agg(term, '' ORDER BY variable) ||
-            CASE WHEN chunk = max(nt) THEN CASE max(sense) WHEN 'GE' THEN '>= ' || CAST(max(rhs) AS VARCHAR)
-                 WHEN 'LE' THEN '<= ' || CAST(max(rhs) AS VARCHAR) WHEN 'EQ' THEN '== ' || CAST(max(rhs) AS VARCHAR) ELSE '' END
-            ELSE '' END AS text
-        FROM (SELECT cnstraint, variable, sense, rhs, (rn - 1) // 10000 AS chunk, (n - 1) // 10000 AS nt,
-                     CASE WHEN rn > 1 AND NOT starts_with(CAST(coefficient AS VARCHAR), '-') THEN '+' ELSE '' END
-                     || CAST(coefficient AS VARCHAR) || '*' || variable || ' ' AS term
-              FROM (SELECT *, row_number() OVER (PARTITION BY cnstraint ORDER BY variable) AS rn,
-                           count(*) OVER (PARTITION BY cnstraint) AS n FROM ({_LISTING}) l) x) y
-        GROUP BY cnstraint, chunk""",
+    "constraint_text": f"""SELECT cnstraint, position,
+            CASE WHEN position > 1 AND NOT starts_with(CAST(coefficient AS VARCHAR), '-') THEN '+' ELSE '' END
+            || CAST(coefficient AS VARCHAR) || '*' || variable || ' ' AS text
+        FROM (SELECT *, row_number() OVER (PARTITION BY cnstraint ORDER BY variable) AS position FROM ({_LISTING}) l) x
+        UNION ALL
+        SELECT cnstraint, count(*) + 1, CASE sense WHEN 'GE' THEN '>= ' WHEN 'LE' THEN '<= ' WHEN 'EQ' THEN '== ' END || CAST(rhs AS VARCHAR)
+        FROM ({_LISTING}) l WHERE sense <> 'dexpr' GROUP BY cnstraint, sense, rhs""",
     "peak_scenario": "SELECT id, total_demand, periods FROM scenarios ORDER BY total_demand DESC, id LIMIT 1",
-    "candidate_set_cost": _SET_COST.format(
-        scen="'1995'", sets="candidate_sets", join="LEFT JOIN", vcond="",
-        assign="assign95", dem="dem95_s"),
-    "assign_cheapest": "SELECT * FROM assign95",
+    "candidate_set_cost": _ALL_COST,
+    "assign_cheapest": """SELECT set_id, scenario_id, store, location, demand, unit_cost,
+            shipping_cost * demand AS shipping_cost, capacity_cost * demand AS capacity_cost, unit_cost * demand AS cost
+        FROM (SELECT c.set_id, d.scenario_id, r.store, r.location, d.amount AS demand, r.shipping_cost, w.capacity_cost,
+                     r.shipping_cost + w.capacity_cost AS unit_cost,
+                     row_number() OVER (PARTITION BY c.set_id, d.scenario_id, r.store
+                                        ORDER BY r.shipping_cost + w.capacity_cost, r.location) AS rn
+              FROM routes r JOIN demands d ON r.store = d.store
+              JOIN candidate_sets c ON c.location = r.location JOIN warehouses w ON w.location = r.location) x
+        WHERE rn = 1""",
     "worst_case_cost": f"""SELECT 'peak' AS set_id, dd.scenario_id, f.n_sites, coalesce(v.served_stores, 0) AS served_stores,
             dd.demanded_stores, round(f.fixed_cost, 2) AS fixed_cost,
             round(coalesce(v.capacity_cost, 0.0E0), 2) AS capacity_cost, round(coalesce(v.shipping_cost, 0.0E0), 2) AS shipping_cost,
@@ -328,25 +333,35 @@ QUERIES = {
           ON dd.scenario_id = v.scenario_id
         CROSS JOIN (SELECT count(*) AS n_sites, sum(w.fixed_cost) AS fixed_cost
                     FROM {_PEAK_SITES} c JOIN warehouses w ON c.location = w.location) f""",
-    "best_set_per_scenario": f"""SELECT scenario_id, arg_min(set_id, (total_cost, set_id)) AS set_id, min(total_cost) AS total_cost,
-        count(*) AS feasible_sets FROM ({_ALL_COST}) c WHERE feasible GROUP BY scenario_id""",
+    "best_set_per_scenario": f"""SELECT scenario_id, arg_min(set_id, (total_cost, set_id)) FILTER (WHERE feasible) AS set_id,
+        min(total_cost) FILTER (WHERE feasible) AS total_cost,
+        count(*) FILTER (WHERE feasible) AS feasible_sets FROM ({_ALL_COST}) c GROUP BY scenario_id""",
+    "best_pattern": """SELECT pattern, round(reduced_cost, 6) AS reduced_cost FROM (
+        SELECT s.pattern, 1.0E0 - sum(d.price * s.number) AS reduced_cost
+        FROM cut_slices s JOIN cut_duals d ON s.item = d.item GROUP BY s.pattern) x ORDER BY x.reduced_cost, pattern LIMIT 1""",
+    "merge": """SELECT 'warehouses' AS table_name, count(*) AS n_rows FROM warehouses UNION ALL SELECT 'routes', count(*) FROM routes
+        UNION ALL SELECT 'demands', count(*) FROM demands UNION ALL SELECT 'scenarios', count(*) FROM scenarios""",
+    "subset": """SELECT 'routes' AS table_name, count(*) AS n_rows FROM routes UNION ALL SELECT 'demands', count(*) FROM demands""",
+    "replace": f"SELECT store, scenario_id, amount FROM demands WHERE scenario_id = {_PEAK}",
+    "append": """SELECT location, scenario_id, iteration, open, capacity FROM open_warehouses
+        UNION ALL SELECT location, scenario_id, iteration, open, capacity FROM scenario_open""",
+    "constraint_matrix": f"""SELECT r.cnstraint, r.sense, r.rhs, {_MATRIX_COLUMNS}
+        FROM ({_ROWS}) r JOIN ({_ALL_ENTRIES}) e ON r.cnstraint = e.cnstraint
+        WHERE e.variable IN ({_MATRIX_NAMES}) GROUP BY r.cnstraint, r.sense, r.rhs""",
     "layer_warehouses": f"""SELECT w.location AS feature_id, 'Point' AS geometry_type, m.lon, m.lat,
         {_CAPTION_W.replace('location', 'w.location')} AS caption
         FROM warehouses w JOIN map_coordinates m ON w.location = m.location""",
     "layer_stores": """SELECT s.store AS feature_id, 'Point' AS geometry_type, m.lon, m.lat, 'Store: ' || s.store AS caption,
         '#FF0000' AS color, 20 AS radius FROM stores s JOIN map_coordinates m ON s.store = m.location""",
-    "layer_routes": """SELECT r.location || ' -> ' || r.store AS feature_id, 'LineString' AS geometry_type,
+    "layer_routes": f"""SELECT r.location || ' -> ' || r.store AS feature_id, 'LineString' AS geometry_type,
         a.lon AS from_lon, a.lat AS from_lat, b.lon AS to_lon, b.lat AS to_lat,
         'From: ' || r.location || '<br />To: ' || r.store AS caption, '#FF0000' AS color
         FROM routes r JOIN map_coordinates a ON r.location = a.location JOIN map_coordinates b ON r.store = b.location
-        WHERE EXISTS (SELECT 1 FROM shipments s WHERE s.location = r.location AND s.store = r.store AND s.scenario_id = '1995')""",
+        WHERE EXISTS (SELECT 1 FROM {_PLAN_PAIRS} s WHERE s.location = r.location AND s.store = r.store)""",
 }
 
-_EXTRA_CTES = [("dem95_s", "SELECT store, scenario_id, amount FROM demands WHERE scenario_id = '1995'")]
-
-
 def oracle_sql() -> dict[str, str]:
-    ctes = ",\n".join(f"{n} AS ({q})" for n, q in CTES + _EXTRA_CTES)
+    ctes = ",\n".join(f"{n} AS ({q})" for n, q in CTES)
     out = {}
     for k, q in QUERIES.items():
         body = q.lstrip()

@@ -21,7 +21,6 @@ from netloom.sources.star import Star
 # fixed values used by the registered queries
 SCENARIO = "1995"   # single scenario for the tableau and the deterministic model
 ALL_SET = "all"     # candidate set holding every site
-NEW_PATTERN_ID = 1  # id given to the priced pattern
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,7 +63,7 @@ def write_collection(spark, d):
     from netloom import schemas
     from netloom.session import scratch_root
 
-    st = Star(spark, d)
+    st = Star(spark, d, materialize_lanes=False)
     model = {"warehouses": schemas.WAREHOUSES, "routes": schemas.ROUTES}
     c = Collection("network", {}, model).add_table("warehouses", st.warehouses).add_table("routes", st.routes)
     path = f"{scratch_root(spark)}/collection-{uuid.uuid4().hex}"
@@ -73,6 +72,58 @@ def write_collection(spark, d):
     return back["routes"].join(back["warehouses"].select("location", "capacity_cost"), "location")
 
 
+# ---- collection operations, as the flows use them --------------------------------
+
+def _network(st: Star) -> Collection:
+    return Collection("network").add_table("warehouses", st.warehouses).add_table("routes", st.routes)
+
+
+def _demand(st: Star) -> Collection:
+    return Collection("demand").add_table("demands", st.demands).add_table("scenarios", st.scenarios)
+
+
+@query
+def merge(spark, d):
+    """D2: network and demand in one collection, whose sizes are returned."""
+    st = Star(spark, d)
+    return _network(st).merge(_demand(st)).sizes()
+
+
+@query
+def subset(spark, d):
+    """D3: two tables of the merged collection."""
+    st = Star(spark, d)
+    return _network(st).merge(_demand(st)).subset("part", "routes", "demands").sizes()
+
+
+@query
+def replace(spark, d):
+    """D4: demands cut to the peak scenario, as the two-stage flow does."""
+    st = Star(spark, d)
+    peak = scenario.peak_scenario(st.scenarios).select(F.col("id").alias("scenario_id"))
+    return _demand(st).replace("demands", st.demands.join(peak, "scenario_id", "left_semi"))["demands"]
+
+
+@query
+def append(spark, d):
+    """D5: the open sites of every scenario appended to those of the two-stage plan."""
+    st = Star(spark, d)
+    return Collection("result").add_table("open_warehouses", st.open_warehouses).append("open_warehouses", st.scenario_open)["open_warehouses"]
+
+
+# columns that the dense slice shows (its feature: the caller lists them)
+MATRIX_SITES = ["Supplier#000000001", "Supplier#000000002"]
+
+
+@query
+def constraint_matrix(spark, d):
+    """A14: the columns of two sites' open and capacity variables."""
+    st = Star(spark, d)
+    variables = [f"{p}_{s}" for s in MATRIX_SITES for p in (tableau.OPEN, tableau.CAPACITY)]
+    rows = tableau.tableau_rows(spark, st.warehouses, st.stores, st.routes)
+    return evaluate.constraint_matrix(_entries(st), rows, variables)
+
+
 # natural keys of the base tables (fixed values of the star schema)
 BASE_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
              "supplier": ["s_suppkey"], "part": ["p_partkey"]}
@@ -105,7 +156,7 @@ def columns_capacity(spark, d):
 
 @query
 def columns_ship(spark, d):
-    return tableau.columns_ship(Star(spark, d).routes)
+    return tableau.columns_ship(Star(spark, d, materialize_lanes=False).routes)
 
 
 @query
@@ -120,12 +171,12 @@ def rows_ct_demand(spark, d):
 
 @query
 def rows_ct_supply(spark, d):
-    return tableau.rows_ct_supply(Star(spark, d).routes)
+    return tableau.rows_ct_supply(Star(spark, d, materialize_lanes=False).routes)
 
 
 @query
 def scenario_slice(spark, d):
-    return tableau.scenario_slice(Star(spark, d).demands, SCENARIO)
+    return tableau.scenario_slice(Star(spark, d, materialize_lanes=False).demands, SCENARIO)
 
 
 def _entries(st: Star) -> DataFrame:
@@ -163,10 +214,17 @@ def demand_on_route_all(spark, d):
     return tableau.demand_on_route(st.routes, st.demands)
 
 
+def _plan_pairs(st: Star) -> DataFrame:
+    """Shipments from the sites that the two-stage plan opens, over all
+    scenarios: part of the routes, most of them several times."""
+    opened = st.open_warehouses.where(F.col("open") == 1).select("location")
+    return st.shipments.join(opened, "location")
+
+
 @query
 def routes_to_show(spark, d):
     st = Star(spark, d)
-    return geo.routes_to_show(st.routes, st.shipments)
+    return geo.routes_to_show(st.routes, _plan_pairs(st))
 
 
 @query
@@ -183,7 +241,7 @@ def stores_geo(spark, d):
 
 @query
 def routes_geo(spark, d):
-    st = Star(spark, d)
+    st = Star(spark, d, materialize_lanes=False)
     return geo.routes_geo(st.routes, st.map_coordinates)
 
 
@@ -197,43 +255,40 @@ def _tableau(st: Star):
     return tableau.encode(st.spark, st.warehouses, st.stores, st.routes, st.demands, SCENARIO)
 
 
-def _solution(st: Star):
-    """Tableau for SCENARIO, and solver-style decision tables (every column)
-    of the cheapest assignment over all sites."""
-    tab = _tableau(st)
-    # the plan's nonzero values feed both decision tables: written once, so the
-    # cheapest-route arg-min runs once
-    values = materialize(decode.plan_values(_assignment(st)), "plan_values")
-    bdec, fdec = decode.decisions_from_values(tab.columns_open, tab.columns_capacity, tab.columns_ship, values)
-    return tab, bdec, fdec
+def _plan(st: Star) -> tuple[DataFrame, DataFrame]:
+    """(open_plan, ship_plan) of the cheapest assignment over all sites; the
+    assignment is written, so its arg-min runs once."""
+    return siting.plan_from_assignment(materialize(_assignment(st), "assignment"))
 
 
-def _activity(st: Star):
-    """Row activity of the same plan: the product needs only the nonzero
-    decision values, which the assignment gives directly."""
-    tab = _tableau(st)
-    act = evaluate.row_activity(tab.rows, tab.entries, decode.plan_values(_assignment(st)))
-    return tab, act
+def _activity(st: Star) -> DataFrame:
+    return evaluate.plan_activity(st.warehouses, st.stores, st.routes, st.demands, SCENARIO, *_plan(st))
 
 
 @query
 def decode_objectives(spark, d):
-    _, act = _activity(Star(spark, d))
+    act = _activity(Star(spark, d))
     return _round(decode.decode_objectives(evaluate.optimal_objectives(act), SCENARIO), 2, ["value"])
 
 
 @query
 def decode_open(spark, d):
-    tab, bdec, fdec = _solution(Star(spark, d))
-    return decode.decode_open(bdec, fdec, tab.columns_open, tab.columns_capacity, SCENARIO)
+    """Open and capacity decisions only: no ship columns are built."""
+    st = Star(spark, d)
+    open_plan, _ = _plan(st)
+    bdec, cdec = decode.site_decisions(tableau.columns_open(st.warehouses), tableau.columns_capacity(st.warehouses), open_plan)
+    return decode.decode_open(bdec, cdec, tableau.columns_open(st.warehouses), tableau.columns_capacity(st.warehouses), SCENARIO)
 
 
 @query
 def decode_shipments(spark, d):
+    """Ship decisions that are not zero."""
     st = Star(spark, d)
-    tab, _, fdec = _solution(st)
+    _, ship_plan = _plan(st)
+    columns = tableau.columns_ship(st.routes)
+    fdec = columns.drop("value").join(ship_plan, ["location", "store"]).select("variable", F.col("ship").alias("value"))
     dor = tableau.demand_on_route(st.routes, st.demands, SCENARIO)
-    return decode.decode_shipments(fdec, tab.columns_ship, dor, SCENARIO)
+    return decode.decode_shipments(fdec, columns, dor, SCENARIO)
 
 
 @query
@@ -257,19 +312,19 @@ def entries_cap_ship(spark, d):
 
 @query
 def entries_dem_ship(spark, d):
-    st = Star(spark, d)
+    st = Star(spark, d, materialize_lanes=False)
     return tableau.entries_dem_ship(st.stores, st.routes)
 
 
 @query
 def entries_sup_open(spark, d):
-    st = Star(spark, d)
+    st = Star(spark, d, materialize_lanes=False)
     return tableau.entries_sup_open(st.warehouses, st.routes)
 
 
 @query
 def entries_sup_ship(spark, d):
-    return tableau.entries_sup_ship(Star(spark, d).routes)
+    return tableau.entries_sup_ship(Star(spark, d, materialize_lanes=False).routes)
 
 
 @query
@@ -290,39 +345,44 @@ def entries_dexpr_ship(spark, d):
 
 @query
 def row_activity(spark, d):
-    _, act = _activity(Star(spark, d))
-    return _round(act, 2, ["activity"])
+    return _round(_activity(Star(spark, d)), 2, ["activity"])
 
 
 @query
 def violations(spark, d):
-    _, act = _activity(Star(spark, d))
-    return _round(evaluate.violations(act), 2, ["activity", "violation"])
+    return _round(evaluate.violations(_activity(Star(spark, d))), 2, ["activity", "violation"])
 
 
 @query
 def objective_value(spark, d):
-    tab, act = _activity(Star(spark, d))
-    return _round(evaluate.objective_value(act, tab.objectives), 2, ["value"])
+    act = _activity(Star(spark, d))
+    return _round(evaluate.objective_value(act, tableau.tableau_objectives(spark)), 2, ["value"])
 
 
 @query
 def bound_violations(spark, d):
-    tab, bdec, fdec = _solution(Star(spark, d))
-    return evaluate.bound_violations(bdec, tab.integer_columns, fdec)
+    """A plan that overdraws: capacities of the load less 1800, below 0 for
+    small loads, and ships of a hundredth of the demand, beyond 1 for large."""
+    st = Star(spark, d)
+    load = tableau.scenario_slice(st.loads, SCENARIO).select("location", (F.col("load") - 1800).alias("value"))
+    demand = tableau.scenario_slice(st.demands, SCENARIO).select("store", (F.col("amount") / 100).alias("value"))
+    capacity = tableau.columns_capacity(st.warehouses).drop("value").join(load, "location")
+    ship = tableau.columns_ship(st.routes).drop("value").join(demand, "store")
+    columns = ["variable", "lower", "upper", "value"]
+    return _round(evaluate.bound_violations(capacity.select(*columns), ship.select(*columns)), 6, ["value"])
 
 
 # ---- set operations -------------------------------------------------------------------
 
 @query
 def float_columns(spark, d):
-    st = Star(spark, d)
+    st = Star(spark, d, materialize_lanes=False)
     return tableau.float_columns(st.warehouses, st.routes)
 
 
 @query
 def tableau_rows(spark, d):
-    st = Star(spark, d)
+    st = Star(spark, d, materialize_lanes=False)
     return tableau.tableau_rows(spark, st.warehouses, st.stores, st.routes)
 
 
@@ -357,17 +417,17 @@ def demand_summary(spark, d):
 @query
 def route_utilization(spark, d):
     st = Star(spark, d)
-    return scenario.route_utilization(st.shipments, st.scenarios)
+    return scenario.route_utilization(st.shipments, st.scenarios).orderBy("store", "location")
 
 
 @query
 def multi_source(spark, d):
-    return scenario.multi_source(Star(spark, d).shipments)
+    return scenario.multi_source(Star(spark, d, materialize_lanes=False).shipments).orderBy("store", "scenario_id")
 
 
 @query
 def multi_source_by_store(spark, d):
-    return scenario.multi_source_by_store(scenario.multi_source(Star(spark, d).shipments))
+    return scenario.multi_source_by_store(scenario.multi_source(Star(spark, d, materialize_lanes=False).shipments)).orderBy("store")
 
 
 @query
@@ -378,7 +438,7 @@ def expected_shipments(spark, d):
 
 @query
 def warehouse_shipments(spark, d):
-    return scenario.warehouse_shipments(Star(spark, d).shipments)
+    return scenario.warehouse_shipments(Star(spark, d, materialize_lanes=False).shipments)
 
 
 @query
@@ -395,7 +455,7 @@ def cost_summary(spark, d):
 
 @query
 def open_summary(spark, d):
-    return _round(scenario.open_summary(Star(spark, d).scenario_open), 6, ["avg_capacity", "stddev_capacity"])
+    return _round(scenario.open_summary(Star(spark, d, materialize_lanes=False).scenario_open), 6, ["avg_capacity", "stddev_capacity"])
 
 
 @query
@@ -408,7 +468,7 @@ def pattern_widths(spark, d):
 def production(spark, d):
     st = Star(spark, d)
     widths = cutting.pattern_widths(st.cut_slices, st.cut_orders)
-    return cutting.production(st.cut_usages, widths, st.cut_slices, orders=st.cut_orders)
+    return cutting.production(st.cut_usages, widths, st.cut_slices)
 
 
 @query
@@ -452,7 +512,7 @@ def plan_cost(spark, d):
 
 @query
 def required_capacity(spark, d):
-    return evaluate.required_capacity(Star(spark, d).shipments)
+    return evaluate.required_capacity(Star(spark, d, materialize_lanes=False).shipments)
 
 
 @query
@@ -468,14 +528,13 @@ def cumulative_distribution(spark, d):
 @query
 def constraint_listing(spark, d):
     st = Star(spark, d)
-    tab = tableau.encode(spark, st.warehouses, st.stores, st.routes, st.demands, SCENARIO)
-    return evaluate.constraint_listing(tab.rows, tab.entries, tab.boolean_columns, tab.integer_columns,
-                                       tab.float_columns)
+    return evaluate.ordered_listing(tableau.listed_entries(_entries(st)))
 
 
 @query
 def constraint_text(spark, d):
-    return evaluate.constraint_text(constraint_listing(spark, d))
+    listing = materialize(tableau.listed_entries(_entries(Star(spark, d))), "constraint_listing")  # ranked and counted
+    return evaluate.constraint_text(listing)
 
 
 @query
@@ -491,14 +550,14 @@ _MONEY = ["fixed_cost", "capacity_cost", "shipping_cost", "total_cost"]
 @query
 def candidate_set_cost(spark, d):
     st = Star(spark, d)
-    out = siting.candidate_set_cost(st.routes, st.warehouses, st.demands, st.candidate_sets, SCENARIO)
+    out = siting.candidate_set_cost(st.routes, st.warehouses, st.demands, st.candidate_sets)
     return _round(out, 2, _MONEY)
 
 
 @query
 def assign_cheapest(spark, d):
     st = Star(spark, d)
-    return siting.assign_cheapest(st.routes, st.warehouses, st.demands, st.candidate_sets, SCENARIO)
+    return siting.assign_cheapest(st.routes, st.warehouses, st.demands, st.candidate_sets)
 
 
 @query
@@ -517,8 +576,7 @@ def best_set_per_scenario(spark, d):
 @query
 def best_pattern(spark, d):
     st = Star(spark, d)
-    out = cutting.best_pattern(spark, st.cut_orders, st.cut_duals, NEW_PATTERN_ID)
-    return _round(out, 6, ["reduced_cost"])
+    return _round(cutting.best_pattern(st.cut_slices, st.cut_duals), 6, ["reduced_cost"])
 
 
 # ---- map layers ---------------------------------------------------------------------------------
@@ -539,5 +597,5 @@ def layer_stores(spark, d):
 @query
 def layer_routes(spark, d):
     st = Star(spark, d)
-    shown = geo.routes_to_show(st.routes, tableau.scenario_slice(st.shipments, SCENARIO))
+    shown = geo.routes_to_show(st.routes, _plan_pairs(st))
     return geo.layer_routes(geo.routes_geo(shown, st.map_coordinates), [("location", "From"), ("store", "To")])

@@ -45,7 +45,6 @@ SCENARIOS = schema(("id", S), ("total_demand", D), ("periods", D))
 OBJECTIVES = schema(("problem", S), ("d_expr", S), ("scenario_id", S), ("iteration", I), ("value", D))
 OPEN_WAREHOUSES = schema(("location", S), ("scenario_id", S), ("iteration", I), ("open", I), ("capacity", D))
 SHIPMENTS = schema(("location", S), ("store", S), ("scenario_id", S), ("iteration", I), ("amount", D))
-UNSERVED_DEMAND = schema(("store", S), ("scenario_id", S), ("amount", D))
 
 # tableau model
 INTEGER_COLUMNS = schema(("variable", S), ("lower", I), ("upper", I), ("value", I))

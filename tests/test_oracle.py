@@ -2,7 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as E
+from netloom.plans.oracle import oracle_sql
+from netloom.plans.registry import QUERIES
 from tests.oracle_compare import canon, duck
 
 SF = "/root/testdata/sf0.001"
@@ -13,10 +14,10 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_oracle(spark, con, name):
-    s = E.queries()[name](spark, SF).toPandas()
-    d = con.sql(E.oracle_sql()[name]).df()
+    s = QUERIES[name](spark, SF).toPandas()
+    d = con.sql(oracle_sql()[name]).df()
     assert sorted(s.columns) == sorted(d.columns)
     assert len(s) == len(d)
     assert canon(s) == canon(d)

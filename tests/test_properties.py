@@ -84,8 +84,7 @@ def test_plan_roundtrip_and_objective(spark, net):
     t = tableau.encode(spark, w, s, r, d, "a")
     everyone = w.select(F.lit("all").alias("set_id"), "location")
     a = siting.assign_cheapest(r, w, d, everyone, "a")
-    op, sp = siting.plan_from_assignment(a)
-    b, f = decode.decisions_from_plan(t.columns_open, t.columns_capacity, t.columns_ship, op, sp)
+    b, f = decode.decisions_from_values(t.columns_open, t.columns_capacity, t.columns_ship, decode.plan_values(a))
     act = evaluate.row_activity(t.rows, t.entries, evaluate.decision_values(b, t.integer_columns, f))
     used = sorted({x["location"] for x in a.collect()})
     total, _, _ = _brute_cost(net, used, "a") if used else (0.0, 0, 0)

@@ -40,6 +40,19 @@ def test_best_set_and_worst_case(spark, small):
     assert len(wc) == 1 and wc[0]["feasible"]
 
 
+def test_infeasible_scenarios_stay_in_the_results(spark, small):
+    far = spark.createDataFrame([("Nowhere, ME", "far", 5.0)], small["demands"].schema)
+    demands = small["demands"].unionByName(far)  # a scenario whose only store has no route
+    costs = {(r["set_id"], r["scenario_id"]): r for r in
+             siting.candidate_set_cost(small["routes"], small["warehouses"], demands, _sets(spark)).collect()}
+    assert set(costs) == {(s, c) for s in ("brockton", "bristol", "both") for c in ("0", "far")}
+    assert not costs["both", "far"]["feasible"] and costs["both", "far"]["served_stores"] == 0
+    best = {r["scenario_id"]: r for r in
+            siting.best_set_per_scenario(small["routes"], small["warehouses"], demands, _sets(spark)).collect()}
+    assert best["far"]["set_id"] is None and best["far"]["feasible_sets"] == 0
+    assert best["0"]["set_id"] == "brockton"
+
+
 def test_map_extent_golden(spark, small):
     sg = geo.stores_geo(small["stores"], small["map_coordinates"])
     r = geo.map_extent(sg).first()

@@ -65,9 +65,13 @@ def _plan(spark, small, sites):
 def test_evaluate_decode_roundtrip(spark, small):
     t = _enc(spark, small)
     a, cand = _plan(spark, small, ["Brockton, MA"])
-    open_plan, ship_plan = siting.plan_from_assignment(a)
-    b, f = decode.decisions_from_plan(t.columns_open, t.columns_capacity, t.columns_ship, open_plan, ship_plan)
+    b, f = decode.decisions_from_values(t.columns_open, t.columns_capacity, t.columns_ship, decode.plan_values(a))
     act = evaluate.row_activity(t.rows, t.entries, evaluate.decision_values(b, t.integer_columns, f))
+    # the product on natural keys is the same
+    plan = siting.plan_from_assignment(a)
+    by_keys = evaluate.plan_activity(small["warehouses"], small["stores"], small["routes"], small["demands"], "0", *plan)
+    rounded = [[(r["cnstraint"], r["sense"], r["rhs"], round(r["activity"], 6)) for r in x.collect()] for x in (act, by_keys)]
+    assert sorted(rounded[0]) == sorted(rounded[1])
     # the cheapest-route plan is feasible and within bounds
     assert evaluate.violations(act).count() == 0
     assert evaluate.bound_violations(b, t.integer_columns, f).count() == 0
@@ -92,10 +96,16 @@ def test_evaluate_decode_roundtrip(spark, small):
     assert allobj["operatingCost"] == pytest.approx(81781.90, abs=1e-6)
 
 
+def _listing(t):
+    return evaluate.constraint_listing(t.rows, t.entries, t.boolean_columns, t.integer_columns, t.float_columns)
+
+
 def test_constraint_text_matches_fold(spark, small):
-    t = _enc(spark, small)
-    listing = evaluate.constraint_listing(t.rows, t.entries, t.boolean_columns, t.integer_columns, t.float_columns)
-    got = {r["cnstraint"]: r["text"] for r in evaluate.constraint_text(listing).collect()}
+    listing = _listing(_enc(spark, small))
+    pieces: dict[str, list] = {}
+    for r in evaluate.constraint_text(listing).collect():
+        pieces.setdefault(r["cnstraint"], []).append((r["position"], r["text"]))
+    got = {k: "".join(x for _, x in sorted(v)) for k, v in pieces.items()}
     rows = sorted(listing.collect(), key=lambda r: (r["cnstraint"], r["variable"]))
     want: dict[str, str] = {}
     rel = {"GE": ">= ", "LE": "<= ", "EQ": "== "}
@@ -111,16 +121,12 @@ def test_constraint_text_matches_fold(spark, small):
     assert got == want
 
 
-def test_constraint_text_chunks(spark, small):
+def test_listed_entries_equal_the_joined_listing_and_are_ordered(spark, small):
     t = _enc(spark, small)
-    listing = evaluate.constraint_listing(t.rows, t.entries, t.boolean_columns, t.integer_columns, t.float_columns)
-    whole = {r["cnstraint"]: r["text"] for r in evaluate.constraint_text(listing).collect()}
-    parts: dict[str, list] = {}
-    for r in evaluate.constraint_text(listing, chunk_terms=3).collect():
-        parts.setdefault(r["cnstraint"], []).append((r["chunk"], r["text"]))
-    joined = {k: "".join(tx for _, tx in sorted(v)) for k, v in parts.items()}
-    assert joined == whole
-    assert max(len(v) for v in parts.values()) > 1
+    listed = evaluate.ordered_listing(tableau.listed_entries(t.entries)).collect()
+    assert sorted(listed) == sorted(_listing(t).collect())
+    keys = [(r["cnstraint"], r["variable"]) for r in listed]
+    assert keys == sorted(keys)
 
 
 def test_constraint_matrix(spark, small):
@@ -129,15 +135,13 @@ def test_constraint_matrix(spark, small):
     m = evaluate.constraint_matrix(t.entries, t.rows, variables)
     assert m.count() == 32
     assert len(m.columns) == 3 + 22
-    with pytest.raises(ValueError):
-        evaluate.constraint_matrix(t.entries, t.rows, variables, max_columns=5)
 
 
-def test_plan_values_equal_plan_tables(spark, small):
+def test_site_decisions_equal_the_whole_tables(spark, small):
     t = _enc(spark, small)
     a, _ = _plan(spark, small, ["Brockton, MA", "Bristol, CT"])
-    open_plan, ship_plan = siting.plan_from_assignment(a)
-    b1, f1 = decode.decisions_from_plan(t.columns_open, t.columns_capacity, t.columns_ship, open_plan, ship_plan)
+    open_plan, _ = siting.plan_from_assignment(a)
+    b1, c1 = decode.site_decisions(t.columns_open, t.columns_capacity, open_plan)
     b2, f2 = decode.decisions_from_values(t.columns_open, t.columns_capacity, t.columns_ship, decode.plan_values(a))
     assert sorted(b1.collect()) == sorted(b2.collect())
-    assert sorted(f1.collect()) == sorted(f2.collect())
+    assert sorted(c1.collect()) == sorted(f2.where("variable like 'capacity%'").collect())
