@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netloom.llm.graph import components
@@ -50,6 +50,12 @@ COMMON = 1 << 20
 #: A shingle is counted as common in a step (some thousand documents) if so many have it.
 LOCAL = 3
 HUBS = 3
+#: Ids of the documents whose texts are read again that are broadcast; more of
+#: them are joined.
+SENT = 1 << 20
+#: Sets that a bucket of pairs holds.
+BUCKET = 2048
+_BYTES = 6
 _SIGN = np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -96,10 +102,10 @@ def common_shingles(counted: DataFrame, most: int = COMMON) -> tuple[np.ndarray,
         if kept + n > most:
             break
         at_least, kept = level, kept + n
-    rows = totals.where(F.col("level") >= at_least).toPandas()
-    tokens = rows["a"].to_numpy(np.int64).view(np.uint64)
+    rows = totals.where(F.col("level") >= at_least).toArrow()
+    tokens = rows["a"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], rows["level"].to_numpy(np.int64)[order]
+    return tokens[order], rows["level"].to_numpy().astype(np.int64)[order]
 
 
 def prefix_entries(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -153,36 +159,75 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(OF / NEAR)) + F.lit(1e-9)).cast("int")
 
 
-def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``pairs`` (x, y, n, m) with the number of shingles that both have. The
-    texts of the classes in question meet their pairs; others stay behind."""
-    needed = pairs.select(F.col("x").alias("s")).union(pairs.select("y")).distinct()
-    needed = materialize(needed.join(classes, "s").select("_doc").distinct(), "jaccard_needed")
+def _packed(hashes: np.ndarray) -> bytes:
+    """Sets travel with 48 bits of each hash, enough to compare two of them."""
+    return np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :_BYTES]).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // _BYTES, 8), np.uint8)
+    out[:, :_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _BYTES)
+    return np.sort(out.view(np.uint64).ravel())
+
+
+def _sets_of(classes_in_question: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(s, set) of the classes, from one text of each; other texts stay where they are."""
+    needed = materialize(classes_in_question.join(classes, "s").select("_doc").distinct(), "jaccard_needed")
+    if needed.count() <= SENT:
+        needed = F.broadcast(needed)
     texts = docs.select(_doc(), "text").join(needed, "_doc", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             ends, hashes = shingle_sets(batch.column("text"), SIZE)
-            raw = memoryview(hashes.tobytes())
-            sets = [bytes(raw[8 * a : 8 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            sets = [_packed(hashes[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(_signatures(ends, hashes)), pa.array(sets, pa.binary())], names=["s", "set"])
 
-    sets = materialize(texts.mapInArrow(run, "s long, set binary"), "jaccard_sets")
+    return materialize(texts.mapInArrow(run, "s long, set binary"), "jaccard_sets")
+
+
+def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` (x, y, n, m, near) with the number of shingles that both have.
+
+    Pairs with the same ``near`` are likely to share sets, so they are dealt
+    into buckets by it, with at most about ``BUCKET`` sets of either side, and
+    a set goes to a bucket once, not once for each pair. A task holds a bucket's
+    sets x and streams the sets y past them.
+    """
+    pairs = materialize(pairs, "jaccard_pairs")
+    sets = _sets_of(pairs.select(F.col("x").alias("s")).union(pairs.select("y")).distinct(), docs, classes)
+    sizes = pairs.groupBy("near").agg(
+        F.ceil(F.approx_count_distinct("x") / BUCKET).alias("_xs"), F.ceil(F.approx_count_distinct("y") / BUCKET).alias("_ys")
+    )
+    bucket = F.xxhash64("near", F.pmod(F.xxhash64("x"), "_xs"), F.pmod(F.xxhash64("y"), "_ys"))
+    dealt = pairs.join(sizes, "near").select(bucket.alias("b"), "x", "y", "n", "m")
+    partners = "array<struct<x:bigint,n:int,m:int>>"
+    xs = dealt.select("b", F.col("x").alias("s")).distinct().withColumn("partners", F.lit(None).cast(partners))
+    ys = dealt.groupBy("b", F.col("y").alias("s")).agg(F.collect_list(F.struct("x", "n", "m")).alias("partners"))
+    rows = xs.unionByName(ys).join(sets, "s").withColumn("side", F.col("partners").isNotNull().cast("int"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, {}
         for batch in batches:
-            found = []
-            for a, b in zip(batch.column("a"), batch.column("b")):
-                few, many = sorted((np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)), key=len)
-                at = np.minimum(np.searchsorted(many, few), len(many) - 1)
-                found.append(int((many[at] == few).sum()))
-            rest = [batch.column(c) for c in ("x", "y", "n", "m")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(found, pa.int32())], names=["x", "y", "n", "m", "overlap"])
-
-    both = pairs.join(sets.select(F.col("s").alias("y"), F.col("set").alias("b")), "y")
-    both = both.join(sets.select(F.col("s").alias("x"), F.col("set").alias("a")), "x")
+            out = []
+            for r in batch.to_pylist():
+                if r["b"] != bucket:
+                    bucket, held = r["b"], {}
+                if r["side"] == 0:
+                    held[r["s"]] = _unpacked(r["set"])
+                    continue
+                own = _unpacked(r["set"])
+                for p in r["partners"]:
+                    few, many = sorted((own, held[p["x"]]), key=len)
+                    at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+                    out.append((p["x"], r["s"], p["n"], p["m"], int((many[at] == few).sum())))
+            columns = list(zip(*out)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["x", "y", "n", "m", "overlap"])
+
+    in_order = rows.select("b", "side", "s", "partners", "set").repartition("b").sortWithinPartitions("b", "side")
     # a set is there twice if two rows share its text and doc_id
-    return both.select("x", "y", "n", "m", "a", "b").mapInArrow(compare, "x long, y long, n int, m int, overlap int").distinct()
+    return in_order.mapInArrow(compare, "x long, y long, n int, m int, overlap int").distinct()
 
 
 def _links(compared: DataFrame) -> DataFrame:
@@ -190,18 +235,19 @@ def _links(compared: DataFrame) -> DataFrame:
 
 
 def hub_pairs(entries: DataFrame) -> DataFrame:
-    """(x, y, n, m): each set y of a list with the list's hubs x. The hubs are
-    the sets with the least hashes, so lists that share sets share hubs."""
+    """(x, y, n, m, near): each set y of a list with the list's hubs x. The hubs
+    are the sets with the least hashes, so lists that share sets share hubs."""
     picks = [F.min(F.struct(F.xxhash64("s", F.lit(k)), "s", "n", "pos")).alias(f"h{k}") for k in range(HUBS)]
     hubs = entries.groupBy("token").agg(*picks).select("token", F.array_distinct(F.array(*[f"h{k}" for k in range(HUBS)])).alias("hubs"))
     rows = entries.join(hubs, "token").select("s", "n", "pos", F.explode("hubs").alias("hub"))
     x, y, n, m = F.col("hub.s"), F.col("s"), F.col("hub.n"), F.col("n")
     reach = F.least(n - F.col("hub.pos"), m - F.col("pos")) >= _need(n, m)
-    return rows.where((x != y) & reach).select(x.alias("x"), y.alias("y"), n.alias("n"), m.alias("m")).distinct()
+    return rows.where((x != y) & reach).select(x.alias("x"), y.alias("y"), n.alias("n"), m.alias("m")).distinct().withColumn("near", F.col("x"))
 
 
 def cross_pairs(entries: DataFrame, comps: DataFrame) -> DataFrame:
-    """(x, y, n, m): the candidate pairs whose sets are in different components.
+    """(x, y, n, m, near): the candidate pairs whose sets are in different
+    components; ``near`` is that of y.
 
     In each list the sets of the first hub's component need no pairs among
     themselves; the others are joined with the list, block by block.
@@ -225,7 +271,7 @@ def cross_pairs(entries: DataFrame, comps: DataFrame) -> DataFrame:
     met = few.join(
         lists, (F.col("token") == F.col("t")) & (F.col("band") == F.col("_band")) & (F.col("_c") != F.col("c")) & reach & once
     )
-    return met.select("x", "y", "n", "m").distinct()
+    return met.select("x", "y", "n", "m", F.col("c").alias("near")).distinct()
 
 
 def derive(pairs: DataFrame, compared: DataFrame) -> DataFrame:
@@ -247,7 +293,7 @@ def derive(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     rows = rows.withColumn("_bounds", F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), both))
     low = F.coalesce(F.array_max(F.transform("_bounds", lambda t: t["low"])), F.lit(0))
     high = F.coalesce(F.array_min(F.transform("_bounds", lambda t: t["high"])), F.least("n", "m"))
-    return rows.select("x", "y", "n", "m", low.alias("low"), high.alias("high"))
+    return rows.select("x", "y", "n", "m", "near", low.alias("low"), high.alias("high"))
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -257,17 +303,19 @@ def join(docs: DataFrame) -> DataFrame:
     common = common_shingles(surveyed.where("kind = 1").select("a", "b"))
     # a document for each class, to read its text again
     classes = rows.where("n > 0").groupBy("s").agg(F.min(_doc()).alias("_doc"))
-    entries = prefix_entries(docs, common).repartition("token")
-    # naming every column keeps this exchange the same as the join's, which then uses it again
-    lists = entries.groupBy("token").agg(F.min("s").alias("_low"), F.max("s").alias("_high"), F.min(F.least("n", "pos")).alias("_least"))
-    lists = lists.where("_low < _high and _least >= 0").select("token")
-    entries = materialize(entries.join(lists.hint("shuffle_hash"), "token", "left_semi").distinct(), "jaccard_entries")
-    compared = materialize(overlaps(materialize(hub_pairs(entries), "jaccard_hubs"), docs, classes), "jaccard_compared")
+    # lists of one class have nothing to pair; the others are few
+    of_token = Window.partitionBy("token")
+    entries = prefix_entries(docs, common).select(
+        "*", F.min("s").over(of_token).alias("_low"), F.max("s").over(of_token).alias("_high")
+    )
+    entries = entries.where("_low < _high").select("token", "s", "n", "pos").distinct()
+    entries = materialize(entries, "jaccard_entries")
+    compared = materialize(overlaps(hub_pairs(entries), docs, classes), "jaccard_compared")
     comps = components(_links(compared))
-    pairs = materialize(derive(cross_pairs(entries, comps), compared), "jaccard_pairs")
+    pairs = materialize(derive(cross_pairs(entries, comps), compared), "jaccard_cross")
     need = _need(F.col("n"), F.col("m"))
     derived = pairs.where(F.col("low") >= need).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    left = pairs.where((F.col("low") < need) & (F.col("high") >= need)).select("x", "y", "n", "m")
+    left = pairs.where((F.col("low") < need) & (F.col("high") >= need)).select("x", "y", "n", "m", "near")
     late = _links(overlaps(left, docs, classes))
     comps = components(comps.select(F.col("v").alias("a"), F.col("c").alias("b")).union(derived).union(late))
     rows = rows.join(comps.select(F.col("v").alias("s"), "c"), "s", "left").withColumn("c", F.coalesce("c", "s"))

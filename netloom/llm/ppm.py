@@ -175,18 +175,20 @@ def _commonest(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(reduce(lambda a, b: a | b, keep))
 
 
-def _lookup(values: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    part = values[values["kind"] == kind]
-    keys, found = part["key"].to_numpy(np.int64), part["value"].to_numpy(float)
+def _lookup(values: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, values) in order of key; at most ``most`` rows of two numbers come
+    to the driver, as Arrow columns."""
+    table = values.select("key", "value").toArrow()
+    keys, found = table["key"].to_numpy().astype(np.int64), table["value"].to_numpy().astype(float)
     order = np.argsort(keys)
     return keys[order], found[order]
 
 
-def _sums(docs: DataFrame, common: pd.DataFrame) -> DataFrame:
+def _sums(docs: DataFrame, common: dict[int, DataFrame]) -> DataFrame:
     """One row of kind -1 for each document, with what the common values give:
     its words, those of them that are known, sums of log10(count + 1) and of
     the model; and rows (row, kind, key, n) for the document's other values."""
-    tables = {kind: _lookup(common, kind) for kind in (WORD, GRAM)}
+    tables = {kind: _lookup(values) for kind, values in common.items()}
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,10 +248,9 @@ def score(docs: DataFrame, train: Column, most: int = COMMON) -> DataFrame:
     total, distinct = counts.where(F.col("kind") == WORD).agg(F.sum("n"), F.count("*")).first()
     n_all, n_distinct = (total or 0) + learned, distinct + (1 if learned else 0)
     common = _commonest(counts, most)
-    gram_values = trie.log10(common.where(F.col("kind") == GRAM)).select(F.lit(GRAM).alias("kind"), "key", "value")
-    word_values = common.where(F.col("kind") == WORD).select(F.lit(WORD).alias("kind"), "key", F.col("n").cast("double").alias("value"))
-    values = word_values.union(gram_values).toPandas()  # at most 2 * ``most`` rows
-    sums = materialize(_sums(docs, values), "ppm_sums", partition_by=["kind"])
+    grams_ = trie.log10(common.where(F.col("kind") == GRAM))
+    words_ = common.where(F.col("kind") == WORD).select("key", F.col("n").cast("double").alias("value"))
+    sums = materialize(_sums(docs, {WORD: words_, GRAM: grams_}), "ppm_sums", partition_by=["kind"])
 
     def rest(kind: int) -> DataFrame:
         return sums.where(F.col("kind") == kind).select("row", "key", "n")

@@ -58,7 +58,8 @@ def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(_read(spark, sf_dir, "documents"))
+    rows = jaccard.join(_read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id")
 
 
 @_query
@@ -112,3 +113,55 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(F.sort_array(F.transform(base, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])))), 256).alias("base_sha256"),
         joined(F.sort_array(F.transform(F.col("spans"), lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])))).alias("spans"),
     )
+
+
+# ---- SQL ------------------------------------------------------------------------
+
+ORACLES["op1_top_inner_products"] = """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+               FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+ORACLES["op5_jaccard_join"] = r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+         s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+            range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+         e AS (SELECT doc_id, unnest(s) AS g FROM s),
+         n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+         p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+         l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 75 * (a.n + b.n - o)),
+         b AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+         r AS (SELECT doc_id AS d, doc_id AS c FROM n UNION SELECT r.d, b.y FROM r JOIN b ON r.c = b.x)
+    SELECT n.doc_id, n.n AS n_shingles, c.component_id
+    FROM n JOIN (SELECT d, min(c) AS component_id FROM r GROUP BY d) c ON n.doc_id = c.d"""
+
+
+def _secret_sql() -> str:
+    def spans(rank: int, rule: secrets.Rule) -> str:
+        pattern = rule.pattern.replace("'", "''")
+        return f"""
+            SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, unnest(list_transform(range(1, len(f) + 1), lambda i: {{
+                'at': list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0),
+                'n': length(f[i]), 'w': length(g[i])}})) AS m
+            FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS f, regexp_extract_all(t, '{pattern}', {rule.group}) AS g,
+                         string_split_regex(t, '{pattern}') AS gaps FROM d WHERE regexp_matches(t, '{pattern}')) x"""
+
+    # rules of one text: a filter on the weighed group comes after matching
+    parts = [f"SELECT * FROM ({spans(i, r)}) y WHERE m.w >= {r.least}" for i, r in enumerate(secrets.RULES)]
+    joined = "string_agg(kind || ':' || CAST(m.at AS BIGINT) || ':' || CAST(m.at + m.n AS BIGINT), ',' ORDER BY m.at, rank, m.n)"
+    base = len(secrets.BASE)
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)
+    given = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE)
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+         m AS ({" UNION ALL ".join(parts)}),
+         a AS (SELECT doc_id, {counts}, {joined} FILTER (WHERE rank < {base}) AS base, {joined} AS spans FROM m GROUP BY doc_id)
+    SELECT d.doc_id, {given}, sha256(coalesce(a.base, '')) AS base_sha256, coalesce(a.spans, '') AS spans
+    FROM d LEFT JOIN a ON d.doc_id = a.doc_id"""
+
+
+ORACLES["op10_secret_ledger"] = _secret_sql()

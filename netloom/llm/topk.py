@@ -76,7 +76,7 @@ def rotation(rows: DataFrame, dim: int) -> tuple[np.ndarray, int]:
         i, j = np.divmod(np.arange(dim * dim), dim)
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(gram.ravel())], names=["i", "j", "g"])
 
-    entries = rows.select("v").mapInArrow(run, "i long, j long, g double").groupBy("i", "j").agg(F.sum("g").alias("g")).toPandas()
+    entries = rows.select("v").mapInArrow(run, "i long, j long, g double").groupBy("i", "j").agg(F.sum("g").alias("g")).toPandas()  # dim * dim rows
     gram = np.zeros((dim, dim))
     gram[entries["i"], entries["j"]] = entries["g"]
     values, basis = np.linalg.eigh(gram)

@@ -226,11 +226,11 @@ def learn_insults(rows: DataFrame, least: int = LEXICON) -> tuple[np.ndarray, np
         .where((F.col("g") > STRICT * float(np.log(tests + 1))) & (F.col("rate") > max(0.5, share)))
         .orderBy(F.desc("g"), "h")
         .limit(least)
-        .toPandas()
+        .toArrow()
     )
-    hashes = picked["h"].to_numpy(np.int64).view(np.uint64)
+    hashes = picked["h"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return hashes[order], picked["odds"].to_numpy(float)[order]
+    return hashes[order], picked["odds"].to_numpy().astype(float)[order]
 
 
 def _squash(sums: np.ndarray) -> np.ndarray:
@@ -277,8 +277,9 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, size: int = SAM
             )
 
     schema = "label int, " + ", ".join(f"{m} double" for m in MARKS)
-    taught = rows.select("text", "label").mapInArrow(run, schema).toPandas()
-    return Model(insults, fixed, fit(taught[list(MARKS)].to_numpy(float), taught["label"].to_numpy(float)))
+    taught = rows.select("text", "label").mapInArrow(run, schema).toArrow()
+    sums = np.stack([taught[m].to_numpy().astype(float) for m in MARKS], axis=1)
+    return Model(insults, fixed, fit(sums, taught["label"].to_numpy().astype(float)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

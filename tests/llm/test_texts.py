@@ -163,7 +163,7 @@ def test_derived_bounds_hold(spark):
     compared = spark.createDataFrame(
         [(0, i, len(sets[0]), len(sets[i]), len(sets[0] & sets[i])) for i in range(1, 12)], "x long, y long, n int, m int, overlap int")
     pairs = spark.createDataFrame(
-        [(i, j, len(sets[i]), len(sets[j])) for i in range(1, 12) for j in range(1, i)], "x long, y long, n int, m int")
+        [(i, j, len(sets[i]), len(sets[j]), 0) for i in range(1, 12) for j in range(1, i)], "x long, y long, n int, m int, near long")
     for p in jaccard.derive(pairs, compared).collect():
         assert p["low"] <= len(sets[p["x"]] & sets[p["y"]]) <= p["high"]
 
