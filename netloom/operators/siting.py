@@ -84,7 +84,7 @@ def candidate_set_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFr
                        scenario_id: str | None = None) -> DataFrame:
     """Cost of each candidate set in each scenario (or in one).
 
-    Every set has a row for every scenario with demand.
+    Every set has a row for every scenario with demand, or for the one given.
     ``served_stores < demanded_stores`` means the set leaves stores
     unserved; such a set is not ``feasible`` and its cost is not comparable.
     """
@@ -94,7 +94,10 @@ def candidate_set_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFr
         "set_id"
     ).agg(F.count(F.lit(1)).alias("n_sites"), F.sum("fixed_cost").alias("fixed_cost"))
     # one short array of the scenarios, repeated for each set: the grid is the result's own size
-    demanded = d.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("demanded_stores"))
+    if scenario_id is None:
+        demanded = d.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("demanded_stores"))
+    else:  # a row even without demand
+        demanded = d.agg(F.count(F.lit(1)).alias("demanded_stores")).withColumn("scenario_id", F.lit(scenario_id))
     every = demanded.agg(F.collect_list(F.struct("scenario_id", "demanded_stores"))).scalar()
     grid = fixed.withColumn("s", F.explode(every)).select("*", "s.scenario_id", "s.demanded_stores").drop("s")
     return _report(grid.join(_variable_costs(a, ["set_id", "scenario_id"]), ["set_id", "scenario_id"], "left"))
