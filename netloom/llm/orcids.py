@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from netloom.functions.prefix import running_total
 from netloom.llm.units import gather, split_units, steps
+from netloom.session import materialize
 
-#: Units whose ids a Python worker keeps, about 100 MB; beyond it others are
+#: Units whose ids a Python worker keeps, about 75 MB; beyond it others are
 #: encoded anew in each step.
 KEPT_UNITS = 300_000
 #: Bytes of text in a step; the larger, the fewer units are encoded twice.
@@ -144,7 +145,7 @@ def write(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 0, stri
     in_order = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     (
         encode(in_order, tokenizer_json, end_id)
-        .write.option("orc.compress", "zstd")
+        .write.option("orc.compress", "lz4")
         .option("orc.row.index.stride", stride)
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", fpp)
@@ -178,5 +179,6 @@ def checksums(stored: DataFrame) -> DataFrame:
 def with_starts(rows: DataFrame) -> DataFrame:
     """Rows of (doc_id, n_tokens, ids_crc32) with ``start``: the ids of all
     documents before, in doc_id order."""
+    rows = materialize(rows, "orc_checksums")  # sampled for ranges, then dealt: the ids are read once
     summed = running_total(rows, [], ["doc_id", "n_tokens", "ids_crc32"], "n_tokens", "_run")
     return summed.withColumn("start", F.col("_run") - F.col("n_tokens")).drop("_run")
