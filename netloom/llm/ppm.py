@@ -44,7 +44,9 @@ _BITS = 9
 #: Words, and contexts with their symbol, whose values are broadcast, 16 bytes each.
 COMMON = 1 << 20
 #: Distinct values that a task counts before it hands them on, about 16 bytes each.
-HELD = 4 << 20
+HELD = 1 << 20
+#: Bytes of text in a step; each takes about 60 bytes of memory for a while.
+STEP = 2 << 20
 WORD, GRAM = 0, 1
 
 
@@ -94,7 +96,7 @@ def gather_counts(docs: DataFrame) -> DataFrame:
                 [pa.array(np.full(len(n), kind, np.int32)), pa.array(distinct), pa.array(n)], names=["kind", "key", "n"]
             )
 
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             texts = batch.column("text")
             for kind, keys in ((WORD, scan(texts).hashes.view(np.int64)), (GRAM, grams(texts)[1])):
                 held[kind].append(_counted(keys))
@@ -194,7 +196,7 @@ def _sums(docs: DataFrame, common: dict[int, DataFrame]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
         known = shared.value
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             texts, n = batch.column("text"), batch.num_rows
             words = scan(texts)
             gram_ends, gram_keys = grams(texts)
