@@ -49,7 +49,7 @@ NEAR, OF = 75, 100
 COMMON = 1 << 20
 #: A shingle is counted as common in a step (some thousand documents) if so many have it.
 LOCAL = 3
-HUBS = 3
+HUBS = 2
 #: Ids of the documents whose texts are read again that are broadcast; more of
 #: them are joined.
 SENT = 1 << 20
@@ -183,7 +183,7 @@ def _sets_of(classes_in_question: DataFrame, docs: DataFrame, classes: DataFrame
             sets = [_packed(hashes[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(_signatures(ends, hashes)), pa.array(sets, pa.binary())], names=["s", "set"])
 
-    return materialize(texts.mapInArrow(run, "s long, set binary"), "jaccard_sets")
+    return texts.mapInArrow(run, "s long, set binary")
 
 
 def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -236,13 +236,16 @@ def _links(compared: DataFrame) -> DataFrame:
 
 def hub_pairs(entries: DataFrame) -> DataFrame:
     """(x, y, n, m, near): each set y of a list with the list's hubs x. The hubs
-    are the sets with the least hashes, so lists that share sets share hubs."""
+    are the sets with the least hashes, so lists that share sets share hubs;
+    ``near`` is the first of y's hubs."""
     picks = [F.min(F.struct(F.xxhash64("s", F.lit(k)), "s", "n", "pos")).alias(f"h{k}") for k in range(HUBS)]
     hubs = entries.groupBy("token").agg(*picks).select("token", F.array_distinct(F.array(*[f"h{k}" for k in range(HUBS)])).alias("hubs"))
     rows = entries.join(hubs, "token").select("s", "n", "pos", F.explode("hubs").alias("hub"))
     x, y, n, m = F.col("hub.s"), F.col("s"), F.col("hub.n"), F.col("n")
     reach = F.least(n - F.col("hub.pos"), m - F.col("pos")) >= _need(n, m)
-    return rows.where((x != y) & reach).select(x.alias("x"), y.alias("y"), n.alias("n"), m.alias("m")).distinct().withColumn("near", F.col("x"))
+    return rows.where((x != y) & reach).select(x.alias("x"), y.alias("y"), n.alias("n"), m.alias("m")).distinct().withColumn(
+        "near", F.min_by("x", F.xxhash64("x", F.lit(0))).over(Window.partitionBy("y"))
+    )
 
 
 def cross_pairs(entries: DataFrame, comps: DataFrame) -> DataFrame:
@@ -332,6 +335,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, that whose doc_id is the
     component's id. Documents without shingles stay, and so do those of
     components without a doc_id; rows equal in doc_id and text become one."""
-    kept = join(docs).where("component_id is null or doc_id = component_id").select(_doc()).distinct()
-    rows = docs.select("*", _doc(), F.xxhash64("text").alias("_text"))
-    return rows.join(kept, "_doc", "left_semi").dropDuplicates(["_doc", "_text"]).select(*docs.columns)
+    kept = join(docs).where("component_id is null or doc_id = component_id").groupBy(_doc()).agg(F.count("*").alias("n"))
+    kept = materialize(kept, "jaccard_kept")
+    ids = kept.select("_doc")
+    if kept.count() <= SENT:
+        ids = F.broadcast(ids)
+    rows = docs.select("*", _doc()).join(ids, "_doc", "left_semi")
+    if not kept.where("n > 1").isEmpty():  # only then can rows be equal
+        rows = rows.withColumn("_text", F.xxhash64("text")).dropDuplicates(["_doc", "_text"])
+    return rows.select(*docs.columns)
