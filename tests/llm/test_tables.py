@@ -129,6 +129,32 @@ def test_deep_paths_and_empty_pages(spark):
     assert urltree.judge(pages.limit(0)).count() == 0
 
 
+def test_template_tree_decides_pages_without_a_rule(spark):
+    urls = [f"http://h{h}.example.org/en/{n}" for h in range(3) for n in range(20, 40)]  # allowed
+    urls += [f"http://bad.example.com/fr/{n}" for n in range(40)]  # blocked
+    open_urls = ["http://bad.example.com/en/7", "http://other.example.net/en/7"]  # one shape, hosts differ
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate([*open_urls, *urls])], "page_id long, url string")
+    rows = {r["page_id"]: r for r in urltree.judge(pages).where("page_id < 2").collect()}
+    assert rows[0]["rule"] is rows[1]["rule"] is None
+    assert (rows[0]["verdict"], rows[1]["verdict"]) == ("block", "allow")
+
+    # on a host without labels: wildcards and merged branches pool what their shapes are elsewhere
+    shapes = [("h.org", f"/q/s{i}", 10, 10 * (i > 0), 10 * (i == 0)) for i in range(40)] + [("h.org", "/es/{n}", 90, 0, 90)]
+    shapes += [("new.net", f"/q/s{i}", 1, 0, 0) for i in range(300)]
+    shapes += [("new.net", f"/{c}/{p}", n, 0, 0) for c, p, n in
+               (("es", "{n}", 60), ("es", "x", 30), ("it", "{n}", 62), ("it", "x", 31), ("pt", "{n}", 3), ("pt", "x", 80))]
+    frame = spark.createDataFrame(shapes, "host string, shape string, n long, good long, bad long")
+
+    def of_new(**how):
+        found = urltree.purities(urltree.template_tree(frame, **how)).where("host = 'new.net'").collect()
+        return {r["shape"]: (r["template"], r["purity"] >= 0.5) for r in found}
+
+    usual = of_new()
+    assert usual["/q/s0"] == ("/q/*", True) and of_new(fanout=1000)["/q/s0"] == ("/q/s0", False)
+    assert usual["/it/{n}"] == ("/es|it/{n}", False) and usual["/pt/{n}"][0] == "/pt/{n}"
+    assert of_new(least_labels=1000)["/it/{n}"] == ("/it/{n}", True)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     r = random.Random(seed)
