@@ -194,12 +194,14 @@ def learning_rows(docs: DataFrame, labels: DataFrame, may_learn: Column, size: i
 
 def learn_insults(rows: DataFrame, least: int = LEXICON) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, weights): words and word beginnings that toxic documents have
-    significantly more often than others, as log odds. A text that comes again
-    within a step counts once. At most ``least`` leave the executors."""
+    significantly more often than others, as log odds. Rows of one text count
+    once, as toxic if one of them is, wherever they lie. At most ``least``
+    leave the executors."""
+    texts = rows.groupBy(F.sha2("text", 256).alias("_text")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
-            frame = pa.Table.from_batches([batch]).to_pandas().drop_duplicates("text")
+            frame = pa.Table.from_batches([batch]).to_pandas()
             words = scan(pa.array(frame["text"], pa.string()), BLANK, STEMS)
             owner = np.repeat(np.arange(len(frame)), np.diff(words.ends))
             toxic = frame["label"].to_numpy(np.int64)
@@ -208,7 +210,7 @@ def learn_insults(rows: DataFrame, least: int = LEXICON) -> tuple[np.ndarray, np
             counts = pd.DataFrame({"h": found["h"], "toxic": toxic[found["d"]], "n": 1}).groupby("h", as_index=False).sum()
             yield pa.RecordBatch.from_pandas(counts[["h", "toxic", "n"]], preserve_index=False)
 
-    counts = rows.mapInArrow(run, "h long, toxic long, n long").groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    counts = texts.select("text", "label").mapInArrow(run, "h long, toxic long, n long").groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     counts = materialize(counts, "toxicity_counts")
     total = counts.where("h = 0").first()  # the row that counts the documents themselves
     if total is None or total["toxic"] in (0, total["n"]):
@@ -278,6 +280,8 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, size: int = SAM
 
     schema = "label int, " + ", ".join(f"{m} double" for m in MARKS)
     taught = rows.select("text", "label").mapInArrow(run, schema).toArrow()
+    # in an order of their own, so that sums do not depend on that of the rows
+    taught = taught.sort_by([(c, "ascending") for c in taught.column_names])
     sums = np.stack([taught[m].to_numpy().astype(float) for m in MARKS], axis=1)
     return Model(insults, fixed, fit(sums, taught["label"].to_numpy().astype(float)))
 

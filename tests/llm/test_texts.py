@@ -347,6 +347,25 @@ def test_toxicity_learns_and_holds_out(spark):
     assert all(0 <= x["toxicity"] < 0.5 for x in empty)
 
 
+def test_toxicity_counts_a_text_once_however_rows_are_dealt(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(11)
+    rows = [(i, " ".join([f"w{r.randrange(400)}" for _ in range(30)] + ["scum"] * (i % 8 == 0)), int(i % 8 == 0)) for i in range(400)]
+    rows += [(1000 + i, "you scum zyxomma quagswag", 1) for i in range(12)]  # its other words stand nowhere else
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    known = spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int")
+    dealt = [docs.repartition(n, "doc_id").join(known, "doc_id").select("doc_id", "text", F.col("toxic").alias("label")) for n in (1, 7)]
+    dealt = [d.repartition(n, "doc_id") for d, n in zip(dealt, (1, 7))]
+    found = [toxicity.learn_insults(d) for d in dealt]
+    assert found[0][0].tolist() == found[1][0].tolist() and found[0][1].tolist() == found[1][1].tolist()
+    incidental = words.scan(pa.array(["zyxomma quagswag"]), toxicity.BLANK).hashes
+    assert not set(incidental.tolist()) & set(found[1][0].tolist())
+    models = [toxicity.learn(docs.repartition(n, "doc_id"), known, F.lit(True)) for n in (1, 7)]
+    scores = [{x["doc_id"]: x["toxicity"] for x in toxicity.score(docs, m).collect()} for m in models]
+    assert scores[0] == scores[1]
+
+
 def test_toxicity_without_labels(spark):
     from pyspark.sql import functions as F
 
