@@ -44,9 +44,21 @@ ASSIGN = Rule(
 ACCESS = Rule("access", r"AKIA[A-Z0-9]+", 0, 20)
 HEX = Rule("hex", r"[0-9a-f]+", 0, 24)
 BASE = (ASSIGN, ACCESS, HEX)
-#: Rules beyond the base: private key headers, signed tokens, vendor tokens.
+#: A private key is its header and all up to its END line, if no other line of
+#: dashes comes before that. Without END it is the header, the key's own header
+#: lines and the base64 lines that follow; the last of these may be short. No
+#: group repeats without a bound, as each turn takes stack.
+PRIVATE_KEY = Rule(
+    "private_key",
+    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
+    r"(?:[^-]*(?:-{1,4}[^-]+){0,200}-{5,}END (?:[A-Z]+ )*PRIVATE KEY-----"
+    r"|(?:\s*(?:Proc-Type|DEK-Info):[^\r\n]*){0,2}[A-Za-z0-9+/=\s\\]*[A-Za-z0-9+/=]{16,}"
+    r"(?:\s+[A-Za-z0-9+/]{1,15}={1,2}|[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/]+(?m:$))?)?",
+    version=2,
+)
+#: Rules beyond the base: private keys, signed tokens, vendor tokens.
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    PRIVATE_KEY,
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
     Rule("vendor_token", r"(?:gh[pousr]_|xox[abprs]-|sk_live_)[A-Za-z0-9_-]+", 0, 24),
 )

@@ -266,6 +266,29 @@ def test_redact(spark):
     assert rows[2]["text"] is None and rows[3]["text"] == "é [secret]"
 
 
+def test_redact_leaves_nothing_of_a_private_key(spark):
+    r = random.Random(5)
+    body = ["".join(r.choice("ABCXYZabcxyz0189+/") for _ in range(64)) for _ in range(130)] + ["Zm9vYmE5+/=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    inner = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-256-CBC,00FF", ""]
+    texts = ["é before\n" + sep.join([begin, *lines, end]) + "\nThe rest stays - all of it."
+             for sep in ("\n", "\r\n", "\\n", " ", "\n  ", "\n> ", "\n-") for lines in (body, inner + body)]
+    texts += ["é before\n" + "\n".join([begin, *lines]) + "\n\nThe rest stays - all of it." for lines in (body, inner + body, body[:-1] + ["Zm9vYmFy"])]
+    # a key cut short before another one
+    texts.append("é before\n" + "\n".join([begin, *body, begin, *body, end]) + "\nThe rest stays - all of it.")
+    texts.append(f"Keys begin with {begin} and some lines follow.")
+    texts.append("\n".join([begin, *["QUJD" * 16] * 40_000]))  # far more lines than any key has
+    texts.append("\n".join([begin, *["a-b c"] * 40_000]))
+    rows = {x["doc_id"]: x["text"] for x in secrets.redact(_docs(spark, texts)).collect()}
+    for i, t in enumerate(texts[:-3]):
+        left = rows[i].replace("[secret]", "").split()
+        assert left == "é before The rest stays - all of it.".split(), (i, rows[i][:300])
+    n = len(texts)
+    assert rows[n - 3] == "Keys begin with [secret] and some lines follow." and rows[n - 2] == "[secret]"
+    assert rows[n - 1] == "[secret]" + texts[-1][len(begin):]
+    assert secrets.PRIVATE_KEY.version == 2
+
+
 def test_order_minhash(spark):
     from pyspark.sql import functions as F
 
