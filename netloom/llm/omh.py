@@ -1,7 +1,7 @@
 """Order MinHash fingerprints of documents, from built-in functions only.
 
-A text's k-mers are its runs of ``K`` words, each numbered by how often the
-same k-mer came before it. All are hashed onto a circle; slot j of the
+A text's k-mers are its runs of ``K`` code points, white space as it is, each
+numbered by how often the same k-mer came before it. All are hashed onto a circle; slot j of the
 fingerprint starts at the j-th of ``SLOTS`` even points and takes the ``PICK``
 numbered k-mers that come first from there on, which are the minimal ones
 under that slot's order of the hashes. They are put back into text order and
@@ -9,9 +9,9 @@ the tuple is hashed. Two texts agree in a slot if they share its minimal
 k-mers and these stand in the same order, so the share of equal slots follows
 edit distance rather than mere overlap.
 
-Edge cases: a null text is empty; a text with fewer than ``K`` words is one
-k-mer; texts without words have the same fingerprint of zeros; equal texts
-have equal fingerprints. Other columns are not read.
+Edge cases: a null text is empty; a text with fewer than ``K`` code points is
+one k-mer; an empty text has a fingerprint of zeros; equal texts have equal
+fingerprints. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from netloom.functions.prefix import running_total
 from netloom.session import materialize
 
-K = 2
+K = 7
 PICK = 2
 SLOTS = 64
 _BIN_BITS = 6  # SLOTS = 2 ** _BIN_BITS
-_SPACE = r"[\x20\x09-\x0D]+"
+#: Matches nothing, at each code point (not inside a surrogate pair) that K - 1 others follow.
+_KMER = rf"(?s)(?=([^\x{{DC00}}-\x{{DFFF}}].{{{K - 1}}}))"
 _LOW_32 = 0xFFFFFFFF
 _POSITION = (1 << 31) - 1  # below the 32 bits of a hash
 
@@ -57,18 +58,14 @@ def _range(n: Column) -> Column:
 
 
 def _kmers(text: Column) -> Column:
-    """Packed (k-mer, word position), sorted."""
-
-    def of_words(words: Column) -> Column:
-        count = F.when(F.size(words) > 0, F.greatest(F.size(words) - (K - 1), F.lit(1))).otherwise(F.lit(0))
-        one = lambda i: _packed(F.xxhash64(*[F.get(words, i + j) for j in range(K)]), i)
-        return F.sort_array(F.transform(_range(count), one))
-
-    return _let(F.filter(F.split(text, _SPACE), lambda w: w != ""), of_words)
+    """Packed (k-mer, place), sorted."""
+    short = F.when(text != "", F.array(text)).otherwise(F.array().cast("array<string>"))
+    runs = _let(F.regexp_extract_all(text, F.lit(_KMER), F.lit(1)), lambda found: F.when(F.size(found) > 0, found).otherwise(short))
+    return F.sort_array(F.transform(runs, lambda run, i: _packed(F.xxhash64(run), i)))
 
 
 def _numbered(kmers: Column) -> Column:
-    """Packed (numbered k-mer, word position), sorted. Equal k-mers stand
+    """Packed (numbered k-mer, place), sorted. Equal k-mers stand
     together in ``kmers``, in text order, so a k-mer's number is its distance
     from the first of them."""
 

@@ -312,6 +312,26 @@ def test_order_minhash(spark):
     assert list(one) == list(rows[4]["fingerprint"])
 
 
+def test_order_minhash_follows_code_points(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(6)
+    cjk = "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(300))
+    line = "".join(r.choice("ABCDEFabcdef0123456789+/") for _ in range(400))
+    faces = "".join(chr(0x1F600 + r.randrange(60)) for _ in range(200))  # two UTF-16 units each
+    prose = " ".join("".join(r.choice("abcdefghij") for _ in range(14)) for _ in range(60))
+    typos = " ".join(w[:13] + "X" for w in prose.split())
+    pairs = [(t, t[: len(t) // 2] + "#" + t[len(t) // 2 + 1 :]) for t in (cjk, line, faces)]
+    pairs += [(prose, typos), ("internationalization of everything", "internationalization of eve#!?$%&'")]
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    near = [x["n"] for x in rows.select(omh.likeness(omh.fingerprint(F.col("a")), omh.fingerprint(F.col("b"))).alias("n")).collect()]
+    assert min(near[:3]) > 0.85 and near[3] > 0.3 and near[4] > 0.4
+
+    counted = spark.createDataFrame([(t,) for t in ("", "abc", "\U0001F600" * 9, "日本語 テキスト 日本語", "a\nb\n" * 5)], "t string")
+    for x in counted.select("t", F.size(omh._kmers(F.col("t"))).alias("n")).collect():
+        assert x["n"] == (max(len(x["t"]) - omh.K + 1, 1) if x["t"] else 0)
+
+
 def test_order_minhash_orders_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(2, "two two two two"), (2, "two two two two"), (None, "first text of all"), (9, "last")], "doc_id long, text string")
     rows = omh.compare(docs).select("doc_id", "n_chars").collect()
