@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm import bpe, jaccard, mixing, omh, orcids, ppm, secrets, topk, toxicity, urltree
+from netloom.llm import align, bpe, decontam, jaccard, mixing, omh, orcids, ppm, secrets, topk, toxicity, turns, urltree
 from netloom.session import scratch_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +115,24 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontam.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damage(_read(spark, sf_dir, "conversations")))
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align.compare(_read(spark, sf_dir, "documents"), *paths)
+
+
 # ---- SQL ------------------------------------------------------------------------
 
 ORACLES["op1_top_inner_products"] = """
@@ -165,3 +183,67 @@ def _secret_sql() -> str:
 
 
 ORACLES["op10_secret_ledger"] = _secret_sql()
+
+ORACLES["op11_benchmark_windows"] = r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+         i AS (SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+         f AS (SELECT item_id, w, least(len(w), 10) AS k FROM i WHERE len(w) > 0),
+         x AS (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM f),
+         g AS (SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS g FROM x),
+         p AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM f) WHERE len(w) >= k),
+         h AS (SELECT p.r, p.s, p.k, g.item_id FROM p JOIN g ON p.k = g.k AND array_to_string(p.w[p.s:p.s + p.k - 1], ' ') = g.g),
+         n AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS place FROM h) GROUP BY r),
+         e AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+               FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL) GROUP BY r)
+    SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n.n_hit, 0) AS n_hit, coalesce(e.n_items, 0) AS n_items,
+           sha256(coalesce(e.items, '')) AS items_sha256, coalesce(n.n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN e ON d.r = e.r"""
+
+# all edits row by row: in each state of the roles' grammar, the least (cost, audit, text) so far
+ORACLES["op12_conversation_repair"] = r"""
+    WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k,
+                coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM conversations),
+         bits AS (SELECT DISTINCT k, list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                lambda h, b: list_reduce(list_concat([xor(h, b)], range(8)),
+                    lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END)) AS h FROM c),
+         way AS (SELECT c.*, xor(h, 4294967295) % 20 AS way FROM c JOIN bits ON c.k = bits.k),
+         rows_ AS (SELECT conv_id, turn, CASE WHEN way = 4 THEN 'user' ELSE role END AS role,
+                CASE WHEN way = 1 THEN '' WHEN way = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                unnest(CASE WHEN way = 3 THEN [1, 2] WHEN way = 0 THEN [] ELSE [1] END) AS copy FROM way),
+         o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM rows_),
+         s AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+                lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o),
+         f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault FROM s),
+         m AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+                count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                count(*) FILTER (WHERE pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+         step AS (SELECT * FROM (VALUES ('0', 's', 's'), ('0', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')) t(x, role, y)),
+         ins AS (SELECT x, x AS y, 0 AS k, '' AS lines FROM (VALUES ('0'), ('s'), ('u'), ('a')) t(x)
+                 UNION ALL SELECT x, y, 1, CASE role WHEN 'u' THEN 'user:' ELSE 'assistant:' END || chr(10) FROM step WHERE role <> 's'
+                 UNION ALL SELECT a.x, b.y, 2, CASE a.role WHEN 'u' THEN 'user:' || chr(10) || 'assistant:' ELSE 'assistant:' || chr(10) || 'user:' END || chr(10)
+                 FROM step a JOIN step b ON a.y = b.x WHERE a.role <> 's' AND b.role <> 's'),
+         dp AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, '0' AS x, {'c': CAST(0 AS BIGINT), 'a': '', 't': ''} AS b FROM m
+                UNION ALL
+                SELECT conv_id, i, y, min(b) FROM (
+                    SELECT dp.conv_id, f.i, e.y, {'c': CAST(dp.b.c + 2 * ins.k + e.cost AS BIGINT), 'a': dp.b.a || repeat('I', ins.k) || e.edit,
+                            't': dp.b.t || ins.lines || e.line} AS b
+                    FROM dp JOIN ins ON ins.x = dp.x JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i + 1,
+                    LATERAL (SELECT ins.y AS y, 3 AS cost, 'D' AS edit, '' AS line
+                             UNION ALL SELECT step.y, CAST(f.fault = 'truncated' AS INTEGER), 'K', f.role || ':' || f.text || chr(10)
+                             FROM step WHERE step.x = ins.y AND step.role = left(f.role, 1) AND f.fault IN ('', 'truncated')
+                             UNION ALL SELECT step.y, 2 + CAST(f.fault = 'truncated' AS INTEGER), 'R',
+                                    CASE step.role WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || f.text || chr(10)
+                             FROM step WHERE step.x = ins.y AND step.role <> 's' AND f.fault IN ('', 'truncated')) e) z
+                GROUP BY conv_id, i, y),
+         e AS (SELECT dp.conv_id, min({'c': CAST(dp.b.c + 2 * ins.k AS BIGINT), 'a': dp.b.a || repeat('I', ins.k), 't': dp.b.t || ins.lines}) AS b
+               FROM dp JOIN m ON m.conv_id IS NOT DISTINCT FROM dp.conv_id AND dp.i = m.n JOIN ins ON ins.x = dp.x
+               WHERE ins.y IN ('0', 'a') GROUP BY dp.conv_id)
+    SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(e.b.c, 0) AS cost, coalesce(e.b.a, '') AS audit,
+           sha256(CASE WHEN e.b.t IS NULL OR e.b.t = '' THEN '' ELSE e.b.t[:-2] END) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM q.conv_id
+    LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM q.conv_id"""
