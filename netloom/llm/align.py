@@ -9,6 +9,12 @@ pair of ids is linked in the corpus is summed over distinct texts, weighed by
 their copies; each text is then measured by the counts of its own links, and
 its measures are joined to the ids of all documents that hold it.
 
+Within a text, tokens of both end before a space that has other characters than
+white space on both sides, so no group or link crosses it: the pieces between
+such spaces are tokenized and aligned, and a task keeps what it learned of them
+(``KEPT`` at most) from step to step.
+``TokenizerB`` refuses a vocabulary for which that is not so.
+
 What is sent to every task is the counts of at most ``COMMON`` pairs; the
 others are joined. Measures of the ``HOT`` texts with most copies are joined by
 broadcast, so that a text that a third of all documents hold is in no one task;
@@ -23,7 +29,9 @@ as it is; an empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netloom.llm.units import steps
+from netloom.llm.units import gather, steps
 from netloom.session import materialize
 
 #: Pairs whose counts are sent to every task: 24 bytes each.
@@ -39,8 +47,12 @@ COMMON = 500_000
 #: Texts whose measures are joined by broadcast: about 150 bytes each.
 HOT = 1_000
 #: Bytes of text that one step takes at once.
-STEP = 2 << 20
+STEP = 1 << 20
+
+#: Pieces that a task keeps: about 200 bytes each.
+KEPT = 300_000
 
+_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _MEASURES = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -59,6 +71,7 @@ class TokenizerA:
         self.bytes = [b""] * self._tokenizer.get_vocab_size(with_added_tokens=True)
         for token, i in self._tokenizer.get_vocab(with_added_tokens=False).items():
             self.bytes[i] = bytes(byte[c] for c in token)
+        self.lengths = np.array([len(x) for x in self.bytes])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         encoded = self._tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
@@ -73,9 +86,12 @@ class TokenizerB:
 
         self._model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self._model.id_to_piece(i) for i in range(self._model.vocab_size())]
+        if any("▁" in p.lstrip("▁") for p in pieces):
+            raise ValueError("a piece of this model runs across a space")
         self.bytes = [
             bytes([int(p[3:5], 16)]) if self._model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.lengths = np.array([len(x) for x in self.bytes])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self._model.encode(texts, num_threads=1)
@@ -92,30 +108,34 @@ def _byte_letters() -> dict[int, str]:
     return letters
 
 
-def _flat(ids: list[list[int]], token_bytes: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _flat(ids: list[list[int]], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, ends, firsts): all texts' ids in a row, where each token ends in the
     bytes of all texts, and the number of each text's first token."""
-    flat = np.fromiter((i for x in ids for i in x), np.int64)
-    lengths = np.array([len(x) for x in token_bytes], np.int64)
+    flat = np.fromiter(chain.from_iterable(ids), np.int64)
     return flat, np.cumsum(lengths[flat]), np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
 
 
 class Alignment:
     """The alignment of tokenizations of the same texts, which cover the same
-    bytes. Arrays run over the tokens of all texts; ``*_firsts`` cut them by text."""
-
-    def __init__(self, a_ids: list[list[int]], b_ids: list[list[int]], a_bytes: list[bytes], b_bytes: list[bytes]):
-        self.a, ends_a, self.a_firsts = _flat(a_ids, a_bytes)
-        self.b, ends_b, self.b_firsts = _flat(b_ids, b_bytes)
+    bytes. Arrays run over the tokens of all texts; ``*_firsts`` cut them by text.
+    ``*_lengths`` are the tokens' lengths in bytes by id, none of them 0."""
+
+    def __init__(self, a_ids: list[list[int]], b_ids: list[list[int]], a_lengths: np.ndarray, b_lengths: np.ndarray):
+        self.a, ends_a, self.a_firsts = _flat(a_ids, a_lengths)
+        self.b, ends_b, self.b_firsts = _flat(b_ids, b_lengths)
+        size = int(ends_a[-1]) if len(ends_a) else 0
+        ends = np.zeros((2, size + 1), bool)
+        ends[0][ends_a] = ends[1][ends_b] = True
+        # the number of the B token that holds each byte
+        holder = np.cumsum(ends[1][:size], dtype=np.int32)
         # a token of A meets the tokens of B from the one that holds its first byte to the one that holds its last
-        starts = np.concatenate([[0], ends_a[:-1]]) if len(ends_a) else ends_a
-        first = np.searchsorted(ends_b, starts, side="right")
-        n = np.searchsorted(ends_b, ends_a, side="left") - first + 1
+        first = holder[ends_a - a_lengths[self.a]]
+        n = holder[ends_a - 1] - first + 1
         self.link_a = np.repeat(self.a, n)
-        self.link_b = self.b[np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)] if len(n) else self.b
+        self.link_b = self.b[np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)]
         self.link_firsts = np.concatenate([[0], np.cumsum(n)])[self.a_firsts]
         # a group ends where tokens of both do
-        _, self.last_a, self.last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        self.last_a, self.last_b = np.flatnonzero(ends[1][ends_a]), np.flatnonzero(ends[0][ends_b])
         self.group_firsts = np.searchsorted(self.last_a, self.a_firsts)
 
     def group_texts(self) -> list[str]:
@@ -136,8 +156,38 @@ class Alignment:
         return ["".join(out[x:y].tolist())[:-1] for x, y in zip(cuts, cuts[1:])]
 
 
-def _spells(ids: list[int], tokenizer: TokenizerA | TokenizerB, text: str) -> bool:
-    return b"".join([tokenizer.bytes[i] for i in ids]) == b" " + text.encode()
+class Pieces:
+    """Distinct pieces of text, aligned: whether both tokenizers keep a piece as it
+    is, its counts, its links as ``a * |B| + b`` (those of piece i from
+    link_firsts[i] on), and its groups as text."""
+
+    def __init__(self, pieces: list[str], a: TokenizerA, b: TokenizerB):
+        a_ids, b_ids = a.encode(pieces), b.encode(pieces)
+        raw = [b" " + p.encode() for p in pieces]
+        self.kept = _spells(a_ids, a, raw) & _spells(b_ids, b, raw)
+        for i in np.flatnonzero(~self.kept).tolist():
+            a_ids[i] = b_ids[i] = []
+        found = Alignment(a_ids, b_ids, a.lengths, b.lengths)
+        self.counts = np.stack([np.diff(f) for f in (found.a_firsts, found.b_firsts, found.group_firsts, found.link_firsts)], axis=1)
+        self.links, self.link_firsts = found.link_a * len(b.bytes) + found.link_b, found.link_firsts
+        self.groups = found.group_texts()
+
+    def add(self, more: Pieces) -> None:
+        self.kept = np.concatenate([self.kept, more.kept])
+        self.counts = np.concatenate([self.counts, more.counts])
+        self.link_firsts = np.concatenate([self.link_firsts[:-1], more.link_firsts + len(self.links)])
+        self.links = np.concatenate([self.links, more.links])
+        self.groups += more.groups
+
+
+def _spells(ids: list[list[int]], tokenizer: TokenizerA | TokenizerB, raw: list[bytes]) -> np.ndarray:
+    """Whether each piece's tokens spell its bytes."""
+    flat, ends, firsts = _flat(ids, tokenizer.lengths)
+    token_bytes = tokenizer.bytes
+    sizes = np.diff(np.concatenate([[0], ends])[firsts])
+    if (sizes == [len(r) for r in raw]).all() and b"".join([token_bytes[i] for i in flat.tolist()]) == b"".join(raw):
+        return np.ones(len(raw), bool)
+    return np.array([b"".join([token_bytes[i] for i in x]) == r for x, r in zip(ids, raw)], bool)
 
 
 def align_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -148,27 +198,40 @@ def align_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = TokenizerA(a_path), TokenizerB(b_path)
-        width = len(b.bytes)
+        numbers: dict[str, int] = {}
+        pieces = Pieces([], a, b)
         for batch in steps(batches, size=STEP):
             every = batch.column("text").to_pylist()
-            tokens = zip(every, a.encode(every), b.encode(every))
-            kept = [(i, x, y) for i, (t, x, y) in enumerate(tokens) if t and _spells(x, a, t) and _spells(y, b, t)]
-            rows = np.array([i for i, _, _ in kept], np.int64)
-            found = Alignment([x for _, x, _ in kept], [y for _, _, y in kept], a.bytes, b.bytes)
-            counts, hashes = np.zeros((len(every), 4), np.int64), np.full(len(every), "", object)
-            for k, firsts in enumerate((found.a_firsts, found.b_firsts, found.group_firsts, found.link_firsts)):
-                counts[rows, k] = np.diff(firsts)
-            hashes[rows] = [hashlib.sha256(g.encode()).hexdigest() for g in found.group_texts()]
+            split = [_SPACE.split(t) for t in every]
+            fresh = dict.fromkeys(p for x in split for p in x if p not in numbers)
+            if len(numbers) + len(fresh) > KEPT:
+                numbers, pieces = {}, Pieces([], a, b)
+                fresh = dict.fromkeys(p for x in split for p in x)
+            pieces.add(Pieces(list(fresh), a, b))
+            numbers.update(zip(fresh, range(len(numbers), len(numbers) + len(fresh))))
+            picks = np.fromiter((numbers[p] for x in split for p in x), np.int64)
+            ends = np.concatenate([[0], np.cumsum([len(p) for p in split])])  # of each text's pieces
+            # a text that has a piece that either tokenizer changes has no tokens
+            whole = np.diff(np.concatenate([[0], np.cumsum(~pieces.kept[picks])])[ends]) == 0
+            whole &= np.array([t != "" for t in every], bool)
+            counts = np.diff(np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(pieces.counts[picks], axis=0)])[ends], axis=0) * whole[:, None]
+            names = pieces.groups
+            hashes = [
+                hashlib.sha256(";".join([names[i] for i in picks[x:y].tolist()]).encode()).hexdigest() if w else ""
+                for w, x, y in zip(whole.tolist(), ends.tolist(), ends[1:].tolist())
+            ]
             # each text's distinct pairs, in order of text and pair
-            span = width * len(a.bytes)
-            keys, times = np.unique(np.repeat(rows, counts[rows, 3]) * span + found.link_a * width + found.link_b, return_counts=True)
-            ends = pa.array(np.searchsorted(keys, np.arange(len(every) + 1) * span).astype(np.int32))
+            linked, link_ends = gather(pieces.link_firsts, pieces.links, picks)
+            row = np.repeat(np.arange(len(every)), np.diff(link_ends[ends]))
+            span = len(b.bytes) * len(a.bytes)
+            keys, times = np.unique((row * span + linked)[whole[row]], return_counts=True)
+            firsts = pa.array(np.searchsorted(keys, np.arange(len(every) + 1) * span).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([hashlib.sha256(t.encode()).digest() for t in every], pa.binary()), batch.column("copies").cast(pa.int64()),
                     *[pa.array(counts[:, k]) for k in range(4)], pa.array(hashes, pa.string()),
-                    pa.ListArray.from_arrays(ends, pa.array(keys % span)),
-                    pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
+                    pa.ListArray.from_arrays(firsts, pa.array(keys % span)),
+                    pa.ListArray.from_arrays(firsts, pa.array(times.astype(np.int32))),
                 ],
                 names=["key", "copies", *_MEASURES, "groups_sha256", "pairs", "times"],
             )
