@@ -12,7 +12,7 @@ its measures are joined to the ids of all documents that hold it.
 Within a text, tokens of both end before a space that has other characters than
 white space on both sides, so no group or link crosses it: the pieces between
 such spaces are tokenized and aligned, and a task keeps what it learned of them
-(``KEPT`` at most) from step to step.
+from step to step.
 ``TokenizerB`` refuses a vocabulary for which that is not so.
 
 What is sent to every task is the counts of at most ``COMMON`` pairs; the
@@ -47,10 +47,13 @@ COMMON = 500_000
 #: Texts whose measures are joined by broadcast: about 150 bytes each.
 HOT = 1_000
 #: Bytes of text that one step takes at once.
-STEP = 1 << 20
+STEP = 512 << 10
 
-#: Pieces that a task keeps: about 200 bytes each.
-KEPT = 300_000
+#: Pieces that a task keeps between steps, of about 300 bytes each; beyond them it
+#: starts anew.
+KEPT = 100_000
+#: Rows of texts with their pairs that a task measures at once.
+ROWS = 500
 
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
 _MEASURES = ["n_a", "n_b", "n_groups", "n_links"]
@@ -190,6 +193,18 @@ def _spells(ids: list[list[int]], tokenizer: TokenizerA | TokenizerB, raw: list[
     return np.array([b"".join([token_bytes[i] for i in x]) == r for x, r in zip(ids, raw)], bool)
 
 
+class _Numbers(dict):
+    """Numbers pieces as they come; new ones are ``fresh``."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.fresh.append(piece)
+        return number
+
+
 def align_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """(key, copies, n_a, n_b, n_groups, n_links, groups_sha256, pairs, times) of
     every row of ``texts`` (text, copies): the text's SHA-256, its measures, and
@@ -198,18 +213,15 @@ def align_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = TokenizerA(a_path), TokenizerB(b_path)
-        numbers: dict[str, int] = {}
-        pieces = Pieces([], a, b)
+        numbers, pieces = _Numbers(), Pieces([], a, b)
         for batch in steps(batches, size=STEP):
+            if len(numbers) > KEPT:
+                numbers, pieces = _Numbers(), Pieces([], a, b)
             every = batch.column("text").to_pylist()
             split = [_SPACE.split(t) for t in every]
-            fresh = dict.fromkeys(p for x in split for p in x if p not in numbers)
-            if len(numbers) + len(fresh) > KEPT:
-                numbers, pieces = {}, Pieces([], a, b)
-                fresh = dict.fromkeys(p for x in split for p in x)
-            pieces.add(Pieces(list(fresh), a, b))
-            numbers.update(zip(fresh, range(len(numbers), len(numbers) + len(fresh))))
-            picks = np.fromiter((numbers[p] for x in split for p in x), np.int64)
+            picks = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int64)
+            pieces.add(Pieces(numbers.fresh, a, b))
+            numbers.fresh = []
             ends = np.concatenate([[0], np.cumsum([len(p) for p in split])])  # of each text's pieces
             # a text that has a piece that either tokenizer changes has no tokens
             whole = np.diff(np.concatenate([[0], np.cumsum(~pieces.kept[picks])])[ends]) == 0
@@ -270,7 +282,7 @@ def _measured(aligned: DataFrame, common: pa.Table) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n, best = shared.value
         best = best.astype(np.int64)
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             lists = batch.column("pairs")
             ends = np.asarray(lists.offsets).astype(np.int64)
             pairs = np.asarray(lists.values)[ends[0] : ends[-1]]
