@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from netloom.functions.columns import name_of
 from netloom.functions.prefix import running_total
+from netloom.functions.skew import heavy_keys, salted_join
 from netloom.session import materialize
 from netloom.operators.tableau import (
     CAPITAL_COST, CT_CAPACITY, CT_DEMAND, CT_SUPPLY, DEXPR, EQ, GE, LE, OPERATING_COST, TOTAL_COST, scenario_slice,
@@ -26,18 +27,23 @@ def decision_values(*decisions: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def row_activity(rows: DataFrame, entries: DataFrame, values: DataFrame) -> DataFrame:
-    """Per row: sum of coefficient * value; 0 for a row without entries.
+def product(entries: DataFrame, values: DataFrame) -> DataFrame:
+    """(cnstraint, activity): the sparse matrix times the vector.
 
     Decision vectors are sparse (most routes carry nothing), so only nonzero
-    values are joined to the entries; a row whose variables are all zero
-    gets activity 0 like a row without entries."""
-    act = (
-        entries.join(values.where(F.col("value") != 0), "variable")
-        .groupBy("cnstraint")
-        .agg(F.sum(F.col("coefficient") * F.col("value")).alias("activity"))
-    )
-    return rows.join(act, "cnstraint", "left").select(
+    values are joined to the entries. Entries are counted per variable; those of
+    a heavy one (a site's ``open`` stands in a row for each of its routes) are
+    dealt over many tasks, with the variable's value repeated for each. Every
+    task sums what it has of a constraint before the sums are exchanged."""
+    entries = entries.select("cnstraint", "variable", "coefficient")
+    terms = salted_join(entries, values.where(F.col("value") != 0).select("variable", "value"), "variable", heavy_keys(entries, "variable"))
+    return terms.groupBy("cnstraint").agg(F.sum(F.col("coefficient") * F.col("value")).alias("activity"))
+
+
+def row_activity(rows: DataFrame, entries: DataFrame, values: DataFrame) -> DataFrame:
+    """Per row: sum of coefficient * value; 0 for a row without entries, and for
+    one whose variables are all zero. ``entries`` are read more than once."""
+    return rows.join(product(entries, values), "cnstraint", "left").select(
         "cnstraint", "sense", "rhs", F.coalesce(F.col("activity"), F.lit(0.0)).alias("activity")
     )
 

@@ -360,6 +360,21 @@ QUERIES = {
         WHERE EXISTS (SELECT 1 FROM {_PLAN_PAIRS} s WHERE s.location = r.location AND s.store = r.store)""",
 }
 
+# the same results from names and from the stored layout
+QUERIES |= {
+    "tableau_product": QUERIES["row_activity"],
+    "stored_activity": QUERIES["row_activity"],
+    "stored_objective": QUERIES["objective_value"],
+    "stored_listing": QUERIES["constraint_listing"],
+    "stored_text": QUERIES["constraint_text"],
+    "stored_violations": """SELECT 'ctSupply_' || a.location || '_' || a.store AS cnstraint, 'GE' AS sense, 0.0E0 AS rhs, -1.0E0 AS activity,
+            1.0E0 AS violation FROM assign95 a WHERE set_id = 'all'
+        UNION ALL
+        SELECT 'ctDemand_' || s.store, 'GE', 1.0E0, 0.0E0, 1.0E0 FROM stores s
+        WHERE s.store NOT IN (SELECT store FROM assign95 WHERE set_id = 'all')""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     ctes = ",\n".join(f"{n} AS ({q})" for n, q in CTES)
     out = {}

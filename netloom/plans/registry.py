@@ -17,6 +17,7 @@ from netloom.operators import cutting, decode, evaluate, geo, scenario, siting,
 from netloom.session import materialize
 from netloom.sources.collection import Collection, key_violations
 from netloom.sources.star import Star
+from netloom.sources.tableau_store import TableauStore
 
 # fixed values used by the registered queries
 SCENARIO = "1995"   # single scenario for the tableau and the deterministic model
@@ -348,6 +349,55 @@ def row_activity(spark, d):
     return _round(_activity(Star(spark, d)), 2, ["activity"])
 
 
+def _decisions(st: Star, t: tableau.Tableau) -> DataFrame:
+    """Every decision of the cheapest plan by name, as a solver returns them:
+    boolean, integer (none here) and float tables in one."""
+    values = materialize(decode.plan_values(_assignment(st)), "plan_values")
+    booleans, floats = decode.decisions_from_values(t.columns_open, t.columns_capacity, t.columns_ship, values)
+    return evaluate.decision_values(booleans, t.integer_columns, floats)
+
+
+@query
+def tableau_product(spark, d):
+    """E9 for any tableau: entries times decisions, joined on variable names;
+    ``open`` variables hold an entry for each of a site's routes."""
+    st = Star(spark, d)
+    t = _tableau(st)
+    entries = materialize(t.entries, "tableau_entries")
+    return _round(evaluate.row_activity(t.rows, entries, _decisions(st, t)), 2, ["activity"])
+
+
+def _stored(st: Star, t: tableau.Tableau) -> TableauStore:
+    entries = materialize(t.entries, "tableau_entries")
+    return TableauStore.write(st.spark, t.rows, entries, t.boolean_columns, t.integer_columns, t.float_columns)
+
+
+@query
+def stored_activity(spark, d):
+    """E9 over a stored tableau: decisions by name go to the entries' buckets."""
+    st = Star(spark, d)
+    t = _tableau(st)
+    return _round(_stored(st, t).activity(_decisions(st, t)), 2, ["activity"])
+
+
+@query
+def stored_objective(spark, d):
+    """E11 over a stored tableau, by names."""
+    st = Star(spark, d)
+    t = _tableau(st)
+    return _round(evaluate.objective_value(_stored(st, t).activity(_decisions(st, t)), t.objectives), 2, ["value"])
+
+
+@query
+def stored_violations(spark, d):
+    """E10 over a stored tableau, by names, for a plan that opens no site:
+    every route's supply constraint that ships is broken."""
+    st = Star(spark, d)
+    t = _tableau(st)
+    shut = _decisions(st, t).select("variable", F.when(F.startswith("variable", F.lit(f"{tableau.OPEN}_")), 0.0).otherwise(F.col("value")).alias("value"))
+    return _round(evaluate.violations(_stored(st, t).activity(shut)), 2, ["activity", "violation"])
+
+
 @query
 def violations(spark, d):
     return _round(evaluate.violations(_activity(Star(spark, d))), 2, ["activity", "violation"])
@@ -537,6 +587,21 @@ def constraint_text(spark, d):
     return evaluate.constraint_text(listing)
 
 
+@query
+def stored_listing(spark, d):
+    """O1 as the source programs join it: rows, entries, and declared boolean,
+    integer (empty) and float columns, from a stored tableau."""
+    st = Star(spark, d)
+    return _stored(st, _tableau(st)).listing()
+
+
+@query
+def stored_text(spark, d):
+    """O2 over a stored tableau."""
+    st = Star(spark, d)
+    return _stored(st, _tableau(st)).text()
+
+
 @query
 def peak_scenario(spark, d):
     return scenario.peak_scenario(Star(spark, d).scenarios)
