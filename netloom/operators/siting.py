@@ -12,9 +12,10 @@ forced: the candidate and site tables can be as large as the network.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from netloom.functions.skew import heavy_keys
 from netloom.operators.scenario import peak_scenario
 from netloom.operators.tableau import scenario_slice
 from netloom.session import materialize
@@ -24,23 +25,71 @@ def _demand(demands: DataFrame, scenario_id: str | None) -> DataFrame:
     return demands if scenario_id is None else scenario_slice(demands, scenario_id)
 
 
+_PRICED = ["store", "unit_cost", "location", "shipping_cost", "capacity_cost"]
+
+
+def _priced(routes: DataFrame, sites: DataFrame) -> DataFrame:
+    """Routes from ``sites`` (location, capacity_cost, ...) with their unit cost:
+    shipping cost + the site's capacity cost."""
+    return routes.select("location", "store", "shipping_cost").join(sites, "location").withColumn(
+        "unit_cost", F.col("shipping_cost") + F.col("capacity_cost")
+    )
+
+
+def cheapest_open_route(routes: DataFrame, warehouses: DataFrame, sites: DataFrame) -> DataFrame:
+    """Per store: the route of least unit cost from one set of ``sites``, ties to
+    the smallest location name. ``_PRICED`` columns."""
+    opened = warehouses.select("location", "capacity_cost").join(sites.select("location").distinct(), "location")
+    best = F.min(F.struct(*_PRICED[1:])).alias("b")
+    return _priced(routes, opened).groupBy("store").agg(best).select("store", "b.*")
+
+
+#: Sets in one bitmap.
+_BITS = 62
+
+
+def _set_numbers(candidates: DataFrame) -> DataFrame:
+    """(set_id, no): sets numbered, in a row within each partition."""
+    sets = candidates.select("set_id").distinct().select("set_id", F.monotonically_increasing_id().alias("no"))
+    return materialize(sets, "set_numbers")
+
+
+def _first_of_each_set(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows that are the first, in order of cost, for some set of their bitmap;
+    ``bits`` keeps those sets alone. No more rows are left than the bitmap has bits."""
+    order = Window.partitionBy(*keys).orderBy("unit_cost", "location", "shipping_cost", "capacity_cost")
+    taken = F.bit_or("bits").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce(taken, F.lit(0).cast("long"))))
+    return rows.select("*", fresh.alias("_fresh")).where("_fresh <> 0").withColumn("bits", F.col("_fresh")).drop("_fresh")
+
+
 def cheapest_route(routes: DataFrame, warehouses: DataFrame, candidates: DataFrame) -> DataFrame:
     """Per (set, store): the open route of least unit cost (shipping cost +
     the site's capacity cost), ties to the smallest location name.
 
     The choice does not depend on the scenario (demand only scales the
-    cost), so it is made once per (set, store), not once per scenario."""
-    cand = candidates.select("set_id", "location").join(warehouses.select("location", "capacity_cost"), "location")
-    per_route = routes.join(cand, "location").select(
-        "set_id", "store",
-        F.struct(
-            (F.col("shipping_cost") + F.col("capacity_cost")).alias("unit_cost"),
-            "location", "shipping_cost", "capacity_cost",
-        ).alias("o"),
-    )
-    return per_route.groupBy("set_id", "store").agg(F.min("o").alias("b")).select(
-        "set_id", "store", "b.location", "b.unit_cost", "b.shipping_cost", "b.capacity_cost"
-    )
+    cost), so it is made once per (set, store), not once per scenario. Routes
+    are not repeated for each set: a route carries the sets of its site as bits
+    of a number (one number for ``_BITS`` sets). With a store's routes in order of
+    cost, the first route with a set's bit is that set's answer, so a route all of
+    whose bits occurred before is dropped, and what is left is repeated for its
+    new bits: one row per (set, store). Stores with many of all routes are dealt
+    into parts, each first thinned on its own."""
+    numbers = _set_numbers(candidates)
+    member = candidates.select("set_id", "location").distinct().join(numbers, "set_id").groupBy(
+        "location", F.floor(F.col("no") / _BITS).alias("word")
+    ).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(no % {_BITS} AS int))")).alias("bits"))
+    sites = member.join(warehouses.select("location", "capacity_cost"), "location")
+    priced = materialize(_priced(routes, sites).select(*_PRICED, "word", "bits"), "priced_routes")
+    part = F.coalesce(F.pmod(F.xxhash64("location"), F.col("_salts")).cast("int"), F.lit(-1)).alias("part")
+    priced = priced.join(F.broadcast(heavy_keys(priced, "store")), "store", "left").select(*_PRICED, "word", "bits", part)
+    thin = _first_of_each_set(priced, ["store", "word", "part"])
+    # few rows of few stores: a bit's first route in each part
+    dealt = _first_of_each_set(thin.where("part >= 0"), ["store", "word"])
+    first = thin.where("part < 0").unionByName(dealt)
+    bit = F.explode(F.filter(F.sequence(F.lit(0), F.lit(_BITS - 1)), lambda i: F.call_function("getbit", F.col("bits"), i) == 1)).alias("bit")
+    chosen = first.select(*_PRICED, "word", bit).withColumn("no", F.col("word") * _BITS + F.col("bit"))
+    return chosen.join(numbers, "no").select("set_id", "store", "location", "unit_cost", "shipping_cost", "capacity_cost")
 
 
 def assign_cheapest(routes: DataFrame, warehouses: DataFrame, demands: DataFrame, candidates: DataFrame,
@@ -48,8 +97,18 @@ def assign_cheapest(routes: DataFrame, warehouses: DataFrame, demands: DataFrame
     """Per (set, scenario, store with demand): the chosen site and its costs.
 
     Ties on unit cost go to the smallest location name."""
+    return _assigned(cheapest_route(routes, warehouses, candidates), demands, scenario_id)
+
+
+def assign_from(routes: DataFrame, warehouses: DataFrame, demands: DataFrame, sites: DataFrame, set_id: str,
+                scenario_id: str | None = None) -> DataFrame:
+    """``assign_cheapest`` for the one set ``sites``, named ``set_id``."""
+    best = cheapest_open_route(routes, warehouses, sites)
+    return _assigned(best.withColumn("set_id", F.lit(set_id)), demands, scenario_id)
+
+
+def _assigned(best: DataFrame, demands: DataFrame, scenario_id: str | None) -> DataFrame:
     d = _demand(demands, scenario_id).select("store", "scenario_id", F.col("amount").alias("demand"))
-    best = cheapest_route(routes, warehouses, candidates)
     return best.join(d, "store").select(
         "set_id", "scenario_id", "store", "location", "demand", "unit_cost",
         (F.col("shipping_cost") * F.col("demand")).alias("shipping_cost"),
@@ -80,6 +139,10 @@ def _report(df: DataFrame) -> DataFrame:
     return out.withColumn("feasible", F.col("served_stores") == F.col("demanded_stores"))
 
 
+#: Blocks of scenarios: how many tasks share the grid of (set, scenario).
+_GRID = 64
+
+
 def candidate_set_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFrame, candidates: DataFrame,
                        scenario_id: str | None = None) -> DataFrame:
     """Cost of each candidate set in each scenario (or in one).
@@ -93,13 +156,15 @@ def candidate_set_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFr
     fixed = candidates.select("set_id", "location").join(warehouses.select("location", "fixed_cost"), "location").groupBy(
         "set_id"
     ).agg(F.count(F.lit(1)).alias("n_sites"), F.sum("fixed_cost").alias("fixed_cost"))
-    # one short array of the scenarios, repeated for each set: the grid is the result's own size
     if scenario_id is None:
         demanded = d.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("demanded_stores"))
     else:  # a row even without demand
         demanded = d.agg(F.count(F.lit(1)).alias("demanded_stores")).withColumn("scenario_id", F.lit(scenario_id))
-    every = demanded.agg(F.collect_list(F.struct("scenario_id", "demanded_stores"))).scalar()
-    grid = fixed.withColumn("s", F.explode(every)).select("*", "s.scenario_id", "s.demanded_stores").drop("s")
+    # the grid is the result's own size: scenarios in blocks, each block met by every set
+    block = F.pmod(F.xxhash64("scenario_id"), F.lit(_GRID))
+    grid = fixed.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(_GRID - 1)))).join(
+        demanded.withColumn("_block", block.cast("int")), "_block"
+    ).drop("_block")
     return _report(grid.join(_variable_costs(a, ["set_id", "scenario_id"]), ["set_id", "scenario_id"], "left"))
 
 
@@ -122,8 +187,7 @@ def peak_plan_sites(routes: DataFrame, warehouses: DataFrame, demands: DataFrame
     """Sites used when the peak-demand scenario is served from all sites."""
     peak = peak_scenario(scenarios).select(F.col("id").alias("scenario_id"))
     d = demands.join(peak, "scenario_id", "left_semi")
-    everyone = warehouses.select(F.lit("all").alias("set_id"), "location")
-    used = assign_cheapest(routes, warehouses, d, everyone).select("location").distinct()
+    used = assign_from(routes, warehouses, d, warehouses, "all").select("location").distinct()
     return used.select(F.lit(set_id).alias("set_id"), "location")
 
 
@@ -133,7 +197,7 @@ def worst_case_cost(routes: DataFrame, warehouses: DataFrame, demands: DataFrame
     The sites are written once, so the peak assignment runs once; their
     number and fixed cost come from one aggregate of that table."""
     sites = materialize(peak_plan_sites(routes, warehouses, demands, scenarios), "peak_sites")
-    a = assign_cheapest(routes, warehouses, demands, sites)
+    a = assign_from(routes, warehouses, demands, sites, "peak")
     fixed = sites.join(warehouses.select("location", "fixed_cost"), "location").agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.sum("fixed_cost").alias("cost")).alias("f")
     ).scalar()

@@ -205,10 +205,10 @@ QUERIES = {
         FROM routes r JOIN map_coordinates a ON r.location = a.location JOIN map_coordinates b ON r.store = b.location""",
     "decode_objectives": f"""SELECT 'warehousing' AS problem, cnstraint AS d_expr, '1995' AS scenario_id, 0 AS iteration,
         round(activity, 2) + 0.0E0 AS value FROM ({_ACTIVITY}) a WHERE sense = 'dexpr'""",
-    "decode_open": """SELECT substr(o.variable, 6) AS location, '1995' AS scenario_id, 0 AS iteration,
-        CAST(o.value AS INTEGER) AS open, c.value AS capacity
-        FROM plan_values o JOIN plan_values c ON c.variable = 'capacity_' || substr(o.variable, 6)
-        WHERE o.variable LIKE 'open\\_%' ESCAPE '\\'""",
+    "decode_open": """SELECT w.location, '1995' AS scenario_id, 0 AS iteration, CAST(u.location IS NOT NULL AS INTEGER) AS open,
+        coalesce(u.capacity, 0.0E0) AS capacity
+        FROM warehouses w LEFT JOIN (SELECT location, sum(demand) AS capacity FROM assign95 WHERE set_id = 'all' GROUP BY location) u
+          ON w.location = u.location""",
     "decode_shipments": """SELECT location, store, '1995' AS scenario_id, 0 AS iteration, demand AS amount
         FROM assign95 WHERE set_id = 'all' AND demand > 0""",
     "unserved_demand": """SELECT d.store, d.scenario_id, d.amount FROM demands d
@@ -272,10 +272,10 @@ QUERIES = {
         FROM scenario_open GROUP BY location""",
     "pattern_widths": """SELECT pattern, CAST(sum(width * number) AS BIGINT) AS width, 110 - CAST(sum(width * number) AS BIGINT) AS scrap
         FROM cut_slices s JOIN cut_orders o ON s.item = o.item GROUP BY pattern""",
-    "production": """WITH w AS (SELECT pattern, CAST(sum(width * number) AS BIGINT) AS width FROM cut_slices s
-                                 JOIN cut_orders o ON s.item = o.item GROUP BY pattern)
-        SELECT u.pattern, u.rolls, w.width, 110 - w.width AS scrap, s.item, s.number
-        FROM cut_usages u JOIN w ON u.pattern = w.pattern JOIN cut_slices s ON s.pattern = u.pattern WHERE u.rolls > 0""",
+    "production": """SELECT u.pattern, u.rolls, x.width, 110 - x.width AS scrap, x.item, x.number
+        FROM (SELECT s.pattern, s.item, s.number, CAST(sum(o.width * s.number) OVER (PARTITION BY s.pattern) AS BIGINT) AS width
+              FROM cut_slices s JOIN cut_orders o ON s.item = o.item) x
+        JOIN cut_usages u ON u.pattern = x.pattern WHERE u.rolls > 0""",
     "production_stats": """WITH w AS (SELECT pattern, 110 - CAST(sum(width * number) AS BIGINT) AS scrap FROM cut_slices s
                                        JOIN cut_orders o ON s.item = o.item GROUP BY pattern),
              used AS (SELECT u.pattern, u.rolls, w.scrap FROM cut_usages u JOIN w ON u.pattern = w.pattern WHERE u.rolls > 0)

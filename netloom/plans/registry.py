@@ -177,7 +177,8 @@ def rows_ct_supply(spark, d):
 
 @query
 def scenario_slice(spark, d):
-    return tableau.scenario_slice(Star(spark, d, materialize_lanes=False).demands, SCENARIO)
+    """P8: only the scenario's orders are read."""
+    return tableau.scenario_slice(Star(spark, d, materialize_lanes=False, scenario=SCENARIO).demands, SCENARIO)
 
 
 def _entries(st: Star) -> DataFrame:
@@ -248,8 +249,7 @@ def routes_geo(spark, d):
 
 def _assignment(st: Star) -> DataFrame:
     """Cheapest route per store over all sites, for SCENARIO."""
-    everyone = st.warehouses.select(F.lit(ALL_SET).alias("set_id"), "location")
-    return siting.assign_cheapest(st.routes, st.warehouses, st.demands, everyone, SCENARIO)
+    return siting.assign_from(st.routes, st.warehouses, st.demands, st.warehouses, ALL_SET, SCENARIO)
 
 
 def _tableau(st: Star):

@@ -26,12 +26,14 @@ def _year_id(c: str):
 
 
 class Star:
-    """Derived tables over ``sf_dir`` (one parquet file per base table)."""
+    """Derived tables over ``sf_dir`` (one parquet file per base table). With
+    ``scenario`` (a year), trade is that of its orders alone."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize_lanes: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize_lanes: bool = True, scenario: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.materialize_lanes = materialize_lanes
+        self.scenario = scenario
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -46,6 +48,9 @@ class Star:
         """One row per line item: location, store, scenario_id, amount, freight."""
         li = self.table("lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax")
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        if self.scenario is not None:  # a range of dates reaches the scan, a year of them does not
+            from_, to = (F.lit(f"{int(self.scenario) + i:04d}-01-01").cast(o.schema["o_orderdate"].dataType) for i in (0, 1))
+            o = o.where((F.col("o_orderdate") >= from_) & (F.col("o_orderdate") < to))
         s = self.table("supplier").select("s_suppkey", "s_name")
         c = self.table("customer").select("c_custkey", "c_name")
         return (
@@ -105,7 +110,8 @@ class Star:
         periods = o.groupBy(_year_id("o_orderdate").alias("id")).agg(
             F.count_distinct(F.month("o_orderdate")).cast("double").alias("periods")
         )
-        return totals.join(periods, "id").select("id", "total_demand", "periods")
+        # written, so that joins see how small it is
+        return materialize(totals.join(periods, "id").select("id", "total_demand", "periods"), "scenarios")
 
     @cached_property
     def map_coordinates(self) -> DataFrame:
@@ -204,9 +210,10 @@ class Star:
 
     @cached_property
     def cut_orders(self) -> DataFrame:
-        return self._brand_lines.groupBy(F.col("p_brand").alias("item")).agg(
+        orders = self._brand_lines.groupBy(F.col("p_brand").alias("item")).agg(
             (F.min("p_size") + 10).alias("width"), F.sum("l_quantity").cast("bigint").alias("amount")
         )
+        return materialize(orders, "cut_orders")  # as for scenarios
 
     @cached_property
     def cut_slices(self) -> DataFrame:
