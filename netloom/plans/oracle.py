@@ -362,6 +362,7 @@ QUERIES = {
 
 # the same results from names and from the stored layout
 QUERIES |= {
+    "load_json": QUERIES["write_collection"],
     "tableau_product": QUERIES["row_activity"],
     "stored_activity": QUERIES["row_activity"],
     "stored_objective": QUERIES["objective_value"],

@@ -73,6 +73,22 @@ def write_collection(spark, d):
     return back["routes"].join(back["warehouses"].select("location", "capacity_cost"), "location")
 
 
+@query
+def load_json(spark, d):
+    """S1: the derived network written as one document of two arrays, in parts,
+    and read back in byte ranges with declared types."""
+    import uuid
+
+    from netloom import schemas
+    from netloom.session import scratch_root
+    from netloom.sources.collection import load_json
+
+    path = f"{scratch_root(spark)}/document-{uuid.uuid4().hex}"
+    _network(Star(spark, d, materialize_lanes=False)).write_document(path)
+    back = load_json(spark, path, {"warehouses": schemas.WAREHOUSES, "routes": schemas.ROUTES}, "network")
+    return back["routes"].join(back["warehouses"].select("location", "capacity_cost"), "location")
+
+
 # ---- collection operations, as the flows use them --------------------------------
 
 def _network(st: Star) -> Collection:

@@ -14,7 +14,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
+
+from netloom.sources.json_document import read_tables, write_tables
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -127,6 +129,10 @@ class Collection:
         for t, df in self.tables.items():
             df.write.format(fmt).mode(mode).save(f"{path.rstrip('/')}/{t}")
 
+    def write_document(self, path: str) -> None:
+        """The collection as one JSON document of arrays, in parts under ``path``."""
+        write_tables(self.tables, path)
+
     @classmethod
     def read(cls, spark: SparkSession, name: str, path: str, model: Mapping[str, StructType],
              fmt: str = "parquet") -> Collection:
@@ -167,16 +173,14 @@ def load_json(
 
     ``model`` uses the document's table and field names; values are parsed
     with the declared types (an integer ``1`` in a double field reads as 1.0).
-    A document is one record, so it is read by one task: use it to import
-    small inputs, and ``Collection.read`` (parquet or JSON lines per table)
-    for large ones.
+    The document is read in byte ranges, see ``json_document``; the path may be a
+    folder of parts that ``write_document`` wrote.
     """
-    doc_schema = StructType([StructField(t, ArrayType(s), True) for t, s in model.items()])
-    doc = spark.read.schema(doc_schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    found = read_tables(spark, path, model)
     renames = renames or {}
     tables, schemas = {}, {}
     for t, s in model.items():
-        df = doc.select(F.inline(F.col(t)))
+        df = found[t]
         mapping = {f.name: renames.get(t, {}).get(f.name, snake(f.name) if snake_case else f.name) for f in s.fields}
         out_t = snake(t) if snake_case else t
         df = df.select(*[F.col(k).alias(v) for k, v in mapping.items()])
