@@ -93,9 +93,10 @@ def read_tables(spark: SparkSession, path: str, model: Mapping[str, StructType])
         for here, after in zip(begins, [*begins[1:], None]):
             if here[3] == table:
                 ranges.append((at >= _literal(here)) & (at < _literal(after) if after else F.lit(True)))
-        rows = parsed.where((F.col("element") != "") & reduce(lambda a, b: a | b, ranges))
-        value = F.from_json(F.concat("element", F.lit("}")), schema, {"mode": "FAILFAST"}).alias("e")
-        tables[table] = rows.select(value).select("e.*")
+        own = (F.col("element") != "") & reduce(lambda a, b: a | b, ranges)
+        # guarded, as a filter on the result may run before the one on the rows
+        value = F.when(own, F.from_json(F.concat("element", F.lit("}")), schema, {"mode": "FAILFAST"})).alias("e")
+        tables[table] = parsed.where(own).select(value).select("e.*")
     return tables
 
 
