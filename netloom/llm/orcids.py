@@ -50,7 +50,8 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        #: What a text with a special token has in it; it is encoded whole.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         mark = self._plain(["\t"])[0]
         self.mark = int(np.frombuffer(mark, "<u4")[0]) if len(mark) == 4 else None
@@ -66,7 +67,7 @@ class UnitEncoder:
         joinable: list[str] = []
         for u in units:
             inner = u[1:] if u[:1] == " " else u
-            tidy = inner and "\t" not in inner and not inner[0].isspace() and not inner[-1].isspace()
+            tidy = inner and not any(x in inner for x in self.special) and "\t" not in inner and not inner[0].isspace() and not inner[-1].isspace()
             (joinable if tidy and self.mark is not None else plain).append(u)
         groups = [joinable[i : i + 2000] for i in range(0, len(joinable), 2000)]
         for group, ids in zip(groups, self._plain(["\t".join(g) for g in groups])):
@@ -84,7 +85,7 @@ class UnitEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ends, ids) of texts."""
-        text_ends, codes, units = split_units(texts)
+        text_ends, codes, units = split_units(texts, self.special)
         found = list(map(self.known.get, units))
         missing = [i for i, x in enumerate(found) if x is None]
         heads = [_head(units[i]) for i in missing]  # a word before a mark is encoded as the word, and the mark

@@ -37,8 +37,8 @@ from netloom.session import materialize
 
 #: Labelled documents that learning reads at most.
 SAMPLE = 60_000
-#: Insults that the lexicon keeps at most, the most significant first; it is broadcast.
-LEXICON = 50_000
+#: Bytes of text that one step takes at once.
+STEP = 2 << 20
 #: A word is significant if its log-likelihood ratio exceeds this times the log of
 #: the number of words tested.
 STRICT = 1.4
@@ -192,15 +192,15 @@ def learning_rows(docs: DataFrame, labels: DataFrame, may_learn: Column, size: i
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
-def learn_insults(rows: DataFrame, least: int = LEXICON) -> tuple[np.ndarray, np.ndarray]:
+def learn_insults(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, weights): words and word beginnings that toxic documents have
     significantly more often than others, as log odds. Rows of one text count
-    once, as toxic if one of them is, wherever they lie. At most ``least``
-    leave the executors."""
+    once, as toxic if one of them is, wherever they lie. The sample's size bounds
+    what leaves the executors."""
     texts = rows.groupBy(F.sha2("text", 256).alias("_text")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             frame = pa.Table.from_batches([batch]).to_pandas()
             words = scan(pa.array(frame["text"], pa.string()), BLANK, STEMS)
             owner = np.repeat(np.arange(len(frame)), np.diff(words.ends))
@@ -226,8 +226,6 @@ def learn_insults(rows: DataFrame, least: int = LEXICON) -> tuple[np.ndarray, np
         counts.where((F.col("h") != 0) & (F.col("toxic") > 0))
         .select("h", g.alias("g"), odds.alias("odds"), rate.alias("rate"))
         .where((F.col("g") > STRICT * float(np.log(tests + 1))) & (F.col("rate") > max(0.5, share)))
-        .orderBy(F.desc("g"), "h")
-        .limit(least)
         .toArrow()
     )
     hashes = picked["h"].to_numpy().astype(np.int64).view(np.uint64)
@@ -272,7 +270,7 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, size: int = SAM
     shared = docs.sparkSession.sparkContext.broadcast((insults, fixed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             sums = match(batch.column("text"), *shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label").cast(pa.int32()), *[pa.array(sums[:, i]) for i in range(len(MARKS))]], names=["label", *MARKS]
@@ -286,21 +284,22 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, size: int = SAM
     return Model(insults, fixed, fit(sums, taught["label"].to_numpy().astype(float)))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``toxicity`` (0 to 1) and the weights of its matches by mark."""
+def score(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
+    """``docs`` with ``name`` (0 to 1) and, after it, the weights of its matches by
+    mark; ``docs`` has no columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             sums = match(batch.column("text"), known.insults, known.fixed)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(known.score(sums)), *[pa.array(sums[:, i]) for i in range(len(MARKS))]],
-                names=[*names, "toxicity", *[f"toxicity_{m}" for m in MARKS]],
+                names=[*names, name, *[f"{name}_{m}" for m in MARKS]],
             )
 
-    fields = ", ".join(["toxicity double", *[f"toxicity_{m} double" for m in MARKS]])
+    fields = ", ".join([f"{name} double", *[f"{name}_{m} double" for m in MARKS]])
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *StructType.fromDDL(fields).fields]))
 
 

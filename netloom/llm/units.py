@@ -8,7 +8,7 @@ place; a text that has one is left whole, as a unit of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -54,11 +54,14 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
-def split_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def split_units(texts: pa.Array, whole: Sequence[str] = ()) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """(ends, codes, units): text i is the units that codes[ends[i]:ends[i + 1]]
-    name, one after the other, nothing left out. A null text has none."""
+    name, one after the other, nothing left out. A null text has none, and one
+    that has a string of ``whole`` in it is left whole."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     odd = pc.match_substring_regex(texts, _RUN)
+    for string in whole:
+        odd = pc.or_(odd, pc.match_substring(texts, string))
     # a text left whole is a list of one; the others are cut before each space
     cut = pc.split_pattern(pc.if_else(odd, pa.scalar("", pa.large_string()), texts), " ")
     counts = np.asarray(pc.list_value_length(cut)).astype(np.int64)

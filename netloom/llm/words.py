@@ -29,21 +29,23 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_powers = np.ones(1, np.uint64)
-_inverse_powers = np.ones(1, np.uint64)
+#: Bytes that are hashed with one table of powers; a longer word has its own.
+_BLOCK = 1 << 18
+_kept: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of _BASE and of its inverse modulo 2**64, kept between calls."""
-    global _powers, _inverse_powers
-    if len(_powers) < n:
-        size = 1 << (n - 1).bit_length()
-        steps = np.full(size, _BASE, np.uint64)
-        steps[0] = 1
-        _powers = np.multiply.accumulate(steps)
-        steps[1:] = pow(_BASE, -1, 1 << 64)
-        _inverse_powers = np.multiply.accumulate(steps)
-    return _powers, _inverse_powers
+def _power_tables(n: int) -> list[np.ndarray]:
+    """n powers of _BASE and of its inverse modulo 2**64; those of a block are kept."""
+    if n <= _BLOCK + 1 and _kept:
+        return _kept
+    steps = np.full(max(n, _BLOCK + 1), _BASE, np.uint64)
+    steps[0] = 1
+    powers = np.multiply.accumulate(steps)
+    steps[1:] = pow(_BASE, -1, 1 << 64)
+    tables = [powers, np.multiply.accumulate(steps)]
+    if n <= _BLOCK + 1:
+        _kept.extend(tables)
+    return tables
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,15 +87,26 @@ def scan(texts: pa.Array, blank: np.ndarray = BLANK, prefixes: tuple[int, ...] =
     stops = inside.copy()
     stops[:-1] &= ~inside[1:] | cut[1:n]
     first, last = np.flatnonzero(starts), np.flatnonzero(stops)
-    powers, inverse = _power_tables(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
-
-    def hashed(stop: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-        return _mix((sums[stop] - sums[first]) * inverse[first] + np.asarray(length).astype(np.uint64))
-
-    heads = [np.where(last - first >= k, hashed(np.minimum(first + k, n), 1 << 32 | k), np.uint64(0)) for k in prefixes]
-    return Words(raw, text_ends, np.searchsorted(first, text_ends), first, last, hashed(last + 1, last - first), heads)
+    hashes = np.zeros(len(first), np.uint64)
+    heads = [np.zeros(len(first), np.uint64) for _ in prefixes]
+    at = 0
+    while at < len(first):  # blocks of whole words
+        base = int(first[at])
+        to = max(at + 1, int(np.searchsorted(last, base + _BLOCK)))
+        begin, length = first[at:to] - base, last[at:to] - first[at:to]
+        size = int(last[to - 1]) + 1 - base
+        powers, inverse = _power_tables(size + 1)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum((_LOWER[raw[base : base + size]].astype(np.uint64) + np.uint64(1)) * powers[:size], out=sums[1:])
+
+        def hashed(stop: np.ndarray, tag: np.ndarray | int) -> np.ndarray:
+            return _mix((sums[stop] - sums[begin]) * inverse[begin] + np.asarray(tag).astype(np.uint64))
+
+        hashes[at:to] = hashed(begin + length + 1, length)
+        for head, k in zip(heads, prefixes):
+            head[at:to] = np.where(length >= k, hashed(np.minimum(begin + k, size), 1 << 32 | k), np.uint64(0))
+        at = to
+    return Words(raw, text_ends, np.searchsorted(first, text_ends), first, last, hashes, heads)
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -77,8 +77,7 @@ def test_orc_ids_round_trip(spark, tmp_path):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    texts = _random_texts(120)
+    texts = _random_texts(120) + ["hi <|endoftext|> you", "line\n <|endoftext|><|endoftext|>\t", "<|endoftext|>", "a<|endoftext|>b c"]
     out = str(tmp_path / "ids")
     orcids.write(_docs(spark, texts), out, orcids.read_tokenizer(path))
     want = [e.ids + [0] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
@@ -423,10 +422,9 @@ def test_unit_encoder_equals_library():
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     encoder = orcids.UnitEncoder(orcids.read_tokenizer(path))
     for seed in (8, 9):  # the second meets the first one's kept units
-        texts = _random_texts(300, seed)
+        texts = _random_texts(300, seed) + ["x\n <|endoftext|> y", "two <|endoftext|>  \n <|endoftext|>", "plain <|endof text|>"]
         ends, ids = encoder.encode(pa.array(texts))
         want = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
         assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [e.ids for e in want]
@@ -436,3 +434,30 @@ def test_replay_on_pattern_matches_alone():
     raw = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     ends, ids = bpe.encode_texts(pa.array(["", None]), bpe.vocabulary(raw), regex.compile(public_tokenizers.PATTERN))
     assert ends.tolist() == [0, 0, 0] and len(ids) == 0
+
+
+def test_words_of_any_length_hash_alike():
+    """Blocks of words, and words longer than a block, hash as they do alone."""
+    from netloom.llm import words
+
+    texts = ["Aa bb " * 60_000 + "x" * 300_000 + " cc", "x" * 300_000, "é " + "y" * 100, "aa", None, "  ", "bb cc"]
+    found = words.scan(pa.array(texts), prefixes=(4,))
+    seen = {}
+    for i, t in enumerate(texts):
+        mine = (t or "").lower().split()
+        assert found.ends[i + 1] - found.ends[i] == len(mine)
+        for w, h, head in zip(mine, found.hashes[found.ends[i] :], found.prefixes[0][found.ends[i] :]):
+            alone = seen.setdefault(w, [x[0] for x in (words.scan(pa.array([w])).hashes, words.scan(pa.array([w]), prefixes=(4,)).prefixes[0])])
+            assert [h, head] == alone
+    assert len({h for h, _ in seen.values()}) == len(seen)
+    assert sum(len(t) for t in words._kept) == 2 * (words._BLOCK + 1)
+
+
+def test_scores_beside_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "you scum", 5.0, 1)], "doc_id long, text string, toxicity double, toxicity_insult int")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels, F.lit(True))
+    rows = toxicity.score(docs, model, "_toxicity").first()
+    assert rows["toxicity"] == 5.0 and 0 < rows["_toxicity"] < 0.5
