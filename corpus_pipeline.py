@@ -22,7 +22,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from the labels of the documents it is given, other than those held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.learn(docs, labels, toxicity.may_learn(F.col("doc_id")))
-    return toxicity.score(docs, model).where("toxicity < 0.5").select(*docs.columns)
+    name = "toxicity"
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name = f"_{name}"
+    return toxicity.score(docs, model, name).where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
