@@ -15,8 +15,8 @@ such spaces are tokenized and aligned, and a task keeps what it learned of them
 from step to step.
 ``TokenizerB`` refuses a vocabulary for which that is not so.
 
-What is sent to every task is the counts of at most ``COMMON`` pairs; the
-others are joined. Measures of the ``HOT`` texts with most copies are joined by
+Counts of at most ``COMMON`` pairs are joined by broadcast, the others by
+shuffle. Measures of the ``HOT`` texts with most copies are joined by
 broadcast, so that a text that a third of all documents hold is in no one task;
 any other text has at most one in ``HOT`` of them.
 
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from netloom.llm.units import gather, steps
 from netloom.session import materialize
 
-#: Pairs whose counts are sent to every task: 24 bytes each.
+#: Pairs whose counts are joined by broadcast: two numbers and a flag each.
 COMMON = 500_000
 #: Texts whose measures are joined by broadcast: about 150 bytes each.
 HOT = 1_000
@@ -52,11 +52,10 @@ STEP = 512 << 10
 #: Pieces that a task keeps between steps, of about 300 bytes each; beyond them it
 #: starts anew.
 KEPT = 100_000
-#: Rows of texts with their pairs that a task measures at once.
-ROWS = 500
+
 
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
-_MEASURES = ["n_a", "n_b", "n_groups", "n_links"]
+_COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
 class TokenizerA:
@@ -245,7 +244,7 @@ def align_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     pa.ListArray.from_arrays(firsts, pa.array(keys % span)),
                     pa.ListArray.from_arrays(firsts, pa.array(times.astype(np.int32))),
                 ],
-                names=["key", "copies", *_MEASURES, "groups_sha256", "pairs", "times"],
+                names=["key", "copies", *_COUNTS, "groups_sha256", "pairs", "times"],
             )
 
     return texts.select("text", "copies").mapInArrow(run, schema)
@@ -260,51 +259,33 @@ def pair_counts(aligned: DataFrame, width: int) -> DataFrame:
     return counts.select("pair", "n", (F.col("n") == F.max("n").over(of_b)).alias("best"))
 
 
-def _commonest(counts: DataFrame, most: int) -> pa.Table:
-    """Pairs with the greatest counts, at most ``most``, whole powers of two of
-    the count at a time."""
+def _least_common(counts: DataFrame, most: int) -> float:
+    """The count from which on pairs are common: a power of two that at most
+    ``most`` pairs reach."""
     levels = counts.groupBy(F.floor(F.log2("n")).alias("level")).count().collect()  # 64 at most
     kept, least = 0, 64
     for level, n in sorted(((r["level"], r["count"]) for r in levels), reverse=True):
         if kept + n > most:
             break
         kept, least = kept + n, level
-    return counts.where(F.col("n") >= F.lit(float(2**least))).toArrow()
-
-
-def _measured(aligned: DataFrame, common: pa.Table) -> DataFrame:
-    """The texts with what their common pairs give, n_best and count_sum, and
-    their other pairs as lists."""
-    order = np.argsort(common["pair"].to_numpy())
-    table = tuple(common[c].to_numpy()[order] for c in ("pair", "n", "best"))
-    shared = aligned.sparkSession.sparkContext.broadcast(table)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, n, best = shared.value
-        best = best.astype(np.int64)
-        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-            lists = batch.column("pairs")
-            ends = np.asarray(lists.offsets).astype(np.int64)
-            pairs = np.asarray(lists.values)[ends[0] : ends[-1]]
-            times = np.asarray(batch.column("times").values)[ends[0] : ends[-1]].astype(np.int64)
-            ends = ends - ends[0]
-            at = np.minimum(np.searchsorted(keys, pairs), max(len(keys) - 1, 0))
-            there = keys[at] == pairs if len(keys) else np.zeros(len(pairs), bool)
-            sums = []
-            for values in (best, n):
-                run_ = np.concatenate([[0], np.cumsum(np.where(there, values[at] * times, 0) if len(keys) else np.zeros(len(pairs), np.int64))])
-                sums.append(run_[ends[1:]] - run_[ends[:-1]])
-            rest_ends = np.concatenate([[0], np.cumsum(~there)])[ends].astype(np.int32)
-            rest = [pa.ListArray.from_arrays(pa.array(rest_ends), pa.array(x[~there])) for x in (pairs, times)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("key", "copies", *_MEASURES, "groups_sha256")] + [pa.array(x.astype(np.int64)) for x in sums] + rest,
-                names=["key", "copies", *_MEASURES, "groups_sha256", "n_best", "count_sum", "rest", "rest_times"],
-            )
-
-    return aligned.mapInArrow(
-        run,
-        "key binary, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long, rest array<long>, rest_times array<long>",
-    )
+    return float(2**least)
+
+
+def _measures(aligned: DataFrame, counts: DataFrame, most: int) -> DataFrame:
+    """(key, n_best, count_sum): each text's links, measured by the counts of
+    their pairs. A text's pairs meet the common counts where they lie, and are
+    summed before anything is exchanged; its other pairs are joined."""
+    least = F.lit(_least_common(counts, most))
+    common, rare = counts.where(F.col("n") >= least), counts.where(F.col("n") < least)
+    links = aligned.select("key", F.explode(F.arrays_zip("pairs", "times")).alias("l")).select("key", F.col("l.pairs").alias("pair"), "l.times")
+    sums = [
+        F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("n") * F.col("times")).alias("count_sum"),
+    ]
+    found = links.join(F.broadcast(common), "pair").groupBy("key").agg(*sums)
+    if not rare.isEmpty():
+        others = links.join(F.broadcast(common.select("pair")), "pair", "left_anti")
+        found = found.unionByName(others.join(rare, "pair").groupBy("key").agg(*sums))
+    return found.groupBy("key").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
 
 
 def compare(docs: DataFrame, a_path: str, b_path: str, most: int = COMMON, hot: int = HOT) -> DataFrame:
@@ -314,17 +295,10 @@ def compare(docs: DataFrame, a_path: str, b_path: str, most: int = COMMON, hot:
     distinct = docs.where("text <> ''").groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
     aligned = materialize(align_texts(distinct, a_path, b_path), "aligned_texts")
     counts = materialize(pair_counts(aligned, len(TokenizerB(b_path).bytes)), "aligned_pairs")
-    measured = materialize(_measured(aligned, _commonest(counts, most)), "aligned_measured")
-
-    rare = measured.select("key", F.explode(F.arrays_zip("rest", "rest_times")).alias("r")).join(counts, F.col("r.rest") == F.col("pair"))
-    more = rare.groupBy("key").agg(
-        F.sum(F.when(F.col("best"), F.col("r.rest_times")).otherwise(0)).alias("_best"), F.sum(F.col("n") * F.col("r.rest_times")).alias("_sum")
-    )
     results = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    texts = measured.drop("rest", "rest_times").join(more, "key", "left").select(
-        "key", "copies", *_MEASURES,
-        *[(F.col(a) + F.coalesce(b, F.lit(0))).alias(a) for a, b in (("n_best", "_best"), ("count_sum", "_sum"))],
-        "groups_sha256",
+    sums = _measures(aligned, counts, most)
+    texts = aligned.select("key", "copies", *_COUNTS, "groups_sha256").join(sums, "key", "left").select(
+        "key", "copies", *_COUNTS, *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_best", "count_sum")], "groups_sha256"
     )
     texts = materialize(texts, "aligned_results")
     # the texts with most copies: a bounded number of rows

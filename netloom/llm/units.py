@@ -8,6 +8,7 @@ place; a text that has one is left whole, as a unit of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -16,10 +17,23 @@ import pyarrow.compute as pc
 
 # a space after white space, and before white space or the end
 _RUN = r"[\s\x0b\x1c-\x1f\x85\p{Z}] ([\s\x0b\x1c-\x1f\x85\p{Z}]|\z)"
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim
+except (OSError, AttributeError):  # another C library frees in its own way
+    _LIBC = None
 #: Bytes of text that one step takes at once; one longer text is a step of its own.
 STEP_BYTES = 8 << 20
 
 
+def _trim() -> None:
+    """Give memory that ended steps leave unused back to the system: workers stay
+    alive between tasks, and several of them share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches' rows again, in batches of at most ``size`` bytes of
     ``column`` or of one row; small ones are put together."""
@@ -36,6 +50,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = S
                 if held:
                     yield _joined(held)
                     held, held_bytes = [], 0
+                    _trim()
                     continue
                 to = at + 1
             held.append(batch.slice(at, to - at))
@@ -44,8 +59,10 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = S
             if held_bytes >= size:
                 yield _joined(held)
                 held, held_bytes = [], 0
+                _trim()
     if held:
         yield _joined(held)
+    _trim()
 
 
 def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
