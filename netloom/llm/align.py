@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -51,7 +52,7 @@ STEP = 512 << 10
 
 #: Pieces that a task keeps between steps, of about 300 bytes each; beyond them it
 #: starts anew.
-KEPT = 100_000
+KEPT = 200_000
 
 
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -99,6 +100,12 @@ class TokenizerB:
         return self._model.encode(texts, num_threads=1)
 
 
+@lru_cache(maxsize=1)
+def _tokenizers(a_path: str, b_path: str) -> tuple[TokenizerA, TokenizerB]:
+    """Read once by each worker."""
+    return TokenizerA(a_path), TokenizerB(b_path)
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if
     it prints in Latin-1, else the next free one from U+0100 on."""
@@ -211,7 +218,7 @@ def align_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
     schema = "key binary, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = TokenizerA(a_path), TokenizerB(b_path)
+        a, b = _tokenizers(a_path, b_path)
         numbers, pieces = _Numbers(), Pieces([], a, b)
         for batch in steps(batches, size=STEP):
             if len(numbers) > KEPT:
