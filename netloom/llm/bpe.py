@@ -4,8 +4,10 @@ Spark splits the corpus into steps of a bounded size. A step keeps each
 distinct word (match of the pattern) once, as a linked list of bytes within
 one array, with an inverted index from merge rank to the positions of the
 pairs that this merge joins. The merges are replayed in rank order over the
-whole step: one merge is applied at all words that hold its pair, and only
-the pairs with the two touched neighbours are looked up and indexed again.
+whole step: one merge is applied at all places that hold its pair, and only
+the pairs with the two touched neighbours are looked up and indexed again. A
+merge that makes a pair of lower rank holds back those to its right in its word
+until that pair is joined.
 Words are encoded apart from each other, so the step's size changes nothing
 in the result, and no rows cross the network.
 
@@ -117,17 +119,44 @@ def replay(words: Sequence[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.nd
     pair[inner] = vocab.joined(token[inner], token[inner + 1]) if len(inner) else pair[inner]
     index = PairIndex()
     index.add(pair[inner], inner)
+
+    def makes_lower(at: np.ndarray, rank: int) -> np.ndarray:
+        """Whether a merge, done after those to its left, makes a pair of lower rank."""
+        right = after[at]
+        out = np.zeros(len(at), bool)
+        go = np.flatnonzero(~ends_word[right])
+        out[go] = vocab.joined(np.full(len(go), rank), token[after[right[go]]]) < rank
+        left = before[at]
+        go = np.flatnonzero((left >= 0) & ~ends_word[left])
+        # the token to the left may be the part of the merge before
+        merged = np.zeros(len(at), bool)
+        merged[1:] = left[1:] == right[:-1]
+        beside = np.where(merged[go], rank, token[left[go]])
+        out[go] |= vocab.joined(beside, np.full(len(go), rank)) < rank
+        return out
+
     while index.heap:
         rank, at = index.pop()
         at = at[alive[at] & (pair[at] == rank)]  # pairs that a neighbour's merge has ended
         if not len(at):
             continue
-        # one merge in a word at a time, the leftmost: its new pairs may come first
-        lead = np.ones(len(at), bool)
-        lead[1:] = word[at[1:]] != word[at[:-1]]
-        if not lead.all():
-            index.add(np.full((~lead).sum(), rank), at[~lead])
-            at = at[lead]
+        # from the left, each pair that the one before it leaves; in a word up to the
+        # first merge that makes a pair of lower rank, which comes before the others
+        fresh = np.ones(len(at), bool)
+        fresh[1:] = after[at[:-1]] != at[1:]
+        runs = np.flatnonzero(fresh)
+        odd = (np.arange(len(at)) - np.repeat(runs, np.diff(np.append(runs, len(at))))) % 2
+        picked = at[odd == 0]
+        lower = makes_lower(picked, rank)
+        if lower.any():
+            seen = np.cumsum(lower) - lower  # of the merges before, in all words
+            leads = np.flatnonzero(np.append(True, word[picked[1:]] != word[picked[:-1]]))
+            sizes = np.diff(np.append(leads, len(picked)))
+            go = seen == np.repeat(seen[leads], sizes)
+            rest = np.setdiff1d(at, picked[go])
+            index.add(np.full(len(rest), rank), rest)
+            picked = picked[go]
+        at = picked
         right = after[at]
         token[at] = rank
         alive[right] = False
@@ -141,7 +170,7 @@ def replay(words: Sequence[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.nd
         right_side = at[~ends_word[at]]
         left = before[at]
         left_side = left[(left >= 0) & ~ends_word[left]]
-        touched = np.concatenate([left_side, right_side])
+        touched = np.union1d(left_side, right_side)
         if len(touched):
             pair[touched] = vocab.joined(token[touched], token[after[touched]])
             index.add(pair[touched], touched)

@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from netloom.llm.graph import components
 from netloom.llm.units import steps
@@ -299,8 +300,9 @@ def derive(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     return rows.select("x", "y", "n", "m", "near", low.alias("low"), high.alias("high"))
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, class, component_id) of every document."""
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, s, c) of every document: set size, class, and the least class
+    of its component."""
     surveyed = materialize(survey(docs), "jaccard_survey", partition_by=["kind"])
     rows = surveyed.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), F.col("c").alias("s"))
     common = common_shingles(surveyed.where("kind = 1").select("a", "b"))
@@ -322,7 +324,12 @@ def join(docs: DataFrame) -> DataFrame:
     late = _links(overlaps(left, docs, classes))
     comps = components(comps.select(F.col("v").alias("a"), F.col("c").alias("b")).union(derived).union(late))
     rows = rows.join(comps.select(F.col("v").alias("s"), "c"), "s", "left").withColumn("c", F.coalesce("c", "s"))
-    rows = materialize(rows, "jaccard_rows")
+    return materialize(rows, "jaccard_rows")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, class, component_id) of every document."""
+    rows = _rows(docs)
     ids = rows.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     rows = rows.join(ids, "c", "left")
     return rows.select(
@@ -331,16 +338,38 @@ def join(docs: DataFrame) -> DataFrame:
     )
 
 
+def _with_class(docs: DataFrame) -> DataFrame:
+    """``docs`` with a column ``_class``: the signature of its shingles, 0 without any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            classes = pa.array(_signatures(*shingle_sets(batch.column("text"), SIZE)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, classes], names=[*batch.schema.names, "_class"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_class", LongType())]))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, that whose doc_id is the
-    component's id. Documents without shingles stay, and so do those of
-    components without a doc_id; rows equal in doc_id and text become one."""
-    kept = join(docs).where("component_id is null or doc_id = component_id").groupBy(_doc()).agg(F.count("*").alias("n"))
-    kept = materialize(kept, "jaccard_kept")
-    ids = kept.select("_doc")
+    """``docs`` with one row of each component: that of the least doc_id (a null
+    one comes last), then the least class, then the least hash of its text.
+    Documents without shingles stay, those equal in doc_id and text as one row."""
+    rows = _rows(docs)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "s"))
+    best = rows.where("n > 0").groupBy("c").agg(least.alias("k")).select("k.doc_id", "k.s")
+    blank = rows.where("n = 0").select("doc_id", "s").distinct()
+    kept = materialize(best.union(blank).select(_doc(), F.col("s").alias("_class")), "jaccard_kept")
+    ids = kept.select("_doc").distinct()
     if kept.count() <= SENT:
         ids = F.broadcast(ids)
-    rows = docs.select("*", _doc()).join(ids, "_doc", "left_semi")
-    if not kept.where("n > 1").isEmpty():  # only then can rows be equal
-        rows = rows.withColumn("_text", F.xxhash64("text")).dropDuplicates(["_doc", "_text"])
-    return rows.select(*docs.columns)
+    found = docs.select("*", _doc()).join(ids, "_doc", "left_semi")
+    # ids that several rows share name no row; their classes tell which to take
+    shared = rows.select(_doc()).groupBy("_doc").agg(F.count("*").alias("n")).where("n > 1").select("_doc")
+    shared = materialize(shared.join(ids, "_doc", "left_semi"), "jaccard_shared")
+    if shared.isEmpty():
+        return found.select(*docs.columns)
+    alone = found.join(shared, "_doc", "left_anti").select(*docs.columns)
+    several = _with_class(found.join(shared, "_doc", "left_semi")).join(kept, ["_doc", "_class"], "left_semi")
+    several = materialize(several.withColumn("_text", F.xxhash64("text")), "jaccard_several")
+    of_class = several.where("_class <> 0").groupBy("_doc", "_class").agg(F.min("_text").alias("_text"))
+    first = several.join(of_class, ["_doc", "_class", "_text"], "left_semi").unionByName(several.where("_class = 0"))
+    return alone.union(first.dropDuplicates(["_doc", "_class", "_text"]).select(*docs.columns))

@@ -4,7 +4,9 @@ Every version of a text is a blob, addressed by the SHA-256 of its UTF-8
 bytes. A ledger holds the (blob, rule version) pairs already scanned with
 their findings; a scan runs each rule only over blobs that the ledger does
 not have for that rule's version, once for all copies, and joins the
-findings back to every path that holds the blob.
+findings back to every path that holds the blob. ``Ledger`` keeps these rows
+in a folder that outlives a run: an update appends what is new, and a job that
+fails before its commit leaves the folder as it was.
 
 Everything is a DataFrame function; matching uses ``split`` and
 ``regexp_extract_all`` (the pieces between matches and the matches, which
@@ -20,9 +22,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netloom.session import materialize
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -46,15 +50,16 @@ HEX = Rule("hex", r"[0-9a-f]+", 0, 24)
 BASE = (ASSIGN, ACCESS, HEX)
 #: A private key is its header and all up to its END line, if no other line of
 #: dashes comes before that. Without END it is the header, the key's own header
-#: lines and the base64 lines that follow; the last of these may be short. No
-#: group repeats without a bound, as each turn takes stack.
+#: lines and the base64 lines that follow; the last of these may be short. The
+#: group that repeats without a bound is possessive: it takes no stack, and what
+#: it stops at can only be a run of five dashes or the end.
 PRIVATE_KEY = Rule(
     "private_key",
     r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
-    r"(?:[^-]*(?:-{1,4}[^-]+){0,200}-{5,}END (?:[A-Z]+ )*PRIVATE KEY-----"
+    r"(?:[^-]*(?:-{1,4}+[^-]++)*+-{5,}END (?:[A-Z]+ )*PRIVATE KEY-----"
     r"|(?:\s*(?:Proc-Type|DEK-Info):[^\r\n]*){0,2}[A-Za-z0-9+/=\s\\]*[A-Za-z0-9+/=]{16,}"
     r"(?:\s+[A-Za-z0-9+/]{1,15}={1,2}|[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/]+(?m:$))?)?",
-    version=2,
+    version=3,
 )
 #: Rules beyond the base: private keys, signed tokens, vendor tokens.
 MORE = (
@@ -64,6 +69,9 @@ MORE = (
 )
 RULES = BASE + MORE
 
+#: Unseen blobs (64 bytes each) that are broadcast; beyond it all texts are
+#: grouped by blob, and the ledger tells which pairs are left to scan.
+SENT = 1 << 18
 FINDING = "array<struct<start:int,end:int,rank:int,kind:string>>"
 
 
@@ -131,14 +139,47 @@ def scan(versions: DataFrame, rules: Sequence[Rule] = RULES, ledger: DataFrame |
     return found.select("blob", F.explode("f").alias("f")).select("blob", "f.kind", "f.version", "f.spans")
 
 
+def _current(rules: Sequence[Rule]) -> Column:
+    return reduce(lambda a, b: a | b, [(F.col("kind") == r.kind) & (F.col("version") == r.version) for r in rules])
+
+
+class Ledger:
+    """The (blob, kind, version, spans) rows of all scans so far, in the folder
+    ``path`` (shared by all executors), which is made if it is not there."""
+
+    SCHEMA = f"blob string, kind string, version int, spans {FINDING}"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        spark.createDataFrame([], self.SCHEMA).write.mode("ignore").parquet(path)
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+
+    def unseen(self, versions: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+        """(blob): those of ``versions`` that some rule's current version has not
+        scanned. Only hashes cross the network."""
+        pairs = self.rows().where(_current(rules)).select("blob", "kind").distinct()
+        done = pairs.groupBy("blob").agg(F.count("*").alias("n")).where(F.col("n") == len(rules))
+        return versions.select(blob_id(F.col("text")).alias("blob")).distinct().join(done, "blob", "left_anti")
+
+    def update(self, versions: DataFrame, rules: Sequence[Rule] = RULES) -> None:
+        """Scan the pairs that are not in the ledger and append them, in one commit.
+        Where few blobs are new, only their texts cross the network."""
+        new = materialize(self.unseen(versions, rules), "ledger_unseen")
+        if new.count() <= SENT:
+            at = versions.select("text", blob_id(F.col("text")).alias("blob"))
+            versions = at.join(F.broadcast(new), "blob", "left_semi").select("text")
+        # a blob with some of its pairs seen is scanned for the others alone
+        scan(versions, rules, self.rows().where(_current(rules))).write.mode("append").parquet(self.path)
+
+
 def findings(scanned: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """(blob, spans): all spans that the rules' current versions found in a
     blob, by start, then in the order of the rules. Blobs without any are
-    left out."""
-    current = scanned.where("size(spans) > 0")
-    keep = reduce(lambda a, b: a | b, [(F.col("kind") == r.kind) & (F.col("version") == r.version) for r in rules])
-    current = current.where(keep)
-    return current.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
+    left out; a pair that two scans at once appended counts once."""
+    current = scanned.where("size(spans) > 0").where(_current(rules))
+    return current.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_set("spans"))).alias("spans"))
 
 
 def paths_with_findings(versions: DataFrame, found: DataFrame, path: str) -> DataFrame:
@@ -149,10 +190,12 @@ def paths_with_findings(versions: DataFrame, found: DataFrame, path: str) -> Dat
     return rows.select(path, F.coalesce("spans", F.array().cast(FINDING)).alias("spans"))
 
 
-def redact(docs: DataFrame, rules: Sequence[Rule] = RULES, mask: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every span found in its texts replaced by ``mask``; overlapping
-    spans become one. Null texts stay null, n_chars, if there, is counted anew."""
-    found = findings(scan(docs, rules), rules)
+    spans become one. ``ledger`` is brought up to date first, and the findings
+    come from it. Null texts stay null, n_chars, if there, is counted anew."""
+    ledger.update(docs, rules)
+    found = findings(ledger.rows(), rules)
     rows = docs.withColumn("_blob", blob_id(F.col("text"))).join(found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "_blob", "left")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 

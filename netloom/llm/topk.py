@@ -17,7 +17,8 @@ by candidates, and blocks hold ``BLOCK`` vectors at most.
 Edge cases: vectors that are null or hold a null or a component that is not
 finite take no part; shorter vectors are padded with zeros; an empty vector
 scores 0 with all; equal scores go by id, repeated rows are candidates of
-their own, and a null id takes no part; with fewer candidates than k, all are
+their own, and a null id takes no part; an id that several query rows share is asked
+once, with the least of their vectors, and none of its rows answers it; with fewer candidates than k, all are
 returned; an empty table gives an empty result. Components must stay below
 2**20 or so in size for scores to fit their type. Other columns are not read.
 """
@@ -197,7 +198,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK)
     dealt = materialize(dealt, "topk_blocks")
     longest = dealt.groupBy("block").agg(F.sqrt(F.max("norm2")).alias("longest"))
     longest = materialize(longest, "topk_lengths")
-    queries = rows.where(is_query).select("vec_id", "v", "norm2")
+    asked_once = rows.where(is_query).groupBy("vec_id").agg(F.min(F.struct("v", "norm2")).alias("q"))
+    queries = asked_once.select("vec_id", "q.v", "q.norm2")
     first, last = longest.agg(F.max_by("block", "longest"), F.max("block")).first()
     opening = queries.select(F.lit(first if first is not None else 0).alias("block"), "vec_id", "v", F.lit(-1e300).alias("floor"))
     found = materialize(_top(_pairs(dealt.where(F.col("block") == F.lit(first)), opening, basis, head, dim, k), k), "topk_first")

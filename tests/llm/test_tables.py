@@ -45,6 +45,14 @@ def test_topk_equals_brute_force(spark, block):
     assert got == want
 
 
+def test_topk_asks_a_repeated_query_once(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [2.0, 0.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [0.5, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in topk.search(frame, F.col("vec_id") == 0).orderBy("rank").collect()]
+    unit = 1024 * 1024
+    assert found == [(0, 1, 1, 3 * unit), (0, 2, 1, 3 * unit), (0, 3, 2, unit // 2)]
+
+
 def test_topk_of_few_and_none(spark):
     few = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk.search(few, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 2048 * 1024)]
