@@ -9,12 +9,14 @@ the one before it left.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netloom.llm import bpe, jaccard, mixing, secrets, toxicity
-from netloom.session import materialize
+from netloom.session import materialize, scratch_root
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with the secrets found in it masked."""
-    return secrets.redact(docs)
+    ledger = secrets.Ledger(spark, f"{scratch_root(spark)}/ledger-{uuid.uuid4().hex}")
+    return secrets.redact(docs, ledger)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
