@@ -368,6 +368,11 @@ QUERIES |= {
     "stored_objective": QUERIES["objective_value"],
     "stored_listing": QUERIES["constraint_listing"],
     "stored_text": QUERIES["constraint_text"],
+    "added_demand_statistics": QUERIES["demand_statistics"],
+    "added_expected_shipments": QUERIES["expected_shipments"],
+    "added_warehouse_utilization": QUERIES["warehouse_utilization"],
+    "added_cost_summary": QUERIES["cost_summary"],
+    "versioned_append": "SELECT store, scenario_id, round(amount, 2) AS amount FROM demands",
     "stored_violations": """SELECT 'ctSupply_' || a.location || '_' || a.store AS cnstraint, 'GE' AS sense, 0.0E0 AS rhs, -1.0E0 AS activity,
             1.0E0 AS violation FROM assign95 a WHERE set_id = 'all'
         UNION ALL

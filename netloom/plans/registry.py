@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.operators import cutting, decode, evaluate, geo, scenario, siting, tableau
+from netloom.operators import cutting, decode, evaluate, geo, scenario, siting, states, tableau
 from netloom.session import materialize
 from netloom.sources.collection import Collection, key_violations
 from netloom.sources.star import Star
@@ -519,6 +519,71 @@ def cost_summary(spark, d):
     return _round(scenario.cost_summary(st.objectives, st.scenarios), 2, ["weighted_cost"])
 
 
+def _add_last(st: Star, table: str, state: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame, DataFrame], DataFrame],
+              name: str) -> DataFrame:
+    """The state of all scenarios but the last, written, merged with that of the
+    last one, which is read from its own folder."""
+    last = st.scenarios.select(F.max("id")).first()[0]
+    rows = getattr(st, table)
+    earlier = materialize(state(rows.where(F.col("scenario_id") < last)), name)
+    return merge(earlier, state(rows.where(F.col("scenario_id") == last)))
+
+
+@query
+def added_demand_statistics(spark, d):
+    """A1 with the last scenario added to the state of the earlier ones (D5's loop)."""
+    st = Star(spark, d)
+    state = _add_last(st, "demands", lambda x: states.demand_state(x, st.scenarios), states.merge_demand, "demand_state")
+    return _round(states.demand_statistics(state), 6, ["avg_amount", "stddev_amount", "corr_total_demand"])
+
+
+@query
+def added_expected_shipments(spark, d):
+    """A6 with the last scenario added to the state of the earlier ones."""
+    st = Star(spark, d)
+    state = _add_last(st, "shipments", lambda x: states.shipment_state(x, st.scenarios),
+                      lambda a, b: states.merge_sums(a, b, ["location", "store"]), "shipment_state")
+    return _round(states.expected_shipments(state, st.scenarios), 6, ["probability", "expected_shipment"])
+
+
+@query
+def added_warehouse_utilization(spark, d):
+    """A9 (over A8's rows) with the last scenario added to the state of the earlier ones."""
+    st = Star(spark, d)
+    state = _add_last(st, "shipments", lambda x: states.load_state(x, st.scenarios), DataFrame.unionByName, "load_state")
+    return _round(states.warehouse_utilization(state, st.open_warehouses), 6, ["utilization"])
+
+
+@query
+def added_cost_summary(spark, d):
+    """A10 with the last scenario added to the state of the earlier ones."""
+    st = Star(spark, d)
+    state = _add_last(st, "objectives", lambda x: states.cost_state(x, st.scenarios),
+                      lambda a, b: states.merge_sums(a, b, ["d_expr"]), "cost_state")
+    return _round(state, 2, ["weighted_cost"])
+
+
+@query
+def versioned_append(spark, d):
+    """D4 and D5 over published versions: demands replaced by those of the earlier
+    scenarios, the last scenario's appended under their key, and the append tried
+    again, which adds nothing."""
+    import uuid
+
+    from netloom import schemas
+    from netloom.session import scratch_root
+    from netloom.sources.versions import Versions
+
+    st = Star(spark, d)
+    last = st.scenarios.select(F.max("id")).first()[0]
+    path = f"{scratch_root(spark)}/versions-{uuid.uuid4().hex}"
+    store = Versions(spark, path, {"demands": schemas.DEMANDS}, {"demands": ["store", "scenario_id"]})
+    store.commit("earlier", replace={"demands": st.demands.where(F.col("scenario_id") < last)})
+    for _ in range(2):
+        store.commit(f"scenario {last}", append={"demands": st.demands.where(F.col("scenario_id") == last)})
+    return _round(store.read()["demands"], 2, ["amount"])
+
+
 @query
 def open_summary(spark, d):
     return _round(scenario.open_summary(Star(spark, d, materialize_lanes=False).scenario_open), 6, ["avg_capacity", "stddev_capacity"])
