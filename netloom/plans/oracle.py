@@ -372,6 +372,11 @@ QUERIES |= {
     "added_expected_shipments": QUERIES["expected_shipments"],
     "added_warehouse_utilization": QUERIES["warehouse_utilization"],
     "added_cost_summary": QUERIES["cost_summary"],
+    "matrix_tiles": f"""SELECT cnstraint AS "row", variable AS "column", round(sum(coefficient), 4) AS value
+        FROM ({_ALL_ENTRIES}) e GROUP BY cnstraint, variable HAVING sum(coefficient) <> 0""",
+    "matrix_tiles_product": f"""SELECT cnstraint AS "row", round(sum(coefficient), 2) AS value FROM ({_ALL_ENTRIES}) e GROUP BY cnstraint""",
+    "production_tiles": f"""SELECT pattern AS "row", item AS "column", CAST(sum(number) AS DOUBLE) AS value
+        FROM ({QUERIES["production"]}) p GROUP BY pattern, item HAVING sum(number) <> 0""",
     "versioned_append": "SELECT store, scenario_id, round(amount, 2) AS amount FROM demands",
     "stored_violations": """SELECT 'ctSupply_' || a.location || '_' || a.store AS cnstraint, 'GE' AS sense, 0.0E0 AS rhs, -1.0E0 AS activity,
             1.0E0 AS violation FROM assign95 a WHERE set_id = 'all'

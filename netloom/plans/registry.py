@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.operators import cutting, decode, evaluate, geo, scenario, siting, states, tableau
+from netloom.operators import cutting, decode, evaluate, geo, scenario, siting, states, tableau, tiles
 from netloom.session import materialize
 from netloom.sources.collection import Collection, key_violations
 from netloom.sources.star import Star
@@ -141,6 +141,30 @@ def constraint_matrix(spark, d):
     return evaluate.constraint_matrix(_entries(st), rows, variables)
 
 
+@query
+def matrix_tiles(spark, d):
+    """A14 for every variable: the whole matrix in dense tiles, unpacked to its cells."""
+    packed = tiles.to_tiles(_entries(Star(spark, d)), "cnstraint", "variable", "coefficient")
+    return _round(tiles.from_tiles(packed), 4, ["value"])
+
+
+@query
+def matrix_tiles_product(spark, d):
+    """Each constraint's sum of coefficients: the tiles times a vector of ones, one for each variable."""
+    entries = _entries(Star(spark, d))
+    packed = tiles.to_tiles(entries, "cnstraint", "variable", "coefficient")
+    ones = entries.select("variable").distinct().withColumn("x", F.lit(1.0))
+    return _round(tiles.times(packed, ones, "variable", "x"), 2, ["value"])
+
+
+@query
+def production_tiles(spark, d):
+    """A12 as a table of patterns by items, for every item: dense tiles, unpacked to their cells."""
+    st = Star(spark, d)
+    made = cutting.production(st.cut_usages, cutting.pattern_widths(st.cut_slices, st.cut_orders), st.cut_slices)
+    return tiles.from_tiles(tiles.to_tiles(made, "pattern", "item", "number"))
+
+
 # natural keys of the base tables (fixed values of the star schema)
 BASE_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
              "supplier": ["s_suppkey"], "part": ["p_partkey"]}
