@@ -32,7 +32,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from netloom.llm.units import gather, split_units, steps
 
 #: Bytes of text in a step.
-STEP = 4 << 20
+STEP = 1 << 20
 _NONE = np.iinfo(np.int32).max
 
 
