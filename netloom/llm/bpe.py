@@ -32,7 +32,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from netloom.llm.units import gather, split_units, steps
 
 #: Bytes of text in a step.
-STEP = 1 << 20
+STEP = 2 << 20
 _NONE = np.iinfo(np.int32).max
 
 
@@ -140,23 +140,24 @@ def replay(words: Sequence[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.nd
         at = at[alive[at] & (pair[at] == rank)]  # pairs that a neighbour's merge has ended
         if not len(at):
             continue
-        # from the left, each pair that the one before it leaves; in a word up to the
-        # first merge that makes a pair of lower rank, which comes before the others
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = after[at[:-1]] != at[1:]
-        runs = np.flatnonzero(fresh)
-        odd = (np.arange(len(at)) - np.repeat(runs, np.diff(np.append(runs, len(at))))) % 2
-        picked = at[odd == 0]
-        lower = makes_lower(picked, rank)
-        if lower.any():
-            seen = np.cumsum(lower) - lower  # of the merges before, in all words
-            leads = np.flatnonzero(np.append(True, word[picked[1:]] != word[picked[:-1]]))
-            sizes = np.diff(np.append(leads, len(picked)))
-            go = seen == np.repeat(seen[leads], sizes)
-            rest = np.setdiff1d(at, picked[go])
-            index.add(np.full(len(rest), rank), rest)
-            picked = picked[go]
-        at = picked
+        if (word[at[1:]] == word[at[:-1]]).any():
+            # from the left, each pair that the one before it leaves; in a word up to the
+            # first merge that makes a pair of lower rank, which comes before the others
+            fresh = np.ones(len(at), bool)
+            fresh[1:] = after[at[:-1]] != at[1:]
+            runs = np.flatnonzero(fresh)
+            odd = (np.arange(len(at)) - np.repeat(runs, np.diff(np.append(runs, len(at))))) % 2
+            picked = at[odd == 0]
+            lower = makes_lower(picked, rank)
+            if lower.any():
+                seen = np.cumsum(lower) - lower  # of the merges before, in all words
+                leads = np.flatnonzero(np.append(True, word[picked[1:]] != word[picked[:-1]]))
+                sizes = np.diff(np.append(leads, len(picked)))
+                go = seen == np.repeat(seen[leads], sizes)
+                rest = np.setdiff1d(at, picked[go])
+                index.add(np.full(len(rest), rank), rest)
+                picked = picked[go]
+            at = picked
         right = after[at]
         token[at] = rank
         alive[right] = False
