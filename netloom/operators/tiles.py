@@ -12,11 +12,8 @@ take no part; an empty table has no names and no tiles.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +48,12 @@ def _with_id(cells: DataFrame, ids: DataFrame, name: str, out: str) -> DataFrame
     return salted_join(cells, ids, name, heavy_keys(cells, name)).drop(name)
 
 
+def _dense(at: str, value: str, size: int, empty: Column) -> Column:
+    """Aggregate: the array of ``size`` that has each ``value`` at ``at``, else ``empty``."""
+    held = F.map_from_entries(F.collect_list(F.struct(at, value)))
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: F.coalesce(F.try_element_at(held, k), empty))
+
+
 def to_tiles(cells: DataFrame, row: str, column: str, value: str, height: int = HEIGHT, width: int = WIDTH) -> Tiles:
     """The tiles of ``cells``, with a line for each value of ``row`` and a column
     for each one of ``column``."""
@@ -64,16 +67,13 @@ def to_tiles(cells: DataFrame, row: str, column: str, value: str, height: int =
 
     placed = placed.select(
         block("i", height).alias("row_block"), block("j", width).alias("column_block"),
-        (F.pmod("i", F.lit(height)) * width + F.pmod("j", F.lit(width))).cast("int").alias("at"), "v",
+        F.pmod("i", F.lit(height)).cast("int").alias("line"), F.pmod("j", F.lit(width)).cast("int").alias("at"), "v",
+    )
+    # a line of a tile has width cells at most, a tile height lines
+    lines = placed.groupBy("row_block", "column_block", "line").agg(_dense("at", "v", width, F.lit(0.0)).alias("cells"))
+    blocks = lines.groupBy("row_block", "column_block").agg(
+        F.flatten(_dense("line", "cells", height, F.array_repeat(F.lit(0.0), width))).alias("values")
     )
-
-    # a block holds height x width cells at most; numpy fills it in one step
-    def dense(part: pd.DataFrame) -> pd.DataFrame:
-        values = np.zeros(height * width)
-        values[part["at"].to_numpy()] = part["v"].to_numpy()
-        return pd.DataFrame({"row_block": part["row_block"].iloc[:1], "column_block": part["column_block"].iloc[:1], "values": [values]})
-
-    blocks = placed.groupBy("row_block", "column_block").applyInPandas(dense, "row_block long, column_block long, values array<double>")
     return Tiles(rows, columns, blocks, height, width)
 
 
@@ -93,23 +93,18 @@ def times(tiles: Tiles, x: DataFrame, name: str, value: str) -> DataFrame:
     """(row, value): the product with a vector given by column names; a column
     that ``x`` lacks counts as 0. A tile meets its block of the vector once."""
     vector = x.select(F.col(name).alias("name"), F.col(value).cast("double").alias("v")).join(tiles.columns, "name")
-    parts = vector.groupBy(F.floor(F.col("id") / tiles.width).alias("column_block")).agg(
-        F.collect_list(F.struct(F.pmod("id", F.lit(tiles.width)).cast("int").alias("at"), "v")).alias("x")
+    summed = vector.groupBy("id").agg(F.sum("v").alias("v")).select(
+        F.floor(F.col("id") / tiles.width).alias("column_block"), F.pmod("id", F.lit(tiles.width)).cast("int").alias("at"), "v"
     )
-    height, width = tiles.height, tiles.width
-
-    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            ids, sums = [], []
-            for block, values, x in zip(b["row_block"], b["values"], b["x"]):
-                v = np.zeros(width)
-                for cell in x:
-                    v[cell["at"]] += cell["v"]
-                ids.append(block * height + np.arange(height))
-                sums.append(np.asarray(values).reshape(height, width) @ v)
-            if ids:
-                yield pd.DataFrame({"id": np.concatenate(ids), "v": np.concatenate(sums)})
-
-    products = tiles.blocks.join(parts, "column_block").select("row_block", "values", "x").mapInPandas(multiply, "id long, v double")
+    parts = summed.groupBy("column_block").agg(_dense("at", "v", tiles.width, F.lit(0.0)).alias("x"))
+    width = tiles.width
+
+    def line(r: Column) -> Column:
+        terms = F.zip_with(F.slice("values", r * width + 1, width), F.col("x"), lambda c, x: c * x)
+        return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
+
+    sums = F.transform(F.sequence(F.lit(0), F.lit(tiles.height - 1)), line)
+    met = tiles.blocks.join(parts, "column_block").select("row_block", F.posexplode(sums).alias("r", "v"))
+    products = met.select((F.col("row_block") * tiles.height + F.col("r")).alias("id"), "v")
     sums = products.groupBy("id").agg(F.sum("v").alias("v"))
     return tiles.rows.join(sums, "id", "left").select(F.col("name").alias("row"), F.coalesce("v", F.lit(0.0)).alias("value"))
