@@ -385,6 +385,22 @@ QUERIES |= {
         WHERE s.store NOT IN (SELECT store FROM assign95 WHERE set_id = 'all')""",
 }
 
+# a segment meets a rectangle if their boxes do and the corners are not all on one side of its line
+_SIDES = ", ".join(
+    f"(to_lon - from_lon) * ({y}E0 - from_lat) - (to_lat - from_lat) * ({x}E0 - from_lon)" for x in (-112, -104) for y in (31, 35)
+)
+QUERIES |= {
+    **{f"viewport_{t}": f"""SELECT * FROM ({QUERIES[f"layer_{t}"]}) p
+        WHERE lon BETWEEN -112.0E0 AND -104.0E0 AND lat BETWEEN 31.0E0 AND 35.0E0""" for t in ("warehouses", "stores")},
+    "viewport_routes": f"""SELECT * FROM (SELECT r.location || ' -> ' || r.store AS feature_id, 'LineString' AS geometry_type,
+            a.lon AS from_lon, a.lat AS from_lat, b.lon AS to_lon, b.lat AS to_lat,
+            'From: ' || r.location || '<br />To: ' || r.store AS caption, '#FF0000' AS color
+            FROM routes r JOIN map_coordinates a ON r.location = a.location JOIN map_coordinates b ON r.store = b.location) l
+        WHERE least(from_lon, to_lon) <= -104.0E0 AND greatest(from_lon, to_lon) >= -112.0E0
+        AND least(from_lat, to_lat) <= 35.0E0 AND greatest(from_lat, to_lat) >= 31.0E0
+        AND least({_SIDES}) <= 0 AND greatest({_SIDES}) >= 0""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     ctes = ",\n".join(f"{n} AS ({q})" for n, q in CTES)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from netloom.operators import cutting, decode, evaluate, geo, scenario, siting, states, tableau, tiles
 from netloom.session import materialize
 from netloom.sources.collection import Collection, key_violations
+from netloom.sources.map_store import MapStore, Viewport
 from netloom.sources.star import Star
 from netloom.sources.tableau_store import TableauStore
 
@@ -769,3 +770,30 @@ def layer_routes(spark, d):
     st = Star(spark, d)
     shown = geo.routes_to_show(st.routes, _plan_pairs(st))
     return geo.layer_routes(geo.routes_geo(shown, st.map_coordinates), [("location", "From"), ("store", "To")])
+
+
+# the part of the map that the viewport queries show, in degrees
+VIEW = Viewport(west=-112.0, south=31.0, east=-104.0, north=35.0)
+
+
+def _shown(layer: DataFrame) -> DataFrame:
+    """The layer stored by place, and what the viewport shows of it."""
+    return MapStore.write(layer).viewport(VIEW)
+
+
+@query
+def viewport_warehouses(spark, d):
+    return _shown(layer_warehouses(spark, d))
+
+
+@query
+def viewport_stores(spark, d):
+    return _shown(layer_stores(spark, d))
+
+
+@query
+def viewport_routes(spark, d):
+    """All routes stored in each cell that they cross; those that cross the viewport."""
+    st = Star(spark, d)
+    routes = geo.routes_geo(st.routes, st.map_coordinates)
+    return _shown(geo.layer_routes(routes, [("location", "From"), ("store", "To")]))
