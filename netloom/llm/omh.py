@@ -1,7 +1,8 @@
 """Order MinHash fingerprints of documents, from built-in functions only.
 
 A text's k-mers are its runs of ``K`` code points, white space as it is, each
-numbered by how often the same k-mer came before it. All are hashed onto a circle; slot j of the
+numbered by how often the same k-mer came before it. All are hashed onto a
+circle, a k-mer's first by the k-mer alone; slot j of the
 fingerprint starts at the j-th of ``SLOTS`` even points and takes the ``PICK``
 numbered k-mers that come first from there on, which are the minimal ones
 under that slot's order of the hashes. They are put back into text order and
@@ -28,10 +29,14 @@ K = 7
 PICK = 2
 SLOTS = 64
 _BIN_BITS = 6  # SLOTS = 2 ** _BIN_BITS
-#: Matches nothing, at each code point (not inside a surrogate pair) that K - 1 others follow.
-_KMER = rf"(?s)(?=([^\x{{DC00}}-\x{{DFFF}}].{{{K - 1}}}))"
-_LOW_32 = 0xFFFFFFFF
-_POSITION = (1 << 31) - 1  # below the 32 bits of a hash
+#: Code points whose k-mers are taken from one short string.
+_STRIDE = 32
+#: Each _STRIDE code points, with the K - 1 that follow them.
+_BLOCK = rf"(?s)(?=(.{{1,{_STRIDE + K - 1}}})).{{1,{_STRIDE}}}"
+_POSITION = (1 << 31) - 1
+#: 31 bits of a hash, above a bit of 0 and the 31 bits of a place.
+_HIGH = _POSITION << 32
+_BIN = 1 << (63 - _BIN_BITS)  # one bin of packed values
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -40,82 +45,135 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _packed(hashed: Column, position: Column) -> Column:
-    """32 bits of a hash above a position, in a long that is not negative."""
-    return F.shiftleft(hashed.bitwiseAND(F.lit(_LOW_32)), 31).bitwiseOR(position.cast("long"))
+    """31 bits of a hash above a position, in a long that is not negative."""
+    return hashed.bitwiseAND(F.lit(_HIGH)).bitwiseOR(position.cast("long"))
 
 
 def _hash(packed: Column) -> Column:
-    return F.shiftright(packed, 31)
+    return F.shiftright(packed, 32)
 
 
 def _position(packed: Column) -> Column:
     return packed.bitwiseAND(F.lit(_POSITION))
 
 
+def _none(kind: str) -> Column:
+    """An empty array whose elements can't be null: Spark sorts such longs unboxed."""
+    return F.slice(F.array(F.lit(0).cast(kind)), 1, 0)
+
+
 def _range(n: Column) -> Column:
     """0 ... n - 1, and nothing for 0."""
-    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(_none("int"))
+
 
+def _runs(text: Column, start: Column) -> Column:
+    """Packed (k-mer, place) of a text that starts at ``start``, in text order.
+    The text is cut into blocks first, as finding the i-th code point takes i
+    steps from a string's start."""
 
-def _kmers(text: Column) -> Column:
-    """Packed (k-mer, place), sorted."""
-    short = F.when(text != "", F.array(text)).otherwise(F.array().cast("array<string>"))
-    runs = _let(F.regexp_extract_all(text, F.lit(_KMER), F.lit(1)), lambda found: F.when(F.size(found) > 0, found).otherwise(short))
-    return F.sort_array(F.transform(runs, lambda run, i: _packed(F.xxhash64(run), i)))
+    def of_block(block: Column, b: Column) -> Column:
+        n = F.least(F.char_length(block) - (K - 1), F.lit(_STRIDE))
+        base = start + b * _STRIDE
+        places = F.when(n > 0, F.sequence(base, base + n - 1)).otherwise(_none("int"))
+        return _let(base - 1, lambda before: F.transform(places, lambda i: _packed(F.xxhash64(F.substring(block, i - before, F.lit(K))), i)))
 
+    return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_BLOCK), F.lit(1)), of_block))
 
-def _numbered(kmers: Column) -> Column:
-    """Packed (numbered k-mer, place), sorted. Equal k-mers stand
-    together in ``kmers``, in text order, so a k-mer's number is its distance
-    from the first of them."""
 
-    def runs(a: Column) -> Column:
-        first = F.filter(_range(F.size(a)), lambda i: (i == 0) | (_hash(F.get(a, i)) != _hash(F.get(a, i - 1))))
+def _kmers(text: Column, start: Column | None = None) -> Column:
+    """The k-mers of what ``text`` has from code point ``start`` on, which is one
+    k-mer if it is a whole text of fewer code points than ``K``."""
+    start = F.lit(0) if start is None else start
+    rest = F.substring(text, start + 1, F.length(text))
+    short = F.when((start == 0) & (text != ""), F.array(_packed(F.xxhash64(text), F.lit(0)))).otherwise(_none("long"))
+    return F.when(F.char_length(text) - start >= K, _runs(rest, start)).otherwise(short)
 
-        def number(starts: Column) -> Column:
-            def run(start: Column, j: Column) -> Column:
-                end = F.coalesce(F.get(starts, j + 1), F.size(a)) - 1
-                return F.transform(
-                    F.sequence(start, end), lambda i: _packed(F.xxhash64(_hash(F.get(a, i)), i - start), _position(F.get(a, i)))
-                )
 
-            return F.sort_array(F.flatten(F.transform(starts, run)))
+def _repeats(a: Column) -> Column:
+    """Of sorted k-mers, those equal to the one before."""
+    return F.filter(a, lambda x, i: x - F.get(a, i - 1) <= _POSITION)
 
-        return _let(first, number)
 
-    return _let(kmers, runs)
+def _nearest(a: Column) -> Column:
+    """The first PICK of each bin, which are all that any slot can take."""
+    rest = F.filter(a, lambda x, i: x.bitwiseXOR(F.get(a, i - PICK)) >= _BIN)
+    return F.concat(F.slice(a, 1, PICK), rest)
 
 
 def _bin(packed: Column) -> Column:
-    return F.shiftright(packed, 31 + 32 - _BIN_BITS).cast("int")
+    return F.shiftright(packed, 63 - _BIN_BITS).cast("int")
 
 
-def _slots(numbered: Column) -> Column:
-    def nearest(a: Column) -> Column:
-        # the first PICK of each bin are all that any slot can take
-        return F.filter(a, lambda x, i: (i < PICK) | (_bin(x) != _bin(F.get(a, i - PICK))))
+def _renumbered(repeats: Column) -> Column:
+    """Packed (numbered k-mer, place) of the repeats. Those of one k-mer stand
+    together, in text order, so its number is the distance from the first of them."""
+    starts = F.filter(_range(F.size(repeats)), lambda i: (i == 0) | (F.get(repeats, i) - F.get(repeats, i - 1) > _POSITION))
 
-    def fill(kept: Column) -> Column:
-        # slot j starts at the first k-mer whose bin is j or later; after the last bin, at the first of all
-        steps = F.transform(
-            kept, lambda x, i: F.array_repeat(i, _bin(x) - F.when(i > 0, _bin(F.get(kept, i - 1))).otherwise(F.lit(-1)))
-        )
+    def number(starts: Column) -> Column:
+        def run(start: Column, j: Column) -> Column:
+            end = F.coalesce(F.get(starts, j + 1), F.size(repeats)) - 1
+            return F.transform(
+                F.sequence(start, end),
+                lambda i: _packed(F.xxhash64(_hash(F.get(repeats, i)), i - start + 1), _position(F.get(repeats, i))),
+            )
 
-        def slot(start: Column) -> Column:
-            picks = F.array(*[F.get(kept, F.pmod(start + j, F.size(kept)).cast("int")) for j in range(PICK)])
-            by_place = F.array_sort(F.transform(picks, lambda x: F.struct(_position(x).alias("p"), _hash(x).alias("h"))))
-            return _let(by_place, lambda s: F.xxhash64(*[F.get(s, F.lit(j))["h"] for j in range(PICK)]).bitwiseAND(F.lit(_POSITION)).cast("int"))
+        return F.flatten(F.transform(starts, run))
 
-        starts = _let(F.flatten(steps), lambda s: F.concat(s, F.array_repeat(F.lit(0), F.lit(SLOTS) - F.size(s))))
-        zeros = F.array_repeat(F.lit(0), SLOTS)
-        return F.when(F.size(kept) > 0, F.transform(starts, slot)).otherwise(zeros)
+    return _let(starts, number)
 
-    return _let(_let(numbered, nearest), fill)
+
+def _slots(kept: Column) -> Column:
+    # slot j starts at the first k-mer whose bin is j or later; after the last bin, at the first of all
+    steps = F.transform(
+        kept, lambda x, i: F.array_repeat(i, _bin(x) - F.when(i > 0, _bin(F.get(kept, i - 1))).otherwise(F.lit(-1)))
+    )
+
+    def slot(start: Column) -> Column:
+        picks = F.array(*[F.get(kept, F.pmod(start + j, F.size(kept)).cast("int")) for j in range(PICK)])
+        by_place = F.array_sort(F.transform(picks, lambda x: F.struct(_position(x).alias("p"), _hash(x).alias("h"))))
+        return _let(by_place, lambda s: F.xxhash64(*[F.get(s, F.lit(j))["h"] for j in range(PICK)]).bitwiseAND(F.lit(_POSITION)).cast("int"))
+
+    starts = _let(F.flatten(steps), lambda s: F.concat(s, F.array_repeat(F.lit(0), F.lit(SLOTS) - F.size(s))))
+    zeros = F.array_repeat(F.lit(0), SLOTS)
+    return F.when(F.size(kept) > 0, F.transform(starts, slot)).otherwise(zeros)
+
+
+def fingerprints(df: DataFrame, texts: dict[str, Column], shared: Column | None = None) -> DataFrame:
+    """``df`` with a further column of ``SLOTS`` hashes of 31 bits for each name in
+    ``texts``. All texts of a row start with the same ``shared`` code points,
+    whose k-mers are taken once; a null text is empty.
+
+    Each step is a projection of its own: a value that the next step reads at
+    several places is computed once, and sorts and differences run on unboxed
+    longs, which they would not inside a lambda."""
+    n = F.lit(0) if shared is None else F.when(shared >= K, shared).otherwise(0).cast("int")
+    texts = {name: F.coalesce(text, F.lit("")) for name, text in texts.items()}
+    head = next(iter(texts.values()))
+    out = df.withColumn("_n", n).withColumn("_start", F.greatest(F.col("_n") - (K - 1), F.lit(0)))
+    out = out.withColumn("_head", _runs(F.substring(head, F.lit(1), F.col("_n")), F.lit(0)))
+    out = out.withColumns({f"_sorted_{name}": F.sort_array(F.concat("_head", _kmers(text, F.col("_start")))) for name, text in texts.items()})
+    # no step reuses the name of a column that it reads: Spark would read the new one inside lambdas
+    steps = (
+        ("_repeats", lambda n: _repeats(F.col(f"_sorted_{n}"))),
+        ("_firsts", lambda n: F.array_except(f"_sorted_{n}", f"_repeats_{n}")),
+        ("_more", lambda n: _renumbered(F.col(f"_repeats_{n}"))),
+        ("_near", lambda n: _nearest(F.col(f"_firsts_{n}"))),
+        ("_all", lambda n: F.sort_array(F.concat(f"_near_{n}", f"_more_{n}"))),
+        ("_kept", lambda n: _nearest(F.col(f"_all_{n}"))),
+    )
+    for step, build in steps:
+        out = out.withColumns({f"{step}_{n}": build(n) for n in texts})
+    return out.select(*df.columns, *[_slots(F.col(f"_kept_{n}")).alias(n) for n in texts])
 
 
 def fingerprint(text: Column) -> Column:
-    """``SLOTS`` hashes of 31 bits."""
-    return _slots(_numbered(_kmers(F.coalesce(text, F.lit("")))))
+    """The same as one expression, for a column of short texts."""
+
+    def of_kmers(a: Column) -> Column:
+        return _let(_repeats(a), lambda r: _let(F.sort_array(F.concat(F.array_except(a, r), _renumbered(r))), lambda k: _let(_nearest(k), _slots)))
+
+    return _let(F.sort_array(_kmers(F.coalesce(text, F.lit("")))), of_kmers)
 
 
 def as_string(slots: Column) -> Column:
@@ -181,11 +239,11 @@ def compare(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how like they
     are: (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next), fingerprints as arrays, the edited text as its SHA-256."""
+    kept = F.col("n_chars") - F.floor(F.col("n_chars") / 4)
     rows = in_order(docs).withColumn("edited", edited(F.col("text"), F.col("n_chars"), F.col("head")))
-    prints = rows.select(
-        "doc_id", "n_chars", "place", "n_places", F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("text")).alias("fingerprint"), fingerprint(F.col("edited")).alias("edited_fingerprint"),
-    )
+    rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
+    rows = fingerprints(rows, {"fingerprint": F.col("text"), "edited_fingerprint": F.col("edited")}, kept)
+    prints = rows.select("doc_id", "n_chars", "place", "n_places", "edited_sha256", "fingerprint", "edited_fingerprint")
     prints = materialize(prints, "omh_prints")  # computed once, for both joins
     nexts = prints.dropDuplicates(["place"]).select(
         F.when(F.col("place") > 1, F.col("place") - 1).otherwise(F.col("n_places")).alias("place"),

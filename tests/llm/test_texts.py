@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -13,6 +14,7 @@ import pyarrow as pa
 import pytest
 import regex
 import tiktoken
+import xxhash
 
 from netloom.llm import bpe, jaccard, omh, orcids, ppm, secrets, toxicity, words
 
@@ -392,6 +394,44 @@ def test_order_minhash_follows_code_points(spark):
         assert x["n"] == (max(len(x["t"]) - omh.K + 1, 1) if x["t"] else 0)
 
 
+def _brute_order_minhash(text):
+    def xx(value, seed=42):
+        return xxhash.xxh64(value, seed=seed).intdigest()
+
+    kmers = [text[i : i + omh.K] for i in range(len(text) - omh.K + 1)] or ([text] if text else [])
+    seen, values = collections.Counter(), []
+    for place, kmer in enumerate(kmers):
+        h = xx(kmer.encode()) >> 32 & 0x7FFFFFFF
+        n = seen[h]
+        seen[h] += 1
+        if n:
+            h = xx(struct.pack("<i", n), xx(struct.pack("<q", h))) >> 32 & 0x7FFFFFFF
+        values.append((h, place))
+    values.sort()
+    out = []
+    for slot in range(omh.SLOTS):
+        at = next((i for i, (h, _) in enumerate(values) if h * omh.SLOTS >> 31 >= slot), 0)
+        seed = 42
+        for _, h in sorted((p, h) for h, p in (values[(at + k) % len(values)] for k in range(omh.PICK))) if values else ():
+            seed = xx(struct.pack("<q", h), seed)
+        out.append(seed & 0x7FFFFFFF if values else 0)
+    return out
+
+
+def test_order_minhash_equals_brute_force(spark):
+    r = random.Random(12)
+    texts = ["", None, "abc", "a" * 500, "ab" * 300 + "c", "\U0001F600é" * 40, "sevenxy", "sixchr"]
+    texts += ["".join(r.choice("abcd \n") for _ in range(n)) for n in (7, 8, 31, 38, 39, 64, 70, 1000, 5000)]
+    texts += ["".join(chr(r.randrange(0x61, 0x3000)) for _ in range(n)) for n in (33, 400, 3000)]
+    rows = {x["doc_id"]: x for x in omh.compare(_docs(spark, texts)).collect()}
+    plain = [t or "" for t in texts]
+    for i, t in enumerate(plain):
+        q = len(t) // 4
+        changed = t[: len(t) - q] + plain[(i + 1) % len(plain)][:q]
+        assert list(rows[i]["fingerprint"]) == _brute_order_minhash(t)
+        assert list(rows[i]["edited_fingerprint"]) == _brute_order_minhash(changed)
+
+
 def test_order_minhash_orders_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(2, "two two two two"), (2, "two two two two"), (None, "first text of all"), (9, "last")], "doc_id long, text string")
     rows = omh.compare(docs).select("doc_id", "n_chars").collect()
