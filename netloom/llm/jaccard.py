@@ -56,7 +56,6 @@ HUBS = 2
 SENT = 1 << 20
 #: Sets that a bucket of pairs holds.
 BUCKET = 2048
-_BYTES = 6
 _SIGN = np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -160,15 +159,9 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(OF / NEAR)) + F.lit(1e-9)).cast("int")
 
 
-def _packed(hashes: np.ndarray) -> bytes:
-    """Sets travel with 48 bits of each hash, enough to compare two of them."""
-    return np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :_BYTES]).tobytes()
-
-
 def _unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // _BYTES, 8), np.uint8)
-    out[:, :_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _BYTES)
-    return np.sort(out.view(np.uint64).ravel())
+    """A set's hashes, which travel whole and in order."""
+    return np.frombuffer(raw, np.uint64)
 
 
 def _sets_of(classes_in_question: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -181,7 +174,7 @@ def _sets_of(classes_in_question: DataFrame, docs: DataFrame, classes: DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             ends, hashes = shingle_sets(batch.column("text"), SIZE)
-            sets = [_packed(hashes[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            sets = [hashes[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(_signatures(ends, hashes)), pa.array(sets, pa.binary())], names=["s", "set"])
 
     return texts.mapInArrow(run, "s long, set binary")
