@@ -129,14 +129,20 @@ def _slots(kept: Column) -> Column:
         kept, lambda x, i: F.array_repeat(i, _bin(x) - F.when(i > 0, _bin(F.get(kept, i - 1))).otherwise(F.lit(-1)))
     )
 
-    def slot(start: Column) -> Column:
-        picks = F.array(*[F.get(kept, F.pmod(start + j, F.size(kept)).cast("int")) for j in range(PICK)])
-        by_place = F.array_sort(F.transform(picks, lambda x: F.struct(_position(x).alias("p"), _hash(x).alias("h"))))
-        return _let(by_place, lambda s: F.xxhash64(*[F.get(s, F.lit(j))["h"] for j in range(PICK)]).bitwiseAND(F.lit(_POSITION)).cast("int"))
+    # place above hash, and as often as a slot that starts at the last one can need
+    by_place = F.flatten(F.array_repeat(F.transform(kept, lambda x: F.shiftleft(_position(x), 32).bitwiseOR(_hash(x))), PICK))
+
+    def slots(ring: Column) -> Column:
+        def slot(start: Column) -> Column:
+            picks = F.sort_array(F.array(*[F.get(ring, start + j) for j in range(PICK)]))
+            hashed = _let(picks, lambda s: F.xxhash64(*[F.get(s, F.lit(j)).bitwiseAND(F.lit(_POSITION)) for j in range(PICK)]))
+            return hashed.bitwiseAND(F.lit(_POSITION)).cast("int")
+
+        return F.transform(starts, slot)
 
     starts = _let(F.flatten(steps), lambda s: F.concat(s, F.array_repeat(F.lit(0), F.lit(SLOTS) - F.size(s))))
     zeros = F.array_repeat(F.lit(0), SLOTS)
-    return F.when(F.size(kept) > 0, F.transform(starts, slot)).otherwise(zeros)
+    return F.when(F.size(kept) > 0, _let(by_place, slots)).otherwise(zeros)
 
 
 def fingerprints(df: DataFrame, texts: dict[str, Column], shared: Column | None = None) -> DataFrame:
