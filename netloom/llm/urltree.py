@@ -53,7 +53,7 @@ RULES = (
     Rule("org/", "allow"),
     Rule("example.org/es/", "block"),
     Rule("example.org/en/1", "block"),
-    Rule("com/fr/", "block"),
+    Rule("com/fr/", "allow"),
     Rule("com/de/", "block"),
 )
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
