@@ -2,9 +2,10 @@
 
 Row and column names get dense ids in order of name, from distributed ranks.
 A tile is a block of ``HEIGHT`` rows and ``WIDTH`` columns that holds a cell
-at all, with its values row by row in one array (0 where there is no cell).
-Its size is fixed, so a row or column with very many cells (an objective, a
-shared variable) spreads over many tiles and tasks.
+at all. Many tiles of a sparse table hold few cells, so a tile is kept as their
+places (row by row) and values, and ``Tiles.blocks`` fills it (0 where there is
+no cell). Its size is fixed, so a row or column with very many cells (an
+objective, a shared variable) spreads over many tiles and tasks.
 
 Cells that share a row and a column add up; those with a null name or value
 take no part; an empty table has no names and no tiles.
@@ -26,15 +27,20 @@ HEIGHT, WIDTH = 64, 64
 
 @dataclass(frozen=True)
 class Tiles:
-    """``rows`` and ``columns``: (name, id); ``blocks``: (row_block,
-    column_block, values)."""
+    """``rows`` and ``columns``: (name, id); ``packed``: (row_block,
+    column_block, cells), ``cells`` an array of (at, v)."""
 
     rows: DataFrame
     columns: DataFrame
-    blocks: DataFrame
+    packed: DataFrame
     height: int = HEIGHT
     width: int = WIDTH
 
+    @property
+    def blocks(self) -> DataFrame:
+        """(row_block, column_block, values): all values of each tile."""
+        return self.packed.select("row_block", "column_block", _dense("cells", self.height * self.width).alias("values"))
+
 
 def dense_ids(names: DataFrame, name: str) -> DataFrame:
     """(name, id): the distinct names numbered from 0 in their order."""
@@ -48,17 +54,17 @@ def _with_id(cells: DataFrame, ids: DataFrame, name: str, out: str) -> DataFrame
     return salted_join(cells, ids, name, heavy_keys(cells, name)).drop(name)
 
 
-def _dense(at: str, value: str, size: int, empty: Column) -> Column:
-    """Aggregate: the array of ``size`` that has each ``value`` at ``at``, else ``empty``."""
-    held = F.map_from_entries(F.collect_list(F.struct(at, value)))
-    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: F.coalesce(F.try_element_at(held, k), empty))
+def _dense(cells: str, size: int) -> Column:
+    """The array of ``size`` that has each value of ``cells`` (at, v) at its place, else 0."""
+    held = F.map_from_entries(cells)
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: F.coalesce(F.try_element_at(held, k), F.lit(0.0)))
 
 
 def to_tiles(cells: DataFrame, row: str, column: str, value: str, height: int = HEIGHT, width: int = WIDTH) -> Tiles:
     """The tiles of ``cells``, with a line for each value of ``row`` and a column
     for each one of ``column``."""
     known = cells.select(F.col(row).alias("r"), F.col(column).alias("c"), F.col(value).cast("double").alias("v")).dropna()
-    known = materialize(known.groupBy("r", "c").agg(F.sum("v").alias("v")), "tile_cells")
+    known = materialize(known, "tile_cells", compact=True)
     rows, columns = dense_ids(known, "r"), dense_ids(known, "c")
     placed = _with_id(_with_id(known, rows, "r", "i"), columns, "c", "j")
 
@@ -67,22 +73,20 @@ def to_tiles(cells: DataFrame, row: str, column: str, value: str, height: int =
 
     placed = placed.select(
         block("i", height).alias("row_block"), block("j", width).alias("column_block"),
-        F.pmod("i", F.lit(height)).cast("int").alias("line"), F.pmod("j", F.lit(width)).cast("int").alias("at"), "v",
-    )
-    # a line of a tile has width cells at most, a tile height lines
-    lines = placed.groupBy("row_block", "column_block", "line").agg(_dense("at", "v", width, F.lit(0.0)).alias("cells"))
-    blocks = lines.groupBy("row_block", "column_block").agg(
-        F.flatten(_dense("line", "cells", height, F.array_repeat(F.lit(0.0), width))).alias("values")
+        (F.pmod("i", F.lit(height)) * width + F.pmod("j", F.lit(width))).cast("int").alias("at"), "v",
     )
-    return Tiles(rows, columns, blocks, height, width)
+    # cells go to their tile once, and are added up there
+    cells = placed.repartition("row_block", "column_block").groupBy("row_block", "column_block", "at").agg(F.sum("v").alias("v"))
+    packed = cells.groupBy("row_block", "column_block").agg(F.collect_list(F.struct("at", "v")).alias("cells"))
+    return Tiles(rows, columns, packed, height, width)
 
 
 def from_tiles(tiles: Tiles) -> DataFrame:
     """(row, column, value) of every cell that is not 0, by name."""
-    cells = tiles.blocks.select("row_block", "column_block", F.posexplode("values").alias("at", "value")).where("value <> 0")
+    cells = tiles.packed.select("row_block", "column_block", F.inline("cells").alias("at", "value")).where("value <> 0")
     i = F.col("row_block") * tiles.height + F.floor(F.col("at") / tiles.width)
     j = F.col("column_block") * tiles.width + F.pmod("at", F.lit(tiles.width))
-    cells = materialize(cells.select(i.alias("i"), j.alias("j"), "value"), "tile_values")
+    cells = materialize(cells.select(i.alias("i"), j.alias("j"), "value"), "tile_values", compact=True)
     for key, names, name in (("i", tiles.rows, "row"), ("j", tiles.columns, "column")):
         named = names.select(F.col("id").alias(key), F.col("name").alias(name))
         cells = salted_join(cells, named, key, heavy_keys(cells, key)).drop(key)
@@ -96,15 +100,10 @@ def times(tiles: Tiles, x: DataFrame, name: str, value: str) -> DataFrame:
     summed = vector.groupBy("id").agg(F.sum("v").alias("v")).select(
         F.floor(F.col("id") / tiles.width).alias("column_block"), F.pmod("id", F.lit(tiles.width)).cast("int").alias("at"), "v"
     )
-    parts = summed.groupBy("column_block").agg(_dense("at", "v", tiles.width, F.lit(0.0)).alias("x"))
-    width = tiles.width
-
-    def line(r: Column) -> Column:
-        terms = F.zip_with(F.slice("values", r * width + 1, width), F.col("x"), lambda c, x: c * x)
-        return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
-
-    sums = F.transform(F.sequence(F.lit(0), F.lit(tiles.height - 1)), line)
-    met = tiles.blocks.join(parts, "column_block").select("row_block", F.posexplode(sums).alias("r", "v"))
-    products = met.select((F.col("row_block") * tiles.height + F.col("r")).alias("id"), "v")
+    parts = summed.groupBy("column_block").agg(F.collect_list(F.struct("at", "v")).alias("given"))
+    parts = parts.select("column_block", _dense("given", tiles.width).alias("x"))
+    met = tiles.packed.join(parts, "column_block").select("row_block", "x", F.inline("cells").alias("at", "v"))
+    line, place = F.floor(F.col("at") / tiles.width), F.pmod("at", F.lit(tiles.width))
+    products = met.select((F.col("row_block") * tiles.height + line).alias("id"), (F.col("v") * F.get("x", place)).alias("v"))
     sums = products.groupBy("id").agg(F.sum("v").alias("v"))
     return tiles.rows.join(sums, "id", "left").select(F.col("name").alias("row"), F.coalesce("v", F.lit(0.0)).alias("value"))

@@ -35,3 +35,12 @@ def test_repeated_null_and_missing_cells(spark):
     assert packed.rows.count() == 2 and packed.columns.count() == 2
     empty = tiles.to_tiles(_cells(spark, []), "a", "b", "v")
     assert empty.blocks.count() == 0 and tiles.from_tiles(empty).count() == 0
+
+
+def test_a_tile_holds_its_cells_only(spark):
+    """Scattered cells: a tile of 64 by 64 for each is not filled to be moved."""
+    packed = tiles.to_tiles(_cells(spark, [(f"r{64 * i:05d}", f"c{i:05d}", 1.0) for i in range(200)]), "a", "b", "v")
+    assert packed.packed.agg({"row_block": "count"}).first()[0] == packed.blocks.count()
+    assert sum(len(r["cells"]) for r in packed.packed.collect()) == 200
+    moved = tiles.times(packed, _cells(spark, [("c00000", "", 2.0)]).select("a", "v"), "a", "v")
+    assert {r["row"]: r["value"] for r in moved.where("value <> 0").collect()} == {"r00000": 2.0}
