@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from netloom.functions.skew import heavy_keys, salted_join
+from netloom.functions.skew import heavy_keys, salted_join, sieve
 from netloom.operators import evaluate, tableau
 from netloom.sources import tableau_store
 from netloom.sources.tableau_store import TableauStore
@@ -91,3 +91,48 @@ def test_empty_tableau(spark):
     values = spark.createDataFrame([], "variable string, value double")
     assert store.listing().count() == store.text().count() == store.activity(values).count() == 0
     assert evaluate.row_activity(empty[0], empty[1], values).select(F.col("activity")).count() == 0
+
+
+def test_entries_move_once_to_their_bucket(spark, monkeypatch):
+    """Unique rows and declared columns are not joined with the entries."""
+    (rows, entries, _), listed, brute, _, variables = _instance(spark, 900)
+    declared = spark.createDataFrame([(v,) for v in variables], "variable string")
+
+    def no_join(*_):
+        raise AssertionError("entries were moved for a join")
+
+    monkeypatch.setattr(tableau_store, "salted_join", no_join)
+    store = TableauStore.write(spark, rows.where("cnstraint <> 'c0007'"), entries, declared, buckets=5)
+    monkeypatch.undo()
+    row = {c: (s, r) for c, s, r in listed}
+    got = {(r["cnstraint"], r["variable"]): (r["sense"], r["rhs"], r["coefficient"]) for r in store.listing().collect()}
+    assert got == {k: (*row[k[0]], x) for k, x in brute.items() if k[0] != "c0007"}
+    values = spark.createDataFrame([], "variable string, value double")
+    assert sorted(r["cnstraint"] for r in store.activity(values).collect()) == sorted(c for c in row if c != "c0007")
+
+
+def test_repeated_and_null_rows_and_columns(spark):
+    rows = spark.createDataFrame([("a", "GE", 1.0), ("a", "LE", 2.0), ("b", "EQ", None), (None, "GE", 0.0)], "cnstraint string, sense string, rhs double")
+    entries = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", 3.0), ("b", "z", 4.0), (None, "x", 5.0), ("a", None, 6.0), ("c", "x", 7.0)],
+                                    "cnstraint string, variable string, coefficient double")
+    values = spark.createDataFrame([("x", 1.0), ("y", 10.0)], "variable string, value double")
+    for names, some in (("xxyn", rows), ("xyz", rows.where("sense <> 'LE'")), ("xyz", rows)):
+        declared = spark.createDataFrame([(None if v == "n" else v,) for v in names], "variable string")
+        store = TableauStore.write(spark, some, entries, declared, buckets=3)
+        want = evaluate.constraint_listing(some, entries, declared)
+        assert sorted(map(str, store.listing().collect())) == sorted(map(str, want.collect()))
+        known = want.join(values, "variable").groupBy("cnstraint", "sense", "rhs").agg(F.sum(F.col("coefficient") * F.col("value")).alias("v"))
+        sums = {(r["cnstraint"], r["sense"], r["rhs"]): r["v"] for r in known.collect()}
+        act = {tuple(r)[:3]: r["activity"] for r in store.activity(values).collect()}
+        assert act == {tuple(r): sums.get(tuple(r), 0.0) for r in some.collect()}
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+def test_sieve_keeps_every_partner(spark, bits):
+    big = spark.createDataFrame([(f"k{i % 500}", i) for i in range(2000)] + [(None, -1)], "k string, i int")
+    few = spark.createDataFrame([("k3",), ("k3",), ("k499",), ("other",), (None,)], "k string")
+    left = sieve(big, "k", few, bits)
+    assert left.columns == big.columns
+    kept = left.where("k IN ('k3', 'k499')")
+    assert kept.count() == 8 and left.count() < 2001 and sieve(big, "k", few.limit(0), bits).count() == 0
+    assert sieve(big, "k", big.select("k"), 64).count() == big.count()  # too many keys to mark
