@@ -193,8 +193,11 @@ def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     sizes = pairs.groupBy("near").agg(
         F.ceil(F.approx_count_distinct("x") / BUCKET).alias("_xs"), F.ceil(F.approx_count_distinct("y") / BUCKET).alias("_ys")
     )
-    bucket = F.xxhash64("near", F.pmod(F.xxhash64("x"), "_xs"), F.pmod(F.xxhash64("y"), "_ys"))
-    dealt = pairs.join(sizes, "near").select(bucket.alias("b"), "x", "y", "n", "m")
+    # only values of near with more sets than a bucket holds are cut: few, and broadcast,
+    # so the pairs of a frequent one stay where they are
+    large = F.broadcast(sizes.where("_xs > 1 OR _ys > 1"))
+    part = [F.coalesce(F.pmod(F.xxhash64(c), n), F.lit(0).cast("long")) for c, n in (("x", "_xs"), ("y", "_ys"))]
+    dealt = pairs.join(large, "near", "left").select(F.xxhash64("near", *part).alias("b"), "x", "y", "n", "m")
     partners = "array<struct<x:bigint,n:int,m:int>>"
     xs = dealt.select("b", F.col("x").alias("s")).distinct().withColumn("partners", F.lit(None).cast(partners))
     ys = dealt.groupBy("b", F.col("y").alias("s")).agg(F.collect_list(F.struct("x", "n", "m")).alias("partners"))

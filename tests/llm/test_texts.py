@@ -562,3 +562,23 @@ def test_scores_beside_clashing_columns(spark):
     model = toxicity.learn(docs, labels, F.lit(True))
     rows = toxicity.score(docs, model, "_toxicity").first()
     assert rows["toxicity"] == 5.0 and 0 < rows["_toxicity"] < 0.5
+
+
+def test_pairs_of_a_frequent_near_are_not_dealt_by_it(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    words = [f"w{i}" for i in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(words[: 10 + i])) for i in range(12)], "doc_id long, text string")
+    rows = jaccard.survey(docs).where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), F.col("c").alias("s"))
+    x, *ys = [(r["s"], r["n"]) for r in rows.orderBy("doc_id").collect()]
+    pairs = spark.createDataFrame([(x[0], y, x[1], m, x[0]) for y, m in ys], "x long, y long, n int, m int, near long")
+    classes = rows.select("s", F.col("doc_id").alias("_doc"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for size in (2048, 3):  # one bucket, several
+            monkeypatch.setattr(jaccard, "BUCKET", size)
+            compared = jaccard.overlaps(pairs, docs, classes)
+            assert "SortMergeJoin [near" not in compared._jdf.queryExecution().executedPlan().toString()
+            assert sorted((r["y"], r["overlap"]) for r in compared.collect()) == sorted((y, x[1]) for y, _ in ys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
