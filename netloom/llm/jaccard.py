@@ -51,6 +51,8 @@ COMMON = 1 << 20
 #: A shingle is counted as common in a step (some thousand documents) if so many have it.
 LOCAL = 3
 HUBS = 2
+#: Hubs that a set may meet in the round after that.
+CENTRAL = 8
 #: Ids of the documents whose texts are read again that are broadcast; more of
 #: them are joined.
 SENT = 1 << 20
@@ -159,12 +161,17 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(OF / NEAR)) + F.lit(1e-9)).cast("int")
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    """A set's hashes, which travel whole and in order."""
-    return np.frombuffer(raw, np.uint64)
+def _unpacked(raw: bytes, heads: bool = False) -> np.ndarray:
+    """A set's hashes, which travel in order, whole or as their first 16 bits.
+    Equal heads are told apart by their number."""
+    if not heads:
+        return np.frombuffer(raw, np.uint64)
+    found = np.frombuffer(raw, np.uint16)
+    number = np.arange(len(found)) - np.searchsorted(found, found)
+    return found.astype(np.uint64) << np.uint64(32) | number.astype(np.uint64)
 
 
-def _sets_of(classes_in_question: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _sets_of(classes_in_question: DataFrame, docs: DataFrame, classes: DataFrame, heads: bool = False) -> DataFrame:
     """(s, set) of the classes, from one text of each; other texts stay where they are."""
     needed = materialize(classes_in_question.join(classes, "s").select("_doc").distinct(), "jaccard_needed")
     if needed.count() <= SENT:
@@ -174,14 +181,17 @@ def _sets_of(classes_in_question: DataFrame, docs: DataFrame, classes: DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             ends, hashes = shingle_sets(batch.column("text"), SIZE)
-            sets = [hashes[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            sent = (hashes >> np.uint64(48)).astype(np.uint16) if heads else hashes
+            sets = [sent[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(_signatures(ends, hashes)), pa.array(sets, pa.binary())], names=["s", "set"])
 
     return texts.mapInArrow(run, "s long, set binary")
 
 
-def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame, heads: bool = False) -> DataFrame:
     """``pairs`` (x, y, n, m, near) with the number of shingles that both have.
+    With ``heads`` a quarter of the bytes move, and the number is of equal heads
+    of their hashes: at least that of the shingles.
 
     Pairs with the same ``near`` are likely to share sets, so they are dealt
     into buckets by it, with at most about ``BUCKET`` sets of either side, and
@@ -189,7 +199,7 @@ def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     sets x and streams the sets y past them.
     """
     pairs = materialize(pairs, "jaccard_pairs")
-    sets = _sets_of(pairs.select(F.col("x").alias("s")).union(pairs.select("y")).distinct(), docs, classes)
+    sets = _sets_of(pairs.select(F.col("x").alias("s")).union(pairs.select("y")).distinct(), docs, classes, heads)
     sizes = pairs.groupBy("near").agg(
         F.ceil(F.approx_count_distinct("x") / BUCKET).alias("_xs"), F.ceil(F.approx_count_distinct("y") / BUCKET).alias("_ys")
     )
@@ -211,9 +221,9 @@ def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
                 if r["b"] != bucket:
                     bucket, held = r["b"], {}
                 if r["side"] == 0:
-                    held[r["s"]] = _unpacked(r["set"])
+                    held[r["s"]] = _unpacked(r["set"], heads)
                     continue
-                own = _unpacked(r["set"])
+                own = _unpacked(r["set"], heads)
                 for p in r["partners"]:
                     few, many = sorted((own, held[p["x"]]), key=len)
                     at = np.minimum(np.searchsorted(many, few), len(many) - 1)
@@ -227,6 +237,19 @@ def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     return in_order.mapInArrow(compare, "x long, y long, n int, m int, overlap int").distinct()
 
 
+def _edges(comps: DataFrame) -> DataFrame:
+    return comps.select(F.col("v").alias("a"), F.col("c").alias("b"))
+
+
+def settle(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` with a bound of their overlap, and the overlaps of those that
+    the bound lets be similar; whole sets move for these alone."""
+    bounded = materialize(overlaps(pairs, docs, classes, heads=True), "jaccard_bounded")
+    similar = bounded.where(F.col("overlap") >= _need(F.col("n"), F.col("m")))
+    exact = overlaps(similar.select("x", "y", "n", "m", F.col("x").alias("near")), docs, classes)
+    return bounded, materialize(exact, "jaccard_compared")
+
+
 def _links(compared: DataFrame) -> DataFrame:
     return compared.where(F.col("overlap") >= _need(F.col("n"), F.col("m"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
@@ -245,19 +268,49 @@ def hub_pairs(entries: DataFrame) -> DataFrame:
     )
 
 
-def cross_pairs(entries: DataFrame, comps: DataFrame) -> DataFrame:
-    """(x, y, n, m, near): the candidate pairs whose sets are in different
-    components; ``near`` is that of y.
+def open_lists(entries: DataFrame, comps: DataFrame) -> DataFrame:
+    """(token, s, n, pos, c, _first) of the lists with sets of several components;
+    ``_first`` is that of the list's first hub. A list of two sets has had its
+    only pair compared."""
+    marked = entries.join(comps.select(F.col("v").alias("s"), "c"), "s", "left").withColumn("c", F.coalesce("c", "s"))
+    firsts = marked.groupBy("token").agg(
+        F.min(F.struct(F.xxhash64("s", F.lit(0)), "c"))["c"].alias("_first"), F.min("c").alias("_low"), F.max("c").alias("_high"),
+        F.count(F.lit(1)).alias("_sets"),
+    )
+    marked = marked.join(firsts.where("_low < _high AND _sets > 2"), "token")
+    return materialize(marked.select("token", "s", "n", "pos", "c", "_first"), "jaccard_lists")
+
+
+def central_pairs(lists: DataFrame, hubs: int = CENTRAL) -> DataFrame:
+    """(x, y, n, m, near): sets y with up to ``hubs`` sets x of another component,
+    those that stand earliest in a list: they have the fewest rare shingles, so
+    they are near the middle of a group of near copies. A set meets the hubs of
+    one list for each first component, as lists of one group have the same hubs."""
+    slot = F.pmod(F.xxhash64("s", F.lit(hubs)), F.lit(hubs))
+    picks = lists.groupBy("token", slot.alias("slot")).agg(F.min(F.struct("pos", F.xxhash64("s"), "s", "n", "c")).alias("hub"))
+    rows = lists.groupBy("s", "n", "c", "_first").agg(F.min(F.struct("pos", "token")).alias("at"))
+    met = rows.select("s", "n", "c", "at.pos", "at.token").join(picks, "token")
+    x, y, n, m = F.col("hub.s"), F.col("s"), F.col("hub.n"), F.col("n")
+    reach = F.least(n - F.col("hub.pos"), m - F.col("pos")) >= _need(n, m)
+    met = met.where((F.col("c") != F.col("hub.c")) & reach)
+    return met.select(x.alias("x"), y.alias("y"), n.alias("n"), m.alias("m"), F.col("hub.c").alias("near")).distinct()
+
+
+def fresh(pairs: DataFrame, compared: DataFrame) -> DataFrame:
+    """``pairs`` that are not among ``compared``, in either order."""
+    done = compared.select(F.least("x", "y").alias("_a"), F.greatest("x", "y").alias("_b"))
+    met = pairs.withColumns({"_a": F.least("x", "y"), "_b": F.greatest("x", "y")})
+    return met.join(done, ["_a", "_b"], "left_anti").dropDuplicates(["_a", "_b"]).select(*pairs.columns)
+
+
+def cross_pairs(marked: DataFrame) -> DataFrame:
+    """(x, y, n, m, near): the candidate pairs of ``open_lists`` whose sets are in
+    different components; ``near`` is that of y.
 
     In each list the sets of the first hub's component need no pairs among
     themselves; the others are joined with the list, block by block.
     """
-    marked = entries.join(comps.select(F.col("v").alias("s"), "c"), "s", "left").withColumn("c", F.coalesce("c", "s"))
-    firsts = marked.groupBy("token").agg(
-        F.min(F.struct(F.xxhash64("s", F.lit(0)), "c"))["c"].alias("_first"), F.min("c").alias("_low"), F.max("c").alias("_high")
-    )
-    marked = marked.join(firsts.where("_low < _high"), "token").withColumn("band", _band(F.col("n")))
-    marked = materialize(marked.select("token", "s", "n", "pos", "c", "band", "_first"), "jaccard_lists")
+    marked = marked.withColumn("band", _band(F.col("n")))
     few = marked.where("c <> _first").select(
         "token", F.col("s").alias("x"), F.col("n").alias("n"), F.col("pos").alias("i"), F.col("c").alias("_c"),
         F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
@@ -311,14 +364,19 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
     entries = entries.where("_low < _high").select("token", "s", "n", "pos").distinct()
     entries = materialize(entries, "jaccard_entries")
-    compared = materialize(overlaps(hub_pairs(entries), docs, classes), "jaccard_compared")
+    asked, compared = settle(hub_pairs(entries), docs, classes)
     comps = components(_links(compared))
-    pairs = materialize(derive(cross_pairs(entries, comps), compared), "jaccard_cross")
+    lists = open_lists(entries, comps)
+    bounded, more = settle(fresh(central_pairs(lists), asked), docs, classes)
+    asked, compared = asked.union(bounded), compared.union(more)
+    comps = components(_edges(comps).union(_links(more)))
+    lists = open_lists(lists.select("token", "s", "n", "pos"), comps)
+    pairs = materialize(derive(fresh(cross_pairs(lists), asked), compared), "jaccard_cross")
     need = _need(F.col("n"), F.col("m"))
     derived = pairs.where(F.col("low") >= need).select(F.col("x").alias("a"), F.col("y").alias("b"))
     left = pairs.where((F.col("low") < need) & (F.col("high") >= need)).select("x", "y", "n", "m", "near")
-    late = _links(overlaps(left, docs, classes))
-    comps = components(comps.select(F.col("v").alias("a"), F.col("c").alias("b")).union(derived).union(late))
+    late = _links(settle(left, docs, classes)[1])
+    comps = components(_edges(comps).union(derived).union(late))
     rows = rows.join(comps.select(F.col("v").alias("s"), "c"), "s", "left").withColumn("c", F.coalesce("c", "s"))
     return materialize(rows, "jaccard_rows")
 
