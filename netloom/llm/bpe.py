@@ -9,7 +9,8 @@ the pairs with the two touched neighbours are looked up and indexed again. A
 merge that makes a pair of lower rank holds back those to its right in its word
 until that pair is joined.
 Words are encoded apart from each other, so the step's size changes nothing
-in the result, and no rows cross the network.
+in the result, and no rows cross the network. A worker keeps the ids of a
+bounded number of words, which later steps need not merge again.
 
 Edge cases: a null text is empty and gives no ids; ids unknown to the
 vocabulary fail when they are decoded; repeated rows and null keys pass
@@ -33,6 +34,8 @@ from netloom.llm.units import gather, split_units, steps
 
 #: Bytes of text in a step.
 STEP = 2 << 20
+#: Words whose ids a worker keeps between steps, of so many bytes at most; about 30 MB.
+KEPT_WORDS, KEPT_BYTES = 150_000, 32
 _NONE = np.iinfo(np.int32).max
 
 
@@ -50,6 +53,8 @@ class Vocabulary:
         pairs = (line.split() for line in ranks.splitlines() if line)
         self.ranks = {base64.b64decode(t): int(r) for t, r in pairs}
         self.tokens = {r: t for t, r in self.ranks.items()}
+        #: Ids of words that earlier steps have merged.
+        self.known: dict[str, bytes] = {}
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         joins = sorted(
             (self.ranks[t[:i]] << 32 | self.ranks[t[i:]], r)
@@ -189,14 +194,19 @@ def encode_texts(texts: pa.Array, vocab: Vocabulary, pattern: regex.Pattern) ->
     for i, unit in enumerate(units):
         unit_words.extend([words.setdefault(w, len(words)) for w in pattern.findall(unit)])
         unit_ends[i + 1] = len(unit_words)
-    coded = [w.encode() for w in words]
-    word_ends, ids = replay(coded, vocab)
-    # a word that is a token as it stands needs no merges
-    whole = np.array([vocab.ranks.get(w, -1) for w in coded], np.int64)
-    if ((whole >= 0) & (np.diff(word_ends) > 1)).any():
-        lists = [[r] if r >= 0 else ids[word_ends[i] : word_ends[i + 1]].tolist() for i, r in enumerate(whole.tolist())]
-        word_ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-        ids = np.array([t for x in lists for t in x], np.int64)
+    found = list(map(vocab.known.get, words))
+    missing = [i for i, x in enumerate(found) if x is None]
+    names = list(words)
+    coded = [names[i].encode() for i in missing]
+    missing_ends, merged = replay(coded, vocab)
+    raw = merged.astype("<u4").tobytes()
+    for i, w, at, to in zip(missing, coded, missing_ends[:-1].tolist(), missing_ends[1:].tolist()):
+        # a word that is a token as it stands needs no merges
+        found[i] = vocab.ranks[w].to_bytes(4, "little") if to - at > 1 and w in vocab.ranks else raw[4 * at : 4 * to]
+        if len(w) <= KEPT_BYTES and len(vocab.known) < KEPT_WORDS:
+            vocab.known[names[i]] = found[i]
+    word_ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)])
+    ids = np.frombuffer(b"".join(found), "<u4").astype(np.int64)
     token_ids, word_list_ends = gather(word_ends, ids, np.array(unit_words, np.int64))
     unit_ids, picked = token_ids, word_list_ends[unit_ends]
     out, ends = gather(picked, unit_ids, codes)

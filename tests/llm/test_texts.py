@@ -582,3 +582,59 @@ def test_pairs_of_a_frequent_near_are_not_dealt_by_it(spark, monkeypatch):
             assert sorted((r["y"], r["overlap"]) for r in compared.collect()) == sorted((y, x[1]) for y, _ in ys)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pairs_of_a_group_of_near_copies_grow_with_its_size(spark, monkeypatch):
+    r = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(160):
+        copy = list(base)
+        for j in range(r.randrange(1, 9)):
+            copy[r.randrange(150)] = f"own{i}_{j}"
+        texts.append(" ".join(copy))
+    asked = []
+    overlaps = jaccard.overlaps
+
+    def counted(pairs, *rest, **more):
+        asked.append(pairs.count())
+        return overlaps(pairs, *rest, **more)
+
+    monkeypatch.setattr(jaccard, "overlaps", counted)
+    _, components = _brute_components(texts)
+    rows = jaccard.join(_docs(spark, texts)).collect()
+    assert {x["doc_id"]: x["component_id"] for x in rows} == dict(enumerate(components))
+    assert sum(asked) < 20 * len(texts)  # more than 32 for each before
+
+
+def test_heads_of_hashes_bound_the_overlap(spark):
+    from pyspark.sql import functions as F
+
+    texts = [f"{a} b c d e f g h i j k l m n {b}" for a in "xyz" for b in "pq"] + ["other words stand here and there"]
+    docs = _docs(spark, texts)
+    rows = jaccard.survey(docs).where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), F.col("c").alias("s"))
+    sets = [(x["s"], x["n"]) for x in rows.orderBy("doc_id").collect()]
+    pairs = [(s, t, n, m, s) for s, n in sets for t, m in sets if s < t]
+    bounded, compared = jaccard.settle(
+        spark.createDataFrame(pairs, "x long, y long, n int, m int, near long"), docs, rows.select("s", F.col("doc_id").alias("_doc"))
+    )
+    high = {(p["x"], p["y"]): p["overlap"] for p in bounded.collect()}
+    exact = {(p["x"], p["y"]): p["overlap"] for p in compared.collect()}
+    assert len(high) == len(pairs) and 0 < len(exact) < len(pairs)
+    assert all(high[k] >= v for k, v in exact.items())
+    # equal heads count as often as both sides have them
+    raw = np.array([1, 1, 1, 5], np.uint16)
+    assert len(np.intersect1d(jaccard._unpacked(raw.tobytes(), True), jaccard._unpacked(raw[1:].tobytes(), True))) == 3
+
+
+def test_bpe_words_of_earlier_steps_are_not_merged_again(monkeypatch):
+    vocab = bpe.Vocabulary(bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    find = regex.compile(public_tokenizers.PATTERN)
+    merged = []
+    replay = bpe.replay
+    monkeypatch.setattr(bpe, "replay", lambda words, v: merged.append(len(words)) or replay(words, v))
+    texts = pa.array(["some unmergeablish words", "z" * 100, None])
+    first = bpe.encode_texts(texts, vocab, find)
+    again = bpe.encode_texts(texts, vocab, find)
+    assert all((a == b).all() for a, b in zip(first, again))
+    assert merged == [4, 1]  # a long word is not kept
