@@ -34,6 +34,15 @@ def test_entries_count_and_fused_equals_union(spark, small):
     assert fused.exceptAll(union).count() == 0 and union.exceptAll(fused).count() == 0
 
 
+def test_entries_are_not_built_in_a_lambda(spark, small):
+    fused = tableau.tableau_entries(small["warehouses"], small["stores"], small["routes"], small["demands"], "0")
+    assert "lambdafunction" not in fused._jdf.queryExecution().optimizedPlan().toString()  # lambdas are interpreted
+    # a missing demand leaves out the entries that need one, and an unknown store its demand's row
+    routes = spark.createDataFrame([("Brockton, MA", "Nowhere", 1.0)], small["routes"].schema)
+    rows = tableau.tableau_entries(small["warehouses"].limit(0), small["stores"], routes, small["demands"], "0").collect()
+    assert [tuple(r) for r in rows] == [("ctSupply_Brockton, MA_Nowhere", "ship_Brockton, MA_Nowhere", -1.0)]
+
+
 def test_entries_keyed_and_referential(spark, small):
     t = _enc(spark, small)
     assert key_violations(t.entries, ["cnstraint", "variable"]).count() == 0
