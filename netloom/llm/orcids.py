@@ -13,7 +13,9 @@ empty table gives a folder without rows. Extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +34,14 @@ from netloom.session import materialize
 KEPT_UNITS = 300_000
 #: Bytes of text in a step; the larger, the fewer units are encoded twice.
 STEP = 16 << 20
-_MARKS = frozenset(".,;:!?")
+#: Words that are put into one call; more use more memory, fewer more time.
+CALL = 5000
+# letters of Latin, Greek and Cyrillic scripts that every version of Unicode has as such
+_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u0391-\u03a1\u03a3-\u03e1\u0400-\u0481\u048a-\u052f]"
+_SIGN = r"[!-&(-/:-@\[-`{-~]"  # of ASCII; not ', which may begin a piece of two letters
+#: A word, with signs and another word on the next line, if any. The byte-level
+#: pattern parts it into just these groups.
+_PARTS = re.compile(rf"( ?{_LETTER}+)({_SIGN}+)?(?:(\n)({_LETTER}+)({_SIGN}+)?)?")
 SCHEMA = "doc_id long, n_tokens int, ids array<int>"
 
 
@@ -52,13 +61,51 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         #: What a text with a special token has in it; it is encoded whole.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.has_special = re.compile("|".join(map(re.escape, self.special))).search if self.special else None
         self.known: dict[str, bytes] = {}
         mark = self._plain(["\t"])[0]
         self.mark = int(np.frombuffer(mark, "<u4")[0]) if len(mark) == 4 else None
+        self.words = self._of_words(tokenizer_json) if self.mark is not None else None
+
+    @staticmethod
+    def _of_words(tokenizer_json: str):
+        """The same model for words alone, in the byte-level alphabet and with the
+        tab's letter between: their pattern needs no search. None for a tokenizer
+        of another kind."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        made = json.loads(tokenizer_json)
+        how = made.get("pre_tokenizer") or {}
+        if made.get("normalizer") or how.get("type") != "ByteLevel" or how.get("add_prefix_space") or not how.get("use_regex", True):
+            return None
+        words = Tokenizer.from_str(json.dumps(made | {"added_tokens": [], "post_processor": None}))
+        words.pre_tokenizer = pre_tokenizers.Split(_byte_letters()[ord("\t")], "isolated")
+        return words
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _fresh_words(self, words: list[str]) -> dict[str, bytes]:
+        """Words, each with a space before it or none, by ``self.words``."""
+        out: dict[str, bytes] = {}
+        groups = [words[i : i + CALL] for i in range(0, len(words), CALL)]
+        letters = _byte_letters()
+        for group in groups:
+            text = "\t".join(group).encode().decode("latin-1").translate(letters)
+            (found,) = self.words.encode_batch_fast([text], add_special_tokens=False)
+            self._cut(group, np.array(found.ids, "<u4"), out)
+        return out
+
+    def _cut(self, group: list[str], ids: np.ndarray, out: dict[str, bytes]) -> bool:
+        """The ids of a group's units, which the mark parts, into ``out``; False if it doesn't."""
+        cuts = np.flatnonzero(ids == self.mark)
+        if len(cuts) != len(group) - 1:
+            return False
+        starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+        raw = ids.tobytes()
+        out.update(zip(group, [raw[a:b] for a, b in zip(starts, ends)]))
+        return True
+
     def _fresh(self, units: list[str]) -> dict[str, bytes]:
         """Units are put into one text with tabs between, which the tokenizer's
         pattern keeps apart from them, and cut at the tab's id again."""
@@ -71,14 +118,8 @@ class UnitEncoder:
             (joinable if tidy and self.mark is not None else plain).append(u)
         groups = [joinable[i : i + 2000] for i in range(0, len(joinable), 2000)]
         for group, ids in zip(groups, self._plain(["\t".join(g) for g in groups])):
-            ids = np.frombuffer(ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(group) - 1:
+            if not self._cut(group, np.frombuffer(ids, "<u4"), out):
                 plain.extend(group)
-                continue
-            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-            raw = ids.tobytes()
-            out.update((u, raw[4 * a : 4 * b]) for u, a, b in zip(group, starts, ends))
         if plain:
             out.update(zip(plain, self._plain(plain)))
         return out
@@ -88,32 +129,49 @@ class UnitEncoder:
         text_ends, codes, units = split_units(texts, self.special)
         found = list(map(self.known.get, units))
         missing = [i for i, x in enumerate(found) if x is None]
-        heads = [_head(units[i]) for i in missing]  # a word before a mark is encoded as the word, and the mark
-        wanted = {*heads, *_MARKS}.difference(self.known)
-        ids_of = self._fresh(list(wanted))
-        for h in heads:
-            if h not in ids_of:
-                ids_of[h] = self.known[h]
-        counts = np.bincount(codes, minlength=len(units))
-        for i, h in zip(missing, heads):
+        # words and signs are encoded apart, as the tokenizer's pattern parts them
+        words: set[str] = set()
+        others: set[str] = set()
+        cut = []
+        for i in missing:
             u = units[i]
-            ids = ids_of[h] if len(h) == len(u) else ids_of[h] + (self.known.get(u[-1]) or ids_of[u[-1]])
-            found[i] = ids
+            m = _PARTS.fullmatch(u) if self.words is not None else None
+            if m is None or (self.has_special is not None and self.has_special(u)):
+                others.add(u)
+                cut.append((u,))
+                continue
+            word, signs, line, word_2, signs_2 = m.groups()
+            words.add(word)
+            if signs is None and line is None:
+                cut.append((word,))
+                continue
+            parts = [x for x in (word, signs, line, word_2, signs_2) if x]
+            if word_2:
+                words.add(word_2)
+            others.update(x for x in (signs, line, signs_2) if x)
+            cut.append(parts)
+        ids_of = self._fresh_words(list(words.difference(self.known))) if words else {}
+        ids_of.update(self._fresh(list(others.difference(self.known))))
+        often = (np.bincount(codes, minlength=len(units)) > 1).tolist()
+        for i, parts in zip(missing, cut):
+            ids = [ids_of[x] if x in ids_of else self.known[x] for x in parts]
+            found[i] = ids[0] if len(ids) == 1 else b"".join(ids)
             # worth keeping: short, and in the step more than once
-            if counts[i] > 1 and len(u) <= 64 and len(self.known) < KEPT_UNITS:
-                self.known[u] = ids
+            if often[i] and len(units[i]) <= 64 and len(self.known) < KEPT_UNITS:
+                self.known[units[i]] = found[i]
         ends = np.zeros(len(found) + 1, np.int64)
         np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=ends[1:])
         ids, list_ends = gather(ends, np.frombuffer(b"".join(found), "<u4"), codes)
         return list_ends[text_ends], ids
 
 
-def _head(unit: str) -> str:
-    """The unit without a last punctuation mark, if the rest are letters (and
-    a first space): the tokenizer's pattern parts the two."""
-    if unit[-1:] in _MARKS and len(unit) > 2 and unit[1:-1].isalpha() and (unit[0] == " " or unit[0].isalpha()):
-        return unit[:-1]
-    return unit
+@lru_cache(maxsize=1)
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level tokens: itself if it is
+    printable in Latin-1, else the next one from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(other)}
 
 
 @lru_cache(maxsize=1)

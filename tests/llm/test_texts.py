@@ -531,6 +531,23 @@ def test_unit_encoder_equals_library():
         assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [e.ids for e in want]
 
 
+def test_unit_encoder_parts_words_and_signs(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    encoder = orcids.UnitEncoder(orcids.read_tokenizer(path))
+    asked = []
+    fresh = encoder._fresh_words
+    monkeypatch.setattr(encoder, "_fresh_words", lambda words: asked.extend(words) or fresh(words))
+    texts = ["a zorvel a zorvel.\nMirkan a zorvel***", "Mirkan,\nMirkan a zorvel\0 a", "it's a're 'zorvel\n\nMirkan ", "no<|endoftext|>", "\0", "Ωλñ. Ωλñ%%%\nжук", "中文. x1,\ny2"]
+    ends, ids = encoder.encode(pa.array(texts))
+    want = tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [e.ids for e in want]
+    # a word is encoded once, whatever signs follow it
+    assert asked.count(" zorvel") == 1 and asked.count("Mirkan") == 1 and len(asked) == len(set(asked))
+
+
 def test_replay_on_pattern_matches_alone():
     raw = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     ends, ids = bpe.encode_texts(pa.array(["", None]), bpe.vocabulary(raw), regex.compile(public_tokenizers.PATTERN))
