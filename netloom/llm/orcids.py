@@ -29,9 +29,9 @@ from netloom.functions.prefix import running_total
 from netloom.llm.units import gather, split_units, steps
 from netloom.session import materialize
 
-#: Units whose ids a Python worker keeps, about 75 MB; beyond it others are
+#: Units whose ids a Python worker keeps, about 125 MB; beyond it others are
 #: encoded anew in each step.
-KEPT_UNITS = 300_000
+KEPT_UNITS = 500_000
 #: Bytes of text in a step; the larger, the fewer units are encoded twice.
 STEP = 16 << 20
 #: Words that are put into one call; more use more memory, fewer more time.
@@ -132,19 +132,20 @@ class UnitEncoder:
         # words and signs are encoded apart, as the tokenizer's pattern parts them
         words: set[str] = set()
         others: set[str] = set()
-        cut = []
+        cut: list[str | list[str]] = []
         for i in missing:
             u = units[i]
             m = _PARTS.fullmatch(u) if self.words is not None else None
             if m is None or (self.has_special is not None and self.has_special(u)):
                 others.add(u)
-                cut.append((u,))
+                cut.append(u)
+                continue
+            if m.lastindex == 1:
+                words.add(u)
+                cut.append(u)
                 continue
             word, signs, line, word_2, signs_2 = m.groups()
             words.add(word)
-            if signs is None and line is None:
-                cut.append((word,))
-                continue
             parts = [x for x in (word, signs, line, word_2, signs_2) if x]
             if word_2:
                 words.add(word_2)
@@ -154,8 +155,10 @@ class UnitEncoder:
         ids_of.update(self._fresh(list(others.difference(self.known))))
         often = (np.bincount(codes, minlength=len(units)) > 1).tolist()
         for i, parts in zip(missing, cut):
-            ids = [ids_of[x] if x in ids_of else self.known[x] for x in parts]
-            found[i] = ids[0] if len(ids) == 1 else b"".join(ids)
+            if isinstance(parts, str):
+                found[i] = ids_of[parts]
+            else:
+                found[i] = b"".join([ids_of[x] if x in ids_of else self.known[x] for x in parts])
             # worth keeping: short, and in the step more than once
             if often[i] and len(units[i]) <= 64 and len(self.known) < KEPT_UNITS:
                 self.known[units[i]] = found[i]
