@@ -29,14 +29,20 @@ K = 7
 PICK = 2
 SLOTS = 64
 _BIN_BITS = 6  # SLOTS = 2 ** _BIN_BITS
-#: Code points whose k-mers are taken from one short string.
+#: Code points whose k-mers are taken from one short string, a power of 2.
 _STRIDE = 32
 #: Each _STRIDE code points, with the K - 1 that follow them.
 _BLOCK = rf"(?s)(?=(.{{1,{_STRIDE + K - 1}}})).{{1,{_STRIDE}}}"
+#: What a document's place in the order follows.
+_KEYS = ["_known", "_id", "n_chars", "_hash"]
 _POSITION = (1 << 31) - 1
 #: 31 bits of a hash, above a bit of 0 and the 31 bits of a place.
 _HIGH = _POSITION << 32
 _BIN = 1 << (63 - _BIN_BITS)  # one bin of packed values
+#: Sorted k-mers that are looked at by one compiled expression, a power of 2.
+_SPAN = 16
+#: No packed value, and no repeat's complement: the first place holds no repeat.
+_NONE = -1
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -145,32 +151,135 @@ def _slots(kept: Column) -> Column:
     return F.when(F.size(kept) > 0, _let(by_place, slots)).otherwise(zeros)
 
 
-def fingerprints(df: DataFrame, texts: dict[str, Column], shared: Column | None = None) -> DataFrame:
-    """``df`` with a further column of ``SLOTS`` hashes of 31 bits for each name in
-    ``texts``. All texts of a row start with the same ``shared`` code points,
-    whose k-mers are taken once; a null text is empty.
-
-    Each step is a projection of its own: a value that the next step reads at
-    several places is computed once, and sorts and differences run on unboxed
-    longs, which they would not inside a lambda."""
-    n = F.lit(0) if shared is None else F.when(shared >= K, shared).otherwise(0).cast("int")
-    texts = {name: F.coalesce(text, F.lit("")) for name, text in texts.items()}
-    head = next(iter(texts.values()))
-    out = df.withColumn("_n", n).withColumn("_start", F.greatest(F.col("_n") - (K - 1), F.lit(0)))
-    out = out.withColumn("_head", _runs(F.substring(head, F.lit(1), F.col("_n")), F.lit(0)))
-    out = out.withColumns({f"_sorted_{name}": F.sort_array(F.concat("_head", _kmers(text, F.col("_start")))) for name, text in texts.items()})
+def _cut(rows: DataFrame, counts: list[Column]) -> DataFrame:
+    """A row for each piece of the parts of a row, which have ``counts`` pieces:
+    ``_at`` counts the pieces from 0 (null in the row that one without pieces
+    leaves), ``_part`` and ``_place`` say which piece of which part it is."""
+    ends = [sum(counts[1 : i + 1], counts[0]).alias(f"_end{i}") for i in range(len(counts))]
+    rows = rows.select("*", *ends)
+    rows = rows.select("*", F.explode_outer(_range(F.col(f"_end{len(counts) - 1}"))).alias("_at"))
+    part, place = F.lit(0), F.col("_at")
+    for i in range(len(counts) - 1):
+        past = F.col("_at") >= F.col(f"_end{i}")
+        part = F.when(past, i + 1).otherwise(part)
+        place = F.when(past, F.col("_at") - F.col(f"_end{i}")).otherwise(place)
+    return rows.select("*", part.alias("_part"), F.coalesce(place, F.lit(0)).alias("_place"))
+
+
+def _gathered(pieces: DataFrame, row: list[str], names: list[str]) -> DataFrame:
+    """One row again for each that was cut: ``_keep``, and the arrays ``_values`` of
+    each part's pieces as one, named by ``names``."""
+    keep = F.when(F.coalesce(F.col("_at"), F.lit(0)) == 0, F.col("_keep"))
+    pieces = pieces.select(*row, keep.alias("_keep"), F.when(F.col("_at").isNotNull(), F.col("_part")).alias("_part"), "_values")
+    # values read twice, or Spark would put them into the aggregate, which doesn't compile them
+    some = F.size("_values") > 0
+    lists = [F.collect_list(F.when((F.col("_part") == i) & some, F.col("_values"))).alias(name) for i, name in enumerate(names)]
+    rows = pieces.groupBy(*row).agg(F.first("_keep", ignorenulls=True).alias("_keep"), *lists)
+    return rows.select(*row, "_keep", *[F.flatten(name).alias(name) for name in names])
+
+
+def _piece_of(parts: list[str], body: Callable[[str], Column]) -> Column:
+    """``body`` of the part that a piece belongs to."""
+    value = body(parts[0])
+    for i, part in enumerate(parts[1:]):
+        value = F.when(F.col("_part") == i + 1, body(part)).otherwise(value)
+    return value
+
+
+def _block_kmers(block: Column, number: Column) -> Column:
+    """Packed (k-mer, place) of a text's block of this number, spelled out for each
+    place, as Spark compiles that but no lambda. Places leave gaps after blocks that
+    end early; only their order counts. A block that is a whole text of fewer code
+    points than ``K`` is one k-mer."""
+    n = F.least(F.char_length(block) - (K - 1), F.lit(_STRIDE))
+    n = F.greatest(n, F.when(number == 0, 1).otherwise(0))
+    packed = [_packed(F.xxhash64(F.substring(block, k + 1, K)), (number * _STRIDE).bitwiseOR(F.lit(k))) for k in range(_STRIDE)]
+    return F.slice(F.array(*packed), F.lit(1), n)
+
+
+def _marked(pieces: DataFrame, wholes: list[str]) -> DataFrame:
+    """``pieces`` with ``_values``, of the ``_SPAN`` sorted k-mers of a piece: the
+    repeats, as their complement, which is negative, and the others but for those
+    that have ``PICK`` k-mers of their bin, none a repeat, right before them: no
+    slot can take these. Steps are projections of their own, small enough to be compiled."""
+    start = F.col("_place") * _SPAN
+    pieces = pieces.select("*", _piece_of(wholes, F.col).alias("_whole"), start.alias("_from")).drop(*wholes)
+    # _NONE is before the first and after the last
+    index = {i: F.col("_from").bitwiseOR(F.lit(i)) if i > 0 else F.col("_from") + i for i in range(-PICK, _SPAN)}
+    at = {i: F.coalesce(F.get("_whole", index[i]), F.lit(_NONE)).alias(f"_x{i + PICK}") for i in index}
+    pieces = pieces.select("*", *at.values()).drop("_whole", "_from")
+    x = {i: F.col(f"_x{i + PICK}") for i in at}
+
+    def alike(i: int, j: int, bits: int) -> Column:
+        return F.shiftrightunsigned(x[i].bitwiseXOR(x[j]), bits) == 0
+
+    def marked(i: int) -> Column:
+        far = alike(i, i - PICK, 63 - _BIN_BITS)
+        for j in range(i - PICK + 1, i):
+            far = far & ~alike(j, j - 1, 32)
+        return F.when((x[i] < 0) | (far & ~alike(i, i - 1, 32)), F.lit(_NONE)).when(alike(i, i - 1, 32), F.bitwise_not(x[i])).otherwise(x[i])
+
+    values = F.array_remove(F.array(*[marked(i) for i in range(_SPAN)]), F.lit(_NONE))
+    return pieces.select("*", values.alias("_values")).drop(*[f"_x{i + PICK}" for i in at])
+
+
+def fingerprints(
+    df: DataFrame, texts: dict[str, Column], shared: Column | None = None, keep: list[str] | None = None, keys: list[str] | None = None
+) -> DataFrame:
+    """The columns ``keep`` of ``df`` (all, if not given) with a further column of
+    ``SLOTS`` hashes of 31 bits for each name in ``texts``. All texts of a row
+    start with the same ``shared`` code points, whose k-mers are taken once; a
+    null text is empty.
+
+    What there is to do for each code point is compiled, not done in lambdas: rows
+    are cut into blocks of the texts, put together again, cut into spans of the
+    sorted k-mers and put together again. That moves no row if ``df`` is
+    partitioned by ``keys``, which may repeat and be null."""
+    keep = df.columns if keep is None else keep
+    n = F.lit(0) if shared is None else F.coalesce(F.when(shared >= K, shared).otherwise(0).cast("int"), F.lit(0))
+    plain = [F.coalesce(text, F.lit("")) for text in texts.values()]
+    rows = df.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys or [])],
+        F.monotonically_increasing_id().alias("_row"),
+        F.struct(*keep).alias("_keep"),
+        n.alias("_n"),
+        F.greatest(n - (K - 1), F.lit(0)).alias("_start"),
+        *[text.alias(f"_text{i}") for i, text in enumerate(plain)],
+    )
+    row = [c for c in rows.columns if c.startswith("_key")] + ["_row"]
+    parts = ["_head", *[f"_tail{i}" for i in range(len(plain))]]
+
+    def blocks(text: Column) -> Column:
+        return F.regexp_extract_all(text, F.lit(_BLOCK), F.lit(1))
+
+    tails = [blocks(F.substring(f"_text{i}", F.col("_start") + 1, F.length(f"_text{i}"))) for i in range(len(plain))]
+    head = blocks(F.substring("_text0", F.lit(1), F.col("_n")))
+    rows = rows.select(*row, "_keep", *[x.alias(p) for x, p in zip([head, *tails], parts)])
+    pieces = _cut(rows, [F.size(p) for p in parts]).select(
+        *row, "_keep", "_at", "_part",
+        F.coalesce(_piece_of(parts, lambda p: F.get(p, F.col("_place"))), F.lit("")).alias("_block"),
+        # a text's blocks are those of the head and of its own tail
+        (F.col("_place") + F.when(F.col("_part") == 0, 0).otherwise(F.size("_head"))).alias("_number"),
+    )
+    pieces = pieces.select("*", _block_kmers(F.col("_block"), F.col("_number")).alias("_values"))
+    rows = _gathered(pieces, row, parts)
+
+    wholes = [f"_sorted{i}" for i in range(len(plain))]
+    rows = rows.select(*row, "_keep", *[F.sort_array(F.concat("_head", p)).alias(s) for p, s in zip(parts[1:], wholes)])
+    pieces = _cut(rows, [F.ceil(F.size(s) / _SPAN).cast("int") for s in wholes])
+    rows = _gathered(_marked(pieces, wholes), row, [f"_marked{i}" for i in range(len(plain))])
+
     # no step reuses the name of a column that it reads: Spark would read the new one inside lambdas
     steps = (
-        ("_repeats", lambda n: _repeats(F.col(f"_sorted_{n}"))),
-        ("_firsts", lambda n: F.array_except(f"_sorted_{n}", f"_repeats_{n}")),
-        ("_more", lambda n: _renumbered(F.col(f"_repeats_{n}"))),
-        ("_near", lambda n: _nearest(F.col(f"_firsts_{n}"))),
-        ("_all", lambda n: F.sort_array(F.concat(f"_near_{n}", f"_more_{n}"))),
-        ("_kept", lambda n: _nearest(F.col(f"_all_{n}"))),
+        ("_repeats", lambda i: F.sort_array(F.transform(F.filter(f"_marked{i}", lambda x: x < 0), F.bitwise_not))),
+        ("_firsts", lambda i: F.filter(f"_marked{i}", lambda x: x >= 0)),
+        ("_more", lambda i: _renumbered(F.col(f"_repeats{i}"))),
+        ("_all", lambda i: F.sort_array(F.concat(f"_firsts{i}", f"_more{i}"))),
+        ("_kept", lambda i: _nearest(F.col(f"_all{i}"))),
     )
     for step, build in steps:
-        out = out.withColumns({f"{step}_{n}": build(n) for n in texts})
-    return out.select(*df.columns, *[_slots(F.col(f"_kept_{n}")).alias(n) for n in texts])
+        rows = rows.withColumns({f"{step}{i}": build(i) for i in range(len(plain))})
+    return rows.select("_keep.*", *[_slots(F.col(f"_kept{i}")).alias(name) for i, name in enumerate(texts)])
 
 
 def fingerprint(text: Column) -> Column:
@@ -199,15 +308,15 @@ def in_order(docs: DataFrame, part: int = 4) -> DataFrame:
     (after the last comes the first): as many code points as a ``part``-th of
     the document's own length, or all.
 
-    Returns (doc_id, text, n_chars, place, n_places, head); ``place`` counts
-    documents in order from 1. A null doc_id comes first; rows that share a
+    Returns (doc_id, text, n_chars, place, n_places, head) and the columns ``_KEYS``,
+    by which the rows are partitioned; ``place`` counts documents in order from 1. A null doc_id comes first; rows that share a
     doc_id go by length, then by hash of the text; rows equal in both are one
     document in the order and each of them is returned.
 
     Only ids, lengths and hashes are sorted. The texts cross the network once,
     to meet their place, and each head once more.
     """
-    keys = ["_known", "_id", "n_chars", "_hash"]
+    keys = _KEYS
     text = F.coalesce(F.col("text"), F.lit(""))
     # the id in two columns without nulls, so that plain equality joins it; both
     # uses below read these columns alone and so share one exchange of the texts
@@ -233,7 +342,7 @@ def in_order(docs: DataFrame, part: int = 4) -> DataFrame:
         .agg(F.first("head").alias("head"))
     )
     doc_id = F.when(F.col("_known"), F.col("_id")).alias("doc_id")
-    return placed.join(heads, keys).select(doc_id, "text", "n_chars", "place", F.lit(n).alias("n_places"), "head")
+    return placed.join(heads, keys).select(doc_id, "text", "n_chars", "place", F.lit(n).alias("n_places"), "head", "_known", "_id", "_hash")
 
 
 def edited(text: Column, n_chars: Column, head: Column, part: int = 4) -> Column:
@@ -248,8 +357,8 @@ def compare(docs: DataFrame) -> DataFrame:
     kept = F.col("n_chars") - F.floor(F.col("n_chars") / 4)
     rows = in_order(docs).withColumn("edited", edited(F.col("text"), F.col("n_chars"), F.col("head")))
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    rows = fingerprints(rows, {"fingerprint": F.col("text"), "edited_fingerprint": F.col("edited")}, kept)
-    prints = rows.select("doc_id", "n_chars", "place", "n_places", "edited_sha256", "fingerprint", "edited_fingerprint")
+    texts = {"fingerprint": F.col("text"), "edited_fingerprint": F.col("edited")}
+    prints = fingerprints(rows, texts, kept, keep=["doc_id", "n_chars", "place", "n_places", "edited_sha256"], keys=_KEYS)
     prints = materialize(prints, "omh_prints")  # computed once, for both joins
     nexts = prints.dropDuplicates(["place"]).select(
         F.when(F.col("place") > 1, F.col("place") - 1).otherwise(F.col("n_places")).alias("place"),
