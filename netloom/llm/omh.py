@@ -73,27 +73,27 @@ def _range(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(_none("int"))
 
 
-def _runs(text: Column, start: Column) -> Column:
-    """Packed (k-mer, place) of a text that starts at ``start``, in text order.
-    The text is cut into blocks first, as finding the i-th code point takes i
-    steps from a string's start."""
+def _runs(text: Column) -> Column:
+    """Packed (k-mer, place) of a text, in text order. The text is cut into blocks
+    first, as finding the i-th code point takes i steps from a string's start."""
 
     def of_block(block: Column, b: Column) -> Column:
         n = F.least(F.char_length(block) - (K - 1), F.lit(_STRIDE))
-        base = start + b * _STRIDE
+        base = b * _STRIDE
         places = F.when(n > 0, F.sequence(base, base + n - 1)).otherwise(_none("int"))
         return _let(base - 1, lambda before: F.transform(places, lambda i: _packed(F.xxhash64(F.substring(block, i - before, F.lit(K))), i)))
 
-    return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_BLOCK), F.lit(1)), of_block))
+    return F.flatten(F.transform(_blocks(text), of_block))
 
 
-def _kmers(text: Column, start: Column | None = None) -> Column:
-    """The k-mers of what ``text`` has from code point ``start`` on, which is one
-    k-mer if it is a whole text of fewer code points than ``K``."""
-    start = F.lit(0) if start is None else start
-    rest = F.substring(text, start + 1, F.length(text))
-    short = F.when((start == 0) & (text != ""), F.array(_packed(F.xxhash64(text), F.lit(0)))).otherwise(_none("long"))
-    return F.when(F.char_length(text) - start >= K, _runs(rest, start)).otherwise(short)
+def _blocks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_BLOCK), F.lit(1))
+
+
+def _kmers(text: Column) -> Column:
+    """The k-mers of ``text``, which is one k-mer if it has fewer code points than ``K``."""
+    short = F.when(text != "", F.array(_packed(F.xxhash64(text), F.lit(0)))).otherwise(_none("long"))
+    return F.when(F.char_length(text) >= K, _runs(text)).otherwise(short)
 
 
 def _repeats(a: Column) -> Column:
@@ -249,11 +249,8 @@ def fingerprints(
     row = [c for c in rows.columns if c.startswith("_key")] + ["_row"]
     parts = ["_head", *[f"_tail{i}" for i in range(len(plain))]]
 
-    def blocks(text: Column) -> Column:
-        return F.regexp_extract_all(text, F.lit(_BLOCK), F.lit(1))
-
-    tails = [blocks(F.substring(f"_text{i}", F.col("_start") + 1, F.length(f"_text{i}"))) for i in range(len(plain))]
-    head = blocks(F.substring("_text0", F.lit(1), F.col("_n")))
+    tails = [_blocks(F.substring(f"_text{i}", F.col("_start") + 1, F.length(f"_text{i}"))) for i in range(len(plain))]
+    head = _blocks(F.substring("_text0", F.lit(1), F.col("_n")))
     rows = rows.select(*row, "_keep", *[x.alias(p) for x, p in zip([head, *tails], parts)])
     pieces = _cut(rows, [F.size(p) for p in parts]).select(
         *row, "_keep", "_at", "_part",

@@ -432,6 +432,35 @@ def test_order_minhash_equals_brute_force(spark):
         assert list(rows[i]["edited_fingerprint"]) == _brute_order_minhash(changed)
 
 
+def test_order_minhash_compiles_its_work_for_each_code_point(spark, capsys):
+    from pyspark.sql import functions as F
+
+    r = random.Random(15)
+    texts = ["".join(r.choice("abc \U0001F600") for _ in range(n)) for n in (0, 3, 7, 37, 38, 39, 700)] + [None]
+    # rows that repeat and share null keys are rows of their own, with and without keys
+    rows = [(i % 2 or None, t) for i, t in enumerate(texts)] * 2
+    docs = spark.createDataFrame(rows, "k int, t string")
+    for keys in (None, ["k"]):
+        got = omh.fingerprints(docs, {"f": F.col("t")}, keys=keys).collect()
+        want = [(k, t, _brute_order_minhash(t or "")) for k, t in rows]
+        assert sorted(map(str, want)) == sorted(str((x["k"], x["t"], list(x["f"]))) for x in got)
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parted = docs.repartition(3, "k")
+        prints = omh.fingerprints(parted, {"f": F.col("t"), "g": F.concat("t", F.lit("q"))}, F.char_length("t"), ["k"], ["k"])
+        prints.explain()
+        plan = capsys.readouterr().out
+        prints.explain(mode="codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert "xxhash64(substring(" in plan and not re.search(r"lambdafunction.*substring", plan)
+    assert plan.count("Exchange") == 1  # that of the rows before
+    assert sizes and max(sizes) < 8000  # a JVM interprets longer methods
+
+
 def test_order_minhash_orders_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(2, "two two two two"), (2, "two two two two"), (None, "first text of all"), (9, "last")], "doc_id long, text string")
     rows = omh.compare(docs).select("doc_id", "n_chars").collect()
