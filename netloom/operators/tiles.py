@@ -49,9 +49,9 @@ def dense_ids(names: DataFrame, name: str) -> DataFrame:
     return materialize(ranked.select("name", (F.col("_rank") - 1).alias("id")), "dense_ids")
 
 
-def _with_id(cells: DataFrame, ids: DataFrame, name: str, out: str) -> DataFrame:
+def _with_id(cells: DataFrame, ids: DataFrame, name: str, out: str, heavy: DataFrame) -> DataFrame:
     ids = ids.select(F.col("name").alias(name), F.col("id").alias(out))
-    return salted_join(cells, ids, name, heavy_keys(cells, name)).drop(name)
+    return salted_join(cells, ids, name, heavy).drop(name)
 
 
 def _dense(cells: str, size: int) -> Column:
@@ -66,7 +66,9 @@ def to_tiles(cells: DataFrame, row: str, column: str, value: str, height: int =
     known = cells.select(F.col(row).alias("r"), F.col(column).alias("c"), F.col(value).cast("double").alias("v")).dropna()
     known = materialize(known, "tile_cells", compact=True)
     rows, columns = dense_ids(known, "r"), dense_ids(known, "c")
-    placed = _with_id(_with_id(known, rows, "r", "i"), columns, "c", "j")
+    # both are counted where the cells are kept: behind a join they would move once more
+    heavy = {name: heavy_keys(known, name) for name in ("r", "c")}
+    placed = _with_id(_with_id(known, rows, "r", "i", heavy["r"]), columns, "c", "j", heavy["c"])
 
     def block(of: str, size: int) -> Column:
         return F.floor(F.col(of) / size)
@@ -87,9 +89,10 @@ def from_tiles(tiles: Tiles) -> DataFrame:
     i = F.col("row_block") * tiles.height + F.floor(F.col("at") / tiles.width)
     j = F.col("column_block") * tiles.width + F.pmod("at", F.lit(tiles.width))
     cells = materialize(cells.select(i.alias("i"), j.alias("j"), "value"), "tile_values", compact=True)
+    heavy = {key: heavy_keys(cells, key) for key in ("i", "j")}
     for key, names, name in (("i", tiles.rows, "row"), ("j", tiles.columns, "column")):
         named = names.select(F.col("id").alias(key), F.col("name").alias(name))
-        cells = salted_join(cells, named, key, heavy_keys(cells, key)).drop(key)
+        cells = salted_join(cells, named, key, heavy[key]).drop(key)
     return cells.select("row", "column", "value")
 
 

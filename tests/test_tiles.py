@@ -44,3 +44,13 @@ def test_a_tile_holds_its_cells_only(spark):
     assert sum(len(r["cells"]) for r in packed.packed.collect()) == 200
     moved = tiles.times(packed, _cells(spark, [("c00000", "", 2.0)]).select("a", "v"), "a", "v")
     assert {r["row"]: r["value"] for r in moved.where("value <> 0").collect()} == {"r00000": 2.0}
+
+
+def test_heavy_names_are_counted_before_the_joins(spark, monkeypatch):
+    """Behind a join the cells would be moved again for each count."""
+    plans, kept = [], tiles.heavy_keys
+    monkeypatch.setattr(tiles, "heavy_keys", lambda df, key: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), kept(df, key))[1])
+    cells = {(f"r{i % 7}", f"c{i % 5}"): float(i + 1) for i in range(35)}
+    packed = tiles.to_tiles(_cells(spark, [(a, b, v) for (a, b), v in cells.items()]), "a", "b", "v", 4, 4)
+    assert {(x["row"], x["column"]): x["value"] for x in tiles.from_tiles(packed).collect()} == cells
+    assert len(plans) == 4 and not [p for p in plans if "Join" in p]
