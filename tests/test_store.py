@@ -127,6 +127,40 @@ def test_repeated_and_null_rows_and_columns(spark):
         assert act == {tuple(r): sums.get(tuple(r), 0.0) for r in some.collect()}
 
 
+def test_each_bucket_is_filled(spark):
+    """A partition has a bucket of its own, so that none is read with several in it while others are empty."""
+    (rows, entries, declared), *_ = _instance(spark, 900)
+    store = TableauStore.write(spark, rows, entries, declared, buckets=16)
+    pids = store.lines.select("pid", F.pmod(F.hash("pid"), F.lit(16)).alias("b")).distinct().collect()
+    assert len(pids) == len({r["b"] for r in pids}) == 16
+
+
+def test_dealt_entries_are_stored_and_text_reads_lines_once(spark):
+    (rows, entries, declared), *_ = _instance(spark, 900)
+    dealt = entries.repartitionByRange(5, "variable")
+    store = TableauStore.write(spark, rows, entries, declared, buckets=5, dealt=dealt)
+    want = TableauStore.write(spark, rows, entries, declared, buckets=3)
+    assert sorted(map(tuple, store.listing().collect())) == sorted(map(tuple, want.listing().collect()))
+    assert sorted(map(tuple, store.text().collect())) == sorted(map(tuple, want.text().collect()))
+    plan = store.text()._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Scan parquet spark_catalog", plan)) == 1
+
+
+def test_text_of_constraints_over_several_buckets(spark):
+    """Repeated rows, rows without relation or entries, null coefficients."""
+    names = [f"v{i:03d}" for i in range(60)]
+    entries = spark.createDataFrame([("obj", v, -1.5 if i % 2 else None) for i, v in enumerate(names)] + [("a", "v001", 2.0), ("b", "v001", 1.0)],
+                                    "cnstraint string, variable string, coefficient double")
+    declared = spark.createDataFrame([(v,) for v in names], "variable string")
+    for more in ([], [("b", "LE", 3.0)]):
+        rows = spark.createDataFrame([("obj", "GE", 4.0), ("a", "dexpr", 0.0), ("b", "EQ", None), ("none", "GE", 1.0), *more], "cnstraint string, sense string, rhs double")
+        store = TableauStore.write(spark, rows, entries, declared, buckets=6)
+        assert store.lines.where("cnstraint = 'obj'").select("pid").distinct().count() > 1
+        got = store.text().where("cnstraint <> 'b'").collect()
+        want = evaluate.constraint_text(evaluate.constraint_listing(rows, entries, declared)).where("cnstraint <> 'b'").collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 62
+
+
 @pytest.mark.parametrize("bits", [64, 1 << 26])
 def test_sieve_keeps_every_partner(spark, bits):
     big = spark.createDataFrame([(f"k{i % 500}", i) for i in range(2000)] + [(None, -1)], "k string, i int")
